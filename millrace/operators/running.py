@@ -41,17 +41,18 @@ def running_totals(
     order: str,
     measures: Sequence[str],
     by: Sequence[str] = (),
-    edges_from: DataFrame | None = None,
+    edges: list[float] | None = None,
     ranges: int | None = None,
 ) -> DataFrame:
     """Add ``<m>_run``: the sum of ``m`` over all rows with an order value up to the row's own.
 
     Ties share one total. Aggregate to one row per order value first when values repeat, so that
-    a hot value is one row. ``edges_from`` may name a cheaper frame holding the same column.
+    a hot value is one row. ``edges`` may be passed when they are known already.
     """
     by = list(by)
     width = ranges or shuffle_width(df.sparkSession)
-    edges = range_edges(edges_from if edges_from is not None else df, F.col(order), width)
+    if edges is None:
+        edges = range_edges(df, F.col(order), width)
     parts = _with_range(df, order, edges)
     window = Window.partitionBy(*by, _RANGE).orderBy(order)
     inner = parts.select("*", *[F.sum(m).over(window).alias(f"{m}_run") for m in measures])
