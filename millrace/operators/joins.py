@@ -28,3 +28,14 @@ def union_tagged(frames: dict[str, DataFrame], tag: str = "source") -> DataFrame
     """Union of frames with different columns, each row tagged with its frame's name."""
     parts = [df.withColumn(tag, F.lit(name)) for name, df in frames.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def bounded_or_shuffled(df: DataFrame, limit: int = 100_000) -> DataFrame:
+    """A lookup side ready to join: broadcast when it proves to hold at most ``limit`` rows, else shuffled.
+
+    At most ``limit`` + 1 rows are read for the proof, and the rows read are the ones broadcast.
+    """
+    rows = df.limit(limit + 1).collect()
+    if len(rows) > limit:
+        return df.hint("shuffle_hash")
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -170,34 +170,41 @@ def winsorize_adjusted(df: DataFrame, cols: Sequence[str], fences: dict[str, tup
     return df.withColumns({c: clip(F.col(c).cast("double"), *fences[c]) for c in cols})
 
 
-def yeo_johnson(x: Column, lam: float) -> Column:
-    """Yeo-Johnson transform for a fixed power."""
-    positive = F.log1p(x) if abs(lam) < 1e-12 else (F.pow(x + 1.0, F.lit(lam)) - 1.0) / lam
-    rest = 2.0 - lam
-    negative = -F.log1p(-x) if abs(rest) < 1e-12 else -(F.pow(1.0 - x, F.lit(rest)) - 1.0) / rest
+def yeo_johnson(x: Column, lam: float | Column) -> Column:
+    """Yeo-Johnson transform for a fixed power, or a power per row."""
+    power = lam if isinstance(lam, Column) else F.lit(float(lam))
+    rest = F.lit(2.0) - power
+    up, down = F.log1p(F.greatest(x, F.lit(0.0))), F.log1p(F.greatest(-x, F.lit(0.0)))
+    positive = F.when(F.abs(power) < 1e-12, up).otherwise(F.expm1(power * up) / power)
+    negative = -F.when(F.abs(rest) < 1e-12, down).otherwise(F.expm1(rest * down) / rest)
     return F.when(x >= 0, positive).when(x < 0, negative)
 
 
 def fit_yeo_johnson(df: DataFrame, cols: Sequence[str], low: float = -3.0, high: float = 5.0, rounds: int = 4) -> dict[str, float]:
-    """Power of highest likelihood per column: a grid of variances per pass, narrowed around the best."""
+    """Power of highest likelihood per column: a grid of variances per pass, narrowed around the best.
+
+    Each pass groups by (column, grid point), so the plan stays small however many columns there are.
+    """
+    long = df.select(
+        F.inline(F.array(*[F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("x")) for i, c in enumerate(cols)]))
+    ).where("x IS NOT NULL")
     spans = {c: (low, high) for c in cols}
     best: dict[str, float] = {}
     for _ in range(rounds):
-        grids = {c: [spans[c][0] + (spans[c][1] - spans[c][0]) * i / 20 for i in range(21)] for c in cols}
-        aggs = []
-        for i, c in enumerate(cols):
-            x = F.col(c).cast("double")
-            aggs += [F.count(x).alias(f"n{i}"), F.sum(F.signum(x) * F.log1p(F.abs(x))).alias(f"s{i}")]
-            aggs += [F.var_pop(yeo_johnson(x, lam)).alias(f"v{i}_{j}") for j, lam in enumerate(grids[c])]
-        row = df.agg(*aggs).first()
+        grids = [[spans[c][0] + (spans[c][1] - spans[c][0]) * i / 20 for i in range(21)] for c in cols]
+        points = F.array(*[F.array(*map(F.lit, g)) for g in grids])
+        tried = long.select("c", "x", F.posexplode(F.get(points, F.col("c"))).alias("j", "power"))
+        rows = tried.groupBy("c", "j").agg(
+            F.count("x").alias("n"),
+            F.sum(F.signum("x") * F.log1p(F.abs("x"))).alias("s"),
+            F.var_pop(yeo_johnson(F.col("x"), F.col("power"))).alias("v"),
+        ).collect()
         for i, c in enumerate(cols):
-            n, s = row[f"n{i}"], row[f"s{i}"]
-            scores = [
-                -n / 2 * math.log(row[f"v{i}_{j}"]) + (lam - 1) * s if row[f"v{i}_{j}"] else -math.inf
-                for j, lam in enumerate(grids[c])
-            ]
-            top = int(np.argmax(scores))
-            best[c] = grids[c][top]
+            scores = {
+                r["j"]: -r["n"] / 2 * math.log(r["v"]) + (grids[i][r["j"]] - 1) * r["s"] for r in rows if r["c"] == i and r["v"]
+            }
+            top = max(scores, key=lambda j: (scores[j], -j)) if scores else 10
+            best[c] = grids[i][top]
             step = (spans[c][1] - spans[c][0]) / 20
             spans[c] = (best[c] - step, best[c] + step)
     return best
