@@ -13,7 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.runtime import shuffle_width
+from millrace.runtime import cut_lineage, shuffle_width
 
 _RANGE = "__range"
 _ORDER = "__order"
@@ -81,20 +81,31 @@ def numbered(
 ) -> DataFrame:
     """Add a 1-based row number per ``by`` group in (order, ties) order.
 
-    A group that holds most of the rows is spread over all ranges of the order column.
+    Rows are range-partitioned on the whole key, so neither a hot group nor a hot order value lands
+    in one task. The laid-out rows are checkpointed: their places must not change between the two
+    uses. Sizes of the pieces, one row per partition and group, then give the offsets.
     """
     by = list(by)
-    width = ranges or shuffle_width(df.sparkSession)
-    edges = range_edges(df, F.col(order), width)
-    parts = _with_range(df, order, edges)
-    window = Window.partitionBy(*by, _RANGE).orderBy(order, *ties)
-    inner = parts.withColumn("__inner", F.row_number().over(window).cast("long"))
-    totals = parts.groupBy(*by, _RANGE).agg(F.count("*").alias("__n"))
-    earlier = Window.partitionBy(*by).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*by, _RANGE, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off"))
-    on = inner[_RANGE] == offsets[_RANGE]
-    for b in by:
-        on = on & inner[b].eqNullSafe(offsets[b])
-    return inner.join(offsets, on).select(
-        *[inner[c] for c in df.columns], (F.col("__inner") + F.col("__off")).alias(name)
+    keys = [*by, order, *ties]
+    laid = (
+        df.repartitionByRange(ranges or shuffle_width(df.sparkSession), *keys)
+        .sortWithinPartitions(*keys)
+        .withColumn("__id", F.monotonically_increasing_id())
     )
+    # the id is the partition number in the upper bits and the row's place in it below
+    placed = cut_lineage(laid).withColumns(
+        {"__piece": F.shiftright("__id", 33), "__inner": F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))}
+    )
+    pieces = placed.groupBy("__piece", *by).agg(F.min("__inner").alias("__first"), F.count("*").alias("__n"))
+    earlier = Window.partitionBy(*by).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pieces.select(
+        F.col("__piece").alias("__p"),
+        *[F.col(b).alias(f"__by_{b}") for b in by],
+        (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first") + 1).alias("__off"),
+    )
+    if not by:
+        offsets = F.broadcast(offsets)  # one row per partition
+    on = F.col("__piece") == F.col("__p")
+    for b in by:
+        on = on & F.col(b).eqNullSafe(F.col(f"__by_{b}"))
+    return placed.join(offsets, on).select(*df.columns, (F.col("__inner") + F.col("__off")).alias(name))
