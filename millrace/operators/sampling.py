@@ -16,6 +16,11 @@ def key_bucket(key: str, seed: int, buckets: int = 1000) -> Column:
     return F.pmod(F.pmod(F.col(key), F.lit(1_000_003)) * 7919 + seed, F.lit(buckets))
 
 
+def hash_bucket(key: str, seed: int, buckets: int = 1000) -> Column:
+    """Bucket that is independent of ``key_bucket``: for folds and validation parts inside a train split."""
+    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets)).cast("int")
+
+
 def tag_split(df: DataFrame, key: str, train_share: float, seed: int) -> DataFrame:
     part = F.when(key_bucket(key, seed) < int(round(train_share * 1000)), "train").otherwise("test")
     return df.withColumn("part", part)
