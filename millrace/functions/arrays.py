@@ -30,8 +30,9 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def unit(v: Column) -> Column:
-    n = F.nullif(norm(v), F.lit(0.0))
-    return F.transform(v, lambda x: x / n)
+    # the length is repeated next to the elements, a value used inside the lambda would be recomputed per element
+    length = F.array_repeat(F.nullif(norm(v), F.lit(0.0)), F.size(v))
+    return F.zip_with(v, length, lambda x, n: x / n)
 
 
 def add(a: Column, b: Column) -> Column:

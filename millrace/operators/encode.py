@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -36,13 +36,14 @@ def woe_fit(train: DataFrame, cols: Sequence[str], label: str, regularization: f
         ["__y"], list(cols), "column_name", "value"
     )
     counts = long.groupBy("column_name", "value").agg(F.count("*").alias("n"), F.sum("__y").alias("pos"))
-    whole = Window.partitionBy("column_name")
+    totals = counts.groupBy("column_name").agg(F.sum("n").cast("double").alias("all_n"), F.sum("pos").alias("all_pos"))
     r = float(regularization)
     n, pos = F.col("n").cast("double"), F.col("pos")
-    all_n, all_pos = F.sum("n").over(whole).cast("double"), F.sum("pos").over(whole)
+    all_n, all_pos = F.col("all_n"), F.col("all_pos")
     up = (pos + r) / (all_pos + 2 * r)
     down = (n - pos + r) / (all_n - all_pos + 2 * r)
-    return counts.select(
+    # one total per listed column
+    return counts.join(F.broadcast(totals), "column_name").select(
         "column_name", "value", "n", "pos", F.when((F.col("n") > 1) & F.col("value").isNotNull(), F.log(up / down)).otherwise(0.0).alias("woe")
     )
 

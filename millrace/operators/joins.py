@@ -30,12 +30,16 @@ def union_tagged(frames: dict[str, DataFrame], tag: str = "source") -> DataFrame
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def bounded_or_shuffled(df: DataFrame, limit: int = 100_000) -> DataFrame:
-    """A lookup side ready to join: broadcast when it proves to hold at most ``limit`` rows, else shuffled.
+def bounded(df: DataFrame, limit: int = 100_000) -> DataFrame | None:
+    """The frame marked for broadcast when it proves to hold at most ``limit`` rows, else None.
 
     At most ``limit`` + 1 rows are read for the proof, and the rows read are the ones broadcast.
     """
     rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df.hint("shuffle_hash")
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= limit else None
+
+
+def bounded_or_shuffled(df: DataFrame, limit: int = 100_000) -> DataFrame:
+    """A lookup side ready to join: broadcast when proven small, else shuffled by the key."""
+    small = bounded(df, limit)
+    return df.hint("shuffle_hash") if small is None else small

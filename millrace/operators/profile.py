@@ -18,9 +18,9 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def value_shares(df: DataFrame, col: str, digits: int = 6) -> DataFrame:
-    """Count and share per value, NULL is a group. The global window sees one row per group."""
+    """Count and share per value, NULL is a group."""
     counts = df.groupBy(col).agg(F.count("*").alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
+    total = df.agg(F.count("*")).scalar()
     return counts.withColumn("share", F.round(F.col("n").cast("double") / total, digits)).orderBy(col)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from millrace.functions import text as T
 from millrace.operators import ordering, phrases, vocabulary
 from millrace.plans.registry import query, table
+from millrace.runtime import spread
 
 WORDS_SQL = r"regexp_extract_all(lower(text), '[\p{L}\p{N}]+')"
 SIMPLE_SQL = rf"list_filter(regexp_extract_all(translate(lower(text), '{T.ACCENTED}', '{T.PLAIN}'), '\p{{L}}+'), lambda t: length(t) BETWEEN 2 AND 15)"
@@ -25,7 +26,7 @@ def _values(rows):
 
 
 def docs(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
 
 
 @query("A17_token_lengths", rf"SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(text, '\s+'), lambda t: t <> '')) AS INT) AS n_tokens FROM documents")

@@ -9,6 +9,7 @@ from millrace.functions import scalars as X
 from millrace.functions import text as T
 from millrace.operators.quantiles import exact_quantiles
 from millrace.plans.registry import query, table
+from millrace.runtime import spread
 from millrace.sources import embedded
 
 
@@ -18,7 +19,7 @@ from millrace.sources import embedded
               CAST(l_quantity * 1000 AS BIGINT) AS odometer, CAST(NULL AS BIGINT) AS unreadable FROM lineitem""",
 )
 def _(spark, sf):
-    raw = table(spark, sf, "lineitem").select(
+    raw = spread(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity", "l_returnflag"), "l_orderkey").select(
         "l_orderkey",
         "l_linenumber",
         F.concat(F.lit("$"), F.format_number(F.floor("l_extendedprice"), 0)).alias("price"),
@@ -127,7 +128,7 @@ CLEAN_SQL = r"regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, '
 
 @query("X13_clean_text", f"SELECT doc_id, {CLEAN_SQL.format('text')} AS body FROM documents")
 def _(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.clean_text(F.col("text")).alias("body"))
+    return spread(table(spark, sf, "documents").select("doc_id", "text"), "doc_id").select("doc_id", T.clean_text(F.col("text")).alias("body"))
 
 
 @query(

@@ -40,3 +40,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Use all cores for heavy per-row work on a small input that arrives in a few splits.
+
+    An input with at least as many splits as cores, as on any large table, is returned unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *key)
