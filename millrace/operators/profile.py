@@ -111,10 +111,16 @@ def null_shares(df: DataFrame, digits: int = 6) -> DataFrame:
     return shares.unpivot([], list(df.columns), "column_name", "null_share")
 
 
+def _correlation(a: str, b: str) -> Column:
+    """Pearson correlation over rows that hold both values; NULL for a constant column."""
+    x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+    return F.covar_pop(a, b) / F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
     """Pearson correlation of every column pair (strict lower triangle), one pass."""
     pairs = list(combinations(cols, 2))
-    stats = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    stats = df.agg(*[_correlation(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
     rows = [
         F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.round(F.col(f"r{i}"), digits).alias("r"))
         for i, (a, b) in enumerate(pairs)
