@@ -25,7 +25,7 @@ class Components:
         vectors = VectorAssembler(inputCols=self.cols, outputCol="__x").transform(scale(df, self.params))
         model = PCA(k=self.k, inputCol="__x", outputCol="__y").fit(vectors)
         loadings = model.pc.toArray()
-        signs = np.sign(loadings[np.abs(loadings).argmax(axis=0), np.arange(self.k)])
+        signs = np.sign(loadings[np.abs(loadings).round(9).argmax(axis=0), np.arange(self.k)])
         self.loadings = loadings * np.where(signs == 0, 1.0, signs)
         self.explained = [float(x) for x in model.explainedVariance]
         return self

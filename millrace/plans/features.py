@@ -152,8 +152,8 @@ def _(spark, sf):
 
 @query(
     "FE12_pca",
-    """WITH s AS (SELECT avg(l_quantity) AS ma, stddev_pop(l_quantity) AS sa, avg(l_extendedprice) AS mb, stddev_pop(l_extendedprice) AS sb FROM lineitem)
-       SELECT l_orderkey, l_linenumber, round(((l_quantity - ma) / sa + (l_extendedprice - mb) / sb) / sqrt(CAST(2 AS DOUBLE)), 5) AS pc1 FROM lineitem, s""",
+    """WITH s AS (SELECT avg(l_quantity) AS ma, stddev_pop(l_quantity) AS sa, avg(l_extendedprice) AS mb, stddev_pop(l_extendedprice) AS sb, sign(corr(l_quantity, l_extendedprice)) AS r FROM lineitem)
+       SELECT l_orderkey, l_linenumber, round(((l_quantity - ma) / sa + r * (l_extendedprice - mb) / sb) / sqrt(CAST(2 AS DOUBLE)), 5) AS pc1 FROM lineitem, s""",
 )
 def _(spark, sf):
     df = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice")
