@@ -17,7 +17,7 @@ def _valid(name: str):
 
 
 def exact_quantiles(
-    df: DataFrame, cols: Sequence[str], probs: Sequence[float], limit: int = 1_000_000
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], limit: int = 100_000
 ) -> dict[str, list[float | None]]:
     """``{column: [quantile per probability]}``, NULL and NaN ignored.
 
@@ -38,97 +38,95 @@ def exact_quantiles(
             out[c] = list(row[f"q{i}"])
     big = [c for c in cols if sizes[c] > limit]
     if big:
-        wanted = {(c, j): p * (sizes[c] - 1) for c in big for j, p in enumerate(probs)}
-        ranks = {(c, r) for (c, _), pos in wanted.items() for r in (math.floor(pos), math.ceil(pos))}
-        found = _order_statistics(df, ranks, sizes, limit)
-        for (c, j), pos in wanted.items():
-            low, high = found[(c, math.floor(pos))], found[(c, math.ceil(pos))]
-            out[c][j] = low + (high - low) * (pos - math.floor(pos))
+        position = {(c, p): p * (sizes[c] - 1) for c in big for p in probs}
+        targets = {(c, math.floor(pos), math.ceil(pos)) for (c, _), pos in position.items()}
+        found = _order_statistics(df, targets, sizes, limit)
+        for c in big:
+            for j, p in enumerate(probs):
+                pos = position[(c, p)]
+                low, high = found[(c, math.floor(pos))], found[(c, math.ceil(pos))]
+                out[c][j] = low + (high - low) * (pos - math.floor(pos))
     return out
 
 
-def _order_statistics(df, ranks, sizes, limit):
-    """Value at each 0-based ``(column, rank)`` by repeated bracketing."""
-    ends = df.agg(
-        *[F.struct(F.min(_valid(c)), F.max(_valid(c))).alias(f"e{i}") for i, (c, _) in enumerate(sorted(ranks))]
-    ).first()
-    # per target: bracket [lo, hi], values below it, values inside it
-    state = {t: (ends[i][0], ends[i][1], 0, sizes[t[0]]) for i, t in enumerate(sorted(ranks))}
+def _order_statistics(df, targets, sizes, limit):
+    """Values at 0-based ranks; a target (column, rank, rank or next) keeps one bracket for both."""
     found: dict = {}
+    # bracket [lo, hi] with the number of values below it and inside it; None is the whole column
+    state = {t: (None, None, 0, sizes[t[0]]) for t in targets}
     while state:
-        keys = sorted(state)
-        inside = {
-            t: F.when(_valid(t[0]).between(state[t][0], state[t][1]), _valid(t[0])) for t in keys
-        }
-        for t in [t for t in keys if state[t][0] == state[t][1]]:
-            found[t] = state.pop(t)[0]
-        ready = [t for t in state if state[t][3] <= limit]
+        ready = sorted(t for t in state if state[t][3] <= limit)
         if ready:
-            row = df.agg(
-                *[
-                    F.percentile(inside[t], (t[1] - state[t][2]) / max(1, state[t][3] - 1)).alias(f"v{i}")
-                    for i, t in enumerate(ready)
-                ]
-            ).first()
+            picks = []
+            for i, t in enumerate(ready):
+                _, _, below, n = state[t]
+                shares = [(r - below) / max(1, n - 1) for r in t[1:]]
+                picks.append(F.percentile(_inside(t, state[t]), F.array(*map(F.lit, shares))).alias(f"v{i}"))
+            row = df.agg(*picks).first()
             for i, t in enumerate(ready):
-                found[t] = row[f"v{i}"]
+                found.update({(t[0], r): v for r, v in zip(t[1:], row[f"v{i}"])})
                 state.pop(t)
         keys = sorted(state)
         if not keys:
             break
-        margin = 4 / _ACCURACY
-        sketches = []
-        for i, t in enumerate(keys):
-            lo, hi, below, n = state[t]
-            p = (t[1] - below) / max(1, n - 1)
-            sketches.append(
-                F.percentile_approx(inside[t], [max(0.0, p - margin), min(1.0, p + margin)], _ACCURACY).alias(f"b{i}")
-            )
-        brackets = df.agg(*sketches).first()
+        brackets = _brackets(df, keys, state)
         checks = []
         for i, t in enumerate(keys):
-            low, high = brackets[f"b{i}"]
+            low, high = brackets[t]
             v = _valid(t[0])
-            checks += [
-                F.count(F.when(v < low, 1)).alias(f"l{i}"),
-                F.count(F.when(v == low, 1)).alias(f"s{i}"),
-                F.count(F.when(v.between(low, high), 1)).alias(f"m{i}"),
-            ]
+            checks += [F.count(F.when(v < low, 1)).alias(f"l{i}"), F.count(F.when(v.between(low, high), 1)).alias(f"m{i}")]
         tested = df.agg(*checks).first()
         for i, t in enumerate(keys):
-            low, high = brackets[f"b{i}"]
-            below, ties, mid = tested[f"l{i}"], tested[f"s{i}"], tested[f"m{i}"]
-            lo, hi, old_below, n = state[t]
-            if below <= t[1] < below + ties:
-                state[t] = (low, low, below, ties)
-            elif below <= t[1] < below + mid and mid < n:
+            low, high = brackets[t]
+            below, mid = tested[f"l{i}"], tested[f"m{i}"]
+            holds = below <= t[1] and t[2] < below + mid
+            if holds and low == high:
+                found.update({(t[0], r): low for r in t[1:]})
+                state.pop(t)
+            elif holds and mid < state[t][3]:
                 state[t] = (low, high, below, mid)
-            elif t[1] < below:
-                state[t] = (lo, math.nextafter(low, -math.inf), old_below, below - old_below)
-            elif t[1] >= below + mid:
-                state[t] = (math.nextafter(high, math.inf), hi, below + mid, n - (below + mid - old_below))
             else:
-                found[t] = _split(df, t, state.pop(t))
+                state.pop(t)
+                found.update({(t[0], r): _split(df, t[0], r) for r in t[1:]})
     return found
 
 
-def _split(df, target, bracket):
-    """Bisection for a bracket that the sketch cannot shrink (few distinct values, huge ties)."""
-    lo, hi, _, _ = bracket
-    column, rank = target
-    while True:
+def _inside(target, bracket):
+    v, (lo, hi, _, _) = _valid(target[0]), bracket
+    return v if lo is None else F.when(v.between(lo, hi), v)
+
+
+def _brackets(df, keys, state):
+    """Sketched bounds around every target; targets that still span a whole column share its sketch."""
+    margin = 4 / _ACCURACY
+    around = {}
+    for t in keys:
+        _, _, below, n = state[t]
+        shares = [(r - below) / max(1, n - 1) for r in t[1:]]
+        around[t] = (max(0.0, min(shares) - margin), min(1.0, max(shares) + margin))
+    whole: dict[str, list] = {}
+    for t in keys:
+        if state[t][0] is None:
+            whole.setdefault(t[0], []).append(t)
+    groups = list(whole.values()) + [[t] for t in keys if state[t][0] is not None]
+    row = df.agg(
+        *[F.percentile_approx(_inside(g[0], state[g[0]]), [p for t in g for p in around[t]], _ACCURACY).alias(f"b{i}") for i, g in enumerate(groups)]
+    ).first()
+    return {t: tuple(row[f"b{i}"][2 * j : 2 * j + 2]) for i, g in enumerate(groups) for j, t in enumerate(g)}
+
+
+def _split(df, column, rank):
+    """Bisection on the value for a rank that the sketch does not isolate (few distinct values, huge ties)."""
+    v = _valid(column)
+    lo, hi = df.agg(F.min(v), F.max(v)).first()
+    while lo < hi:
         mid = lo + (hi - lo) / 2
-        if mid in (lo, hi):
-            upto = df.agg(F.count(F.when(_valid(column) <= lo, 1))).first()[0]
-            return lo if rank < upto else hi
-        row = df.agg(
-            F.count(F.when(_valid(column) <= mid, 1)),
-            F.max(F.when(_valid(column) <= mid, _valid(column))),
-            F.min(F.when(_valid(column) > mid, _valid(column))),
+        # both sides snap to existing values, so the interval always shrinks
+        upto, left, right = df.agg(
+            F.count(F.when(v <= mid, 1)), F.max(F.when(v <= mid, v)), F.min(F.when(v > mid, v))
         ).first()
-        if rank < row[0]:
-            hi = row[1]
+        if rank < upto:
+            hi = left
         else:
-            lo = row[2]
-        if lo == hi:
-            return lo
+            lo = right
+    return lo

@@ -13,7 +13,7 @@ from millrace.operators import bayes, boosting, models, sampling, vocabulary
 from millrace.plans.frames import RISK_FEATURES, RISK_SQL, risk
 from millrace.plans.language import WORDS_SQL, docs
 from millrace.plans.registry import query, table
-from millrace.runtime import work_path
+from millrace.runtime import cut_lineage, work_path
 
 
 def _parts(spark, sf):
@@ -71,7 +71,8 @@ def _(spark, sf):
         SELECT doc_id, round(s + ln(p / (1 - p)), 5) AS log_odds, CAST(s + ln(p / (1 - p)) > 0 AS INT) AS prediction FROM o, p""",
 )
 def _(spark, sf):
-    terms = vocabulary.document_terms(docs(spark, sf), "doc_id", T.word_tokens(F.col("text")))
+    # read twice, to train and to score
+    terms = cut_lineage(vocabulary.document_terms(docs(spark, sf), "doc_id", T.word_tokens(F.col("text"))))
     labels = table(spark, sf, "labels").select("doc_id", "quality")
     out = bayes.multinomial_scores(terms, labels, "doc_id", "quality", terms)
     return out.withColumn("log_odds", F.round("log_odds", 5))
