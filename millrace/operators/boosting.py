@@ -28,13 +28,15 @@ class AdaBoost:
         self.models: list = []
         self.alphas: list[float] = []
         state = state.persist()
-        held = [state]
+        previous: DataFrame | None = None
         for i in range(self.rounds):
             tree = DecisionTreeClassifier(
                 featuresCol=self.features, labelCol=self.label, weightCol="__w", maxDepth=self.max_depth, seed=self.seed,
                 predictionCol="__p", probabilityCol="__q", rawPredictionCol="__r",
             )
             model = tree.fit(state)
+            if previous is not None:
+                previous.unpersist()  # the fit has filled the new state
             scored = model.transform(state)
             miss = F.col("__p") != F.col(self.label)
             sums = scored.agg(F.sum(F.when(miss, F.col("__w")).otherwise(0.0)).alias("bad"), F.sum("__w").alias("all"), F.count("*").alias("n")).first()
@@ -50,13 +52,13 @@ class AdaBoost:
             # rescale so that the mean weight stays one
             norm = sums["n"] / (sums["all"] + sums["bad"] * (math.exp(alpha) - 1))
             weight = F.col("__w") * F.when(miss, math.exp(alpha)).otherwise(1.0) * norm
-            state = scored.withColumn("__w", weight).drop("__p", "__q", "__r")
+            previous, state = state, scored.withColumn("__w", weight).drop("__p", "__q", "__r")
             if (i + 1) % self.cut_every == 0:
                 state = cut_lineage(state)
             state = state.persist()
-            held.append(state)
-        for h in held:
-            h.unpersist()
+        for held in (previous, state):
+            if held is not None:
+                held.unpersist()
         self.classes = classes
         if not self.models:
             raise ValueError("no tree is better than chance")

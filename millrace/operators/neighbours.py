@@ -14,10 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _SLACK = 1e-9
+_QUERY_BLOCKS = 16  # queries pass one by one, so a chunk of them may be larger than a block of points
 
 
 def _distances(block: np.ndarray, q: np.ndarray, p: int) -> np.ndarray:
@@ -25,6 +26,12 @@ def _distances(block: np.ndarray, q: np.ndarray, p: int) -> np.ndarray:
     return np.abs(diff).sum(axis=1) if p == 1 else np.sqrt((diff * diff).sum(axis=1))
 
 
+def _per_cell(numbers: dict[tuple[str, int], int]) -> Column:
+    """A small number per (group, cell) as a literal map lookup."""
+    pairs = F.create_map(*[x for (g, c), n in numbers.items() for x in (F.lit(f"{g}\u0000{c}"), F.lit(n))])
+    return F.element_at(pairs, F.concat_ws("\u0000", "g", F.col("cell").cast("string")))
+
+
 def nearest(
     queries: DataFrame,
     points: DataFrame,
@@ -67,7 +74,6 @@ def nearest(
     for r in stats:
         cells.setdefault(r["g"], []).append((r["cell"], r["n"], r["radius"]))
     blocks = {(r["g"], r["cell"]): max(1, math.ceil(r["n"] / block)) for r in stats}
-    chunks = max(1, math.ceil(n_queries / block))
     need = k + 1 if exclude_self else k
 
     def to_visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -93,15 +99,17 @@ def nearest(
                         out["block"].append(b)
             yield pd.DataFrame(out)
 
-    visits = qs.mapInPandas(to_visits, "qid long, g string, v array<double>, cell int, block int").withColumn(
-        "chunk", F.pmod(F.xxhash64("qid"), F.lit(chunks)).cast("int")
-    )
-    per_cell = F.create_map(*[x for (g, c), n in blocks.items() for x in (F.lit(f"{g}\u0000{c}"), F.lit(n))])
-    in_cell = F.element_at(per_cell, F.concat_ws("\u0000", "g", F.col("cell").cast("string")))
+    visits = qs.mapInPandas(to_visits, "qid long, g string, v array<double>, cell int, block int")
+    chunks = {c: 1 for c in blocks}
+    if n_queries > _QUERY_BLOCKS * block:
+        # points are repeated only for the query chunks that visit their own cell
+        seen = visits.where("block = 0").groupBy("g", "cell").agg(F.count("*").alias("n")).collect()
+        chunks.update({(r["g"], r["cell"]): max(1, math.ceil(r["n"] / (_QUERY_BLOCKS * block))) for r in seen})
+    visits = visits.withColumn("chunk", F.pmod(F.xxhash64("qid"), _per_cell(chunks)).cast("int"))
     targets = celled.drop("d").withColumns(
         {
-            "block": F.pmod(F.xxhash64("pid"), in_cell).cast("int"),
-            "chunk": F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))),
+            "block": F.pmod(F.xxhash64("pid"), _per_cell(blocks)).cast("int"),
+            "chunk": F.explode(F.sequence(F.lit(0), _per_cell(chunks) - 1)),
         }
     )
     key = ["g", "cell", "block", "chunk"]
