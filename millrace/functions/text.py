@@ -81,5 +81,5 @@ def ngrams(tokens: Column, n: int) -> Column:
     """Array of (start, gram) for every run of ``n`` tokens."""
     starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(0), F.size(tokens) - n)).otherwise(F.array().cast("array<int>"))
     return F.transform(
-        starts, lambda i: F.struct(i.alias("start"), F.array_join(F.slice(tokens, i + 1, n), " ").alias("gram"))
+        starts, lambda i: F.struct(i.alias("start"), F.concat_ws(" ", *[F.get(tokens, i + j) for j in range(n)]).alias("gram"))
     )
