@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from millrace.operators import evaluate
+from millrace.operators.sampling import tag_split
+from millrace.plans.frames import RISK_SQL, risk
 from millrace.plans.registry import query, table
 
 _SCORED_SQL = """SELECT round(least(1, l_quantity / 50) * 0.7 + l_discount * 3, 6) AS s, CAST(l_returnflag = 'R' OR l_quantity > 40 AS INT) AS y FROM lineitem"""
@@ -39,16 +41,18 @@ def _(spark, sf):
     return evaluate.auroc(_scored(spark, sf), "s", "y").select(F.round("somers_d", 8).alias("somers_d"))
 
 
+_SPLIT = "((o_orderkey % 1000003) * 7919 + 31) % 1000 < 700"
+
+
 @query(
     "E3_accuracy",
-    f"""SELECT CASE WHEN s * 1000000 % 2 < 1 THEN 'train' ELSE 'test' END AS part, round(avg(CAST((s > 0.5) = (y = 1) AS DOUBLE)), 9) AS accuracy, count(*) AS n
-        FROM (SELECT round(s * 100, 0) / 1000000 AS s, y FROM ({_SCORED_SQL})) GROUP BY 1""",
+    f"""SELECT CASE WHEN {_SPLIT} THEN 'train' ELSE 'test' END AS part, round(avg(CAST(CAST(price > 300 AS INT) = label AS DOUBLE)), 9) AS accuracy, count(*) AS n
+        FROM ({RISK_SQL}) GROUP BY 1""",
 )
 def _(spark, sf):
-    df = _scored(spark, sf).select((F.round(F.col("s") * 100, 0) / 1000000).alias("s"), "y")
-    part = F.when(F.col("s") * 1000000 % 2 < 1, "train").otherwise("test")
-    scored = df.select(part.alias("part"), "y", (F.col("s") > 0.5).cast("int").alias("p"))
-    return evaluate.accuracy(scored, "y", "p", ["part"]).withColumn("accuracy", F.round("accuracy", 9))
+    ruled = risk(spark, sf).select("o_orderkey", "label", (F.col("price") > 300).cast("int").alias("p"))
+    scored = tag_split(ruled, "o_orderkey", 0.7, seed=31)
+    return evaluate.accuracy(scored, "label", "p", ["part"]).withColumn("accuracy", F.round("accuracy", 9))
 
 
 _PRED = "CASE WHEN event_id % 4 = 0 THEN 'click' WHEN event_id % 9 = 0 THEN 'view' ELSE event_type END"
