@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import BASE, BASE_INVERSE, BYTES, NULL_ID, U, Words, buffers, mix, powers, slices, stream, windows
+from millrace.llm.words import BASE, BASE_INVERSE, BYTES, NULL_ID, U, Words, buffers, mix, powers, slices, stream, windows, winnow
 
 RUN, PAIR = 3, 2
 SECOND = stream(3, 256)
@@ -41,17 +41,6 @@ class Lines:
         self.first = np.searchsorted(self.doc, np.arange(len(w.offsets)))
 
 
-def winnow(h: np.ndarray, width: int) -> np.ndarray:
-    """For each window of ``width`` values the place of its least one, the rightmost of ties."""
-    n = len(h) - width + 1
-    best, at = h[:n].copy(), np.arange(n)
-    for j in range(1, width):
-        less = h[j : n + j] <= best
-        best = np.where(less, h[j : n + j], best)
-        at = np.where(less, np.arange(j, n + j), at)
-    return at
-
-
 def _fingerprints(batches):
     names = ["id", "key", "print", "at", "run", "run2"]
     for batch in batches:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, lines, pii, quality, warc
+from millrace.llm import bpe, chat, decontaminate, jaccard, lines, phrases, pii, quality, suffix_tree, warc
 from millrace.runtime import cut_lineage, work_path
 
 QUERIES: dict = {}
@@ -86,6 +86,12 @@ def chat_tree(spark, sf):
     )
 
 
+@query("op4_repeated_phrases")
+def repeated_phrases(spark, sf):
+    out = phrases.remove(table(spark, sf, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op5_personal_data")
 def personal_data(spark, sf):
     found = pii.find(table(spark, sf, "documents").select("doc_id", "text"))
@@ -100,6 +106,11 @@ def benchmark_overlap(spark, sf):
     return decontaminate.overlaps(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@query("op7_jaccard_join")
+def jaccard_join(spark, sf):
+    return jaccard.join(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 @query("op8_line_dedup")
 def line_dedup(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -113,6 +124,12 @@ def bpe_roundtrip(spark, sf):
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op10_suffix_tree")
+def suffix_tree_score(spark, sf):
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    return suffix_tree.score(table(spark, sf, "documents").select("doc_id", "text"), held_out)
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
