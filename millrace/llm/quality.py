@@ -42,9 +42,10 @@ def features(df: DataFrame, text_col: str = "text", window: int = 5) -> DataFram
 
     n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_distinct, n_capitals, n_marks (long).
     """
+    own = df.columns
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = df.withColumn("__t", text).withColumn("__w", F.array_remove(F.split(F.translate("__t", SPACES, " " * len(SPACES)), " "), ""))
-    df = df.withColumn("__l", F.filter(F.split("__t", "\n"), lambda x: F.trim(x, F.lit(SPACES)) != "")).withColumn("n_words", F.size("__w").cast("long"))
+    df = df.withColumn("__l", F.filter(F.split("__t", "\n"), lambda x: F.trim(x, F.lit(SPACES)) != ""))
     last = F.size("__w") - window
     df = df.withColumn("__g", F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.concat_ws(" ", F.slice("__w", i + 1, window)))).otherwise(F.array().cast("array<string>")))
     # only texts with a repeated window pay for the sort that finds where it stands
@@ -55,19 +56,20 @@ def features(df: DataFrame, text_col: str = "text", window: int = 5) -> DataFram
         WHEN x.g = try_element_at(__s, j + 2).g THEN x.i END), x -> x IS NOT NULL))""")
     df = df.withColumn("__p", F.when(F.col("__s").isNotNull(), near))
     covered = F.expr(f"aggregate(transform(__p, (x, j) -> CASE WHEN j + 1 < size(__p) THEN least({window}, __p[j + 1] - x) ELSE {window} END), 0L, (a, x) -> a + x)")
-    df = df.withColumns(
-        {
-            "word_chars": F.length(F.translate("__t", SPACES, "")).cast("long"),
-            "n_symbols": _count(F.col("__t"), SYMBOLS).cast("long"),
-            "n_lines": F.size("__l").cast("long"),
-            "n_dup_lines": (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long"),
-            "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
-            "n_distinct": F.size(F.array_distinct("__w")).cast("long"),
-            "n_capitals": (F.length("__t") - F.length(F.regexp_replace("__t", r"\p{Lu}+", ""))).cast("long"),
-            "n_marks": _count(F.col("__t"), "!?").cast("long"),
-        }
-    )
-    return df.drop("__t", "__w", "__l", "__g", "__s", "__p")
+    counts = {
+        "n_words": F.size("__w"),
+        "word_chars": F.length(F.translate("__t", SPACES, "")),
+        "n_symbols": _count(F.col("__t"), SYMBOLS),
+        "n_lines": F.size("__l"),
+        "n_dup_lines": F.size("__l") - F.size(F.array_distinct("__l")),
+        "n_repeat_words": F.coalesce(covered, F.lit(0)),
+        "n_distinct": F.size(F.array_distinct("__w")),
+        "n_capitals": F.length("__t") - F.length(F.regexp_replace("__t", r"\p{Lu}+", "")),
+        "n_marks": _count(F.col("__t"), "!?"),
+    }
+    # a generator, since a filter on a count pushed below a projection would work the count out again, many times over
+    out = F.inline(F.array(F.struct(*[c.cast("long").alias(n) for n, c in counts.items()])))
+    return df.select(*[c for c in own if c not in counts], out)
 
 
 def base_failed(least_words: int = 10, most_repeats: int = 20) -> Column:
@@ -95,7 +97,8 @@ def cutoffs(featured: DataFrame, labels: DataFrame, stratum: str = "lang", id_co
     truth = labels.where("quality IS NOT NULL").groupBy(id_col).agg(F.min("quality").alias("__q"))
     held = featured.join(truth, id_col).where("NOT (" + _BASE + ")")
     names = list(RULES)
-    scored = held.select(F.col(stratum).alias("stratum"), "__q", *[F.expr(RULES[r]).alias(r) for r in names])
+    # a few numbers per labelled text, written so that the counts below do not work them out again
+    scored = cut_lineage(held.select(F.col(stratum).alias("stratum"), "__q", *[F.expr(RULES[r]).alias(r) for r in names]))
 
     def over(r: str, c: float, q: int) -> Column:
         return F.count_if((F.col(r) > c) & (F.col("__q") == q))
