@@ -206,4 +206,5 @@ def read(paths: DataFrame, folder: str) -> DataFrame:
                             rows, size = [], 0
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return paths.select("path").repartition("path").mapInArrow(run, RECORD)
+    tasks = max(1, min(paths.count(), 10_000))  # a stated number: few bytes of paths stand for many of archives
+    return paths.select("path").repartition(tasks, "path").mapInArrow(run, RECORD)
