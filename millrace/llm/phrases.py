@@ -12,13 +12,16 @@ Ids order documents, null ids come last; windows of rows with the same id never
 
 from __future__ import annotations
 
+from itertools import compress
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import gather
-from millrace.llm.words import NULL_ID, STEPS, U, ids, mix, slices, windows, winnow
+from millrace.llm.words import BASE, BASE_INVERSE, NULL_ID, STEPS, U, Words, buffers, ids, mix, powers, slices, windows, winnow
 
 WINDOW, SEED = 13, 6
 HOT = 2_000  # rows with an anchor from which on its windows are spread over all shards
@@ -69,72 +72,85 @@ def anchors(docs: DataFrame, buckets: int, hot: int = HOT) -> DataFrame:
     return gather.ask(docs, request, reduce)
 
 
-def _pieces(table: pa.Table, theirs: pa.Table) -> dict:
-    """The passages of a chunk whose anchors repeat, each distinct one once, in an order that depends on the chunk only.
-
-    body: words joined by a space; first: (row, word) places of its first window; count: windows; shard key.
+class Pieces:
+    """The passages of a chunk whose anchors repeat: per occurrence ``row``, ``word`` (of its text), ``count`` of windows,
+    ``shard`` key and ``piece`` number. Equal passages have one number; numbers depend on the chunk only.
     """
-    keys = np.unique(_anchor_rows(table)[0])
-    level = gather.answers(theirs, np.uint8) if theirs.num_rows else np.zeros(len(keys), np.uint8)
-    id_of = ids(table.column("id"))
-    pieces: dict[bytes, list] = {}
-    for i, _, w in slices(table.column("text")):
-        a = Anchors(w)
-        if not len(a.at):
-            continue
-        lv = level[np.searchsorted(keys, a.key)]
-        take = np.flatnonzero(lv)
-        if not len(take):
-            continue
-        at, seed, lv = a.at[take], a.seed_at[take], lv[take]
-        new = np.ones(len(take), bool)
-        new[1:] = (seed[1:] != seed[:-1]) | (at[1:] != at[:-1] + 1) | (lv[1:] == 2)
-        start = np.flatnonzero(new)
-        count = np.diff(np.append(start, len(take)))
-        total = np.zeros(len(start), U)
-        for k in range(WINDOW):  # of the first window; only hot anchors are dealt by it
-            total += a.h[at[start] + k] * STEPS[k]
-        shard = np.where(lv[start] == 2, mix(total), a.key[take][start])
-        data, s, e, doc, first = w.data, w.start, w.end, w.doc, w.first
-        for p, n, q in zip(at[start].tolist(), count.tolist(), shard.tolist(), strict=True):
-            body = b" ".join(data[s[p] : e[p + n + WINDOW - 2]].tobytes().split())
-            row = int(doc[p])
-            found = pieces.get(body)
-            place = (i + row, p - int(first[row]))
-            if found is None:
-                pieces[body] = [q, n, id_of[place[0]], id_of[place[0]], [place]]
-            else:
-                found[2], found[3] = min(found[2], id_of[place[0]]), max(found[3], id_of[place[0]])
-                found[4].append(place)
-    return pieces
+
+    def __init__(self, table: pa.Table, theirs: pa.Table):
+        keys = np.unique(_anchor_rows(table)[0])
+        level = gather.answers(theirs, np.uint8) if theirs.num_rows else np.zeros(len(keys), np.uint8)
+        parts, self.where, self.slices = [], [], []
+        for i, _, w in slices(table.column("text")):
+            a = Anchors(w)
+            self.slices.append(w)
+            lv = level[np.searchsorted(keys, a.key)] if len(a.at) else np.zeros(0, np.uint8)
+            take = np.flatnonzero(lv)
+            if not len(take):
+                continue
+            at, seed, lv = a.at[take], a.seed_at[take], lv[take]
+            new = np.ones(len(take), bool)
+            new[1:] = (seed[1:] != seed[:-1]) | (at[1:] != at[:-1] + 1) | (lv[1:] == 2)
+            start = np.flatnonzero(new)
+            count = np.diff(np.append(start, len(take)))
+            p = at[start]
+            head = np.zeros(len(start), U)
+            for k in range(WINDOW):  # of the first window; only hot anchors are dealt by it
+                head += a.h[p + k] * STEPS[k]
+            total = np.zeros(len(a.h) + 1, U)
+            np.cumsum(a.h * powers(BASE, len(a.h)), out=total[1:])
+            end = p + count + WINDOW - 1
+            whole = mix((total[end] - total[p]) * powers(BASE_INVERSE, len(a.h))[p] + count.astype(U))
+            row = i + w.doc[p]
+            parts.append((row, p - w.first[w.doc[p]], count, np.where(lv[start] == 2, mix(head), a.key[take][start]), whole))
+            self.where.append(np.stack([np.full(len(p), len(self.slices) - 1), w.start[p], w.end[end - 1]], 1))
+        empty = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, U),) * 2
+        self.row, self.word, self.count, self.shard, whole = (np.concatenate(x) for x in zip(empty, *parts, strict=True))
+        _, self.first, self.piece = np.unique(whole, return_index=True, return_inverse=True)
+        self.where = np.concatenate([np.zeros((0, 3), np.int64), *self.where])
+
+    def bodies(self) -> list[bytes]:
+        """Words of each distinct passage, joined by a space."""
+        return [b" ".join(self.slices[k].data[s:e].tobytes().split()) for k, s, e in self.where[self.first].tolist()]
+
+
+def _of_runs(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start[i], start[i] + 1, ... count[i] numbers for each i."""
+    ends = np.cumsum(count)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - count), count)
 
 
 def locate(table: pa.Table) -> pa.Table:
     """A shard's passages to replies: for each the first document of each of its windows (NULL_ID: it does not repeat)."""
     import ahocorasick
 
-    number: dict[bytes, int] = {}
-    bodies = [tuple(number.setdefault(w, len(number)) for w in b.split(b" ")) for b in table.column("body").to_pylist()]
-    lows, highs = table.column("lo").to_pylist(), table.column("hi").to_pylist()
-    spans: dict[tuple, tuple] = {}
-    for words, lo, hi in zip(bodies, lows, highs, strict=True):
-        for k in range(len(words) - WINDOW + 1):
-            key = words[k : k + WINDOW]
-            have = spans.get(key)
-            spans[key] = (lo, hi) if have is None else (min(lo, have[0]), max(hi, have[1]))
+    w = Words(*buffers(table.column("body").cast(pa.string())))
+    _, number = np.unique(w.hashes(), return_inverse=True)
+    lows, highs = table.column("lo").to_numpy(), table.column("hi").to_numpy()
+    found, at = windows(w.hashes(), WINDOW, w.doc)
+    order = np.argsort(found, kind="stable")
+    start = np.flatnonzero(np.append(True, np.diff(found[order]) != 0)) if len(order) else order
+    lo, hi = np.minimum.reduceat(lows[w.doc[at[order]]], start), np.maximum.reduceat(highs[w.doc[at[order]]], start)
+    confirmed = np.flatnonzero(lo < hi)  # it stands in two documents
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for key, (lo, hi) in spans.items():
-        if lo < hi:  # confirmed: it stands in two documents
-            automaton.add_word(key, lo)
-    del spans
-    firsts = [np.full(len(words) - WINDOW + 1, NULL_ID, np.int64) for words in bodies]
+    number = number.tolist()
+    for p, first in zip(at[order[start[confirmed]]].tolist(), lo[confirmed].tolist(), strict=True):
+        automaton.add_word(tuple(number[p : p + WINDOW]), first)
+    some = np.zeros(len(found), bool)  # passages without a confirmed window need not be streamed
+    some[order] = np.repeat(lo < hi, np.diff(np.append(start, len(order))))
+    rows = np.unique(w.doc[at[some]])
+    out = []
     if len(automaton):
         automaton.make_automaton()
-        for words, out in zip(bodies, firsts, strict=True):
-            for end, lo in automaton.iter(words):
-                out[end - WINDOW + 1] = lo
-    kept = [k for k, x in enumerate(firsts) if (x != NULL_ID).any()]
-    return pa.table({"chunk": table.column("chunk").take(kept), "piece": table.column("piece").take(kept), "firsts": pa.array([firsts[k].tobytes() for k in kept], pa.binary())})
+        for a, b in zip(w.first[rows].tolist(), w.first[rows + 1].tolist(), strict=True):
+            firsts = [NULL_ID] * (b - a - WINDOW + 1)
+            for end, first in automaton.iter(tuple(number[a:b])):
+                firsts[end - WINDOW + 1] = first
+            out.append(firsts)
+    sizes = [len(x) for x in out]
+    flat, ends = np.array([x for firsts in out for x in firsts], np.int64), np.cumsum(sizes)
+    packed = pa.array([flat[e - n : e].tobytes() for e, n in zip(ends, sizes, strict=True)], pa.binary())
+    return pa.table({"chunk": table.column("chunk").take(rows), "piece": table.column("piece").take(rows), "firsts": packed})
 
 
 def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = gather.CHUNK_BYTES) -> DataFrame:
@@ -147,19 +163,15 @@ def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_
     reply = anchors(docs, buckets)
 
     def send(table: pa.Table, theirs: pa.Table) -> pa.Table:
-        pieces = _pieces(table, theirs)
+        p = Pieces(table, theirs)
+        n = len(p.first)
+        id_of = ids(table.column("id"))[p.row]
+        lo, hi = np.full(n, NULL_ID), np.full(n, -(2**63))
+        np.minimum.at(lo, p.piece, id_of)
+        np.maximum.at(hi, p.piece, id_of)
         chunk = table.column("chunk")[0].as_py() if table.num_rows else 0
-        keys = np.array([x[0] for x in pieces.values()], U)
-        return pa.table(
-            {
-                "shard": pa.array(gather.bucket_of(mix(keys), shards).astype(np.int32)),
-                "chunk": pa.array(np.full(len(keys), chunk, np.int32)),
-                "piece": pa.array(np.arange(len(keys), dtype=np.int32)),
-                "lo": pa.array([int(x[2]) for x in pieces.values()], pa.int64()),
-                "hi": pa.array([int(x[3]) for x in pieces.values()], pa.int64()),
-                "body": pa.array(list(pieces), pa.binary()),
-            }
-        )
+        shard = gather.bucket_of(mix(p.shard[p.first]), shards).astype(np.int32)
+        return pa.table({"shard": pa.array(shard), "chunk": pa.array(np.full(n, chunk, np.int32)), "piece": pa.array(np.arange(n, dtype=np.int32)), "lo": pa.array(lo), "hi": pa.array(hi), "body": pa.array(p.bodies(), pa.binary())})
 
     located = gather.answered(docs, reply, send, PIECE).groupBy("shard").applyInArrow(locate, "chunk int, piece int, firsts binary")
     none = F.lit(None)
@@ -167,33 +179,30 @@ def remove(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_
     kind = dict(docs.dtypes)["id"]
 
     def mark(table: pa.Table, theirs: pa.Table) -> pa.Table:
-        import pyarrow.compute as pc
-
         known = theirs.filter(pc.is_valid(theirs.column("piece")))
-        level = theirs.filter(pc.is_null(theirs.column("piece"))).select(["chunk", "bucket", "vals"])
-        places = [x[4] for x in _pieces(table, level).values()] if known.num_rows else []
+        p = Pieces(table, theirs.filter(pc.is_null(theirs.column("piece"))).select(["chunk", "bucket", "vals"]))
         id_of = ids(table.column("id"))
-        covered: dict[int, list[int]] = {}
-        for piece, data in zip(known.column("piece").to_pylist(), known.column("vals").to_pylist(), strict=True):
-            firsts = np.frombuffer(data, np.int64)
-            for row, word in places[piece]:
-                hit = np.flatnonzero(firsts < id_of[row])
-                if len(hit):
-                    covered.setdefault(row, []).extend((word + hit).tolist())
-        n_words, n_removed, kept = [], [], []
-        for i, j, w in slices(table.column("text")):
-            for row in range(i, j):
-                a, b = int(w.first[row - i]), int(w.first[row - i + 1])
-                gone = np.zeros(b - a + 1, np.int64)
-                if row in covered:
-                    at = np.array(covered[row])
-                    np.add.at(gone, at, 1)
-                    np.add.at(gone, at + WINDOW, -1)
-                gone = np.cumsum(gone[:-1]) > 0
-                text = w.data[w.offsets[row - i] : w.offsets[row - i + 1]].tobytes().split()
-                n_words.append(b - a)
-                n_removed.append(int(gone.sum()))
-                kept.append(b" ".join(x for x, g in zip(text, gone.tolist(), strict=True) if not g) if n_removed[-1] else b" ".join(text))
-        return pa.table({"id": table.column("id"), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept": pa.array(kept, pa.binary()).cast(pa.string())})
+        # the answers one after another, and where those of each piece begin
+        firsts = np.frombuffer(b"".join(known.column("vals").to_pylist()), np.int64)
+        sizes = pc.binary_length(known.column("vals")).to_numpy() // 8
+        begin = np.full(len(p.first), -1)
+        begin[known.column("piece").to_numpy()] = np.cumsum(sizes) - sizes
+        has = np.flatnonzero(begin[p.piece] >= 0)
+        count = p.count[has]
+        later = firsts[_of_runs(begin[p.piece[has]], count)] < np.repeat(id_of[p.row[has]], count)
+        words_of = np.concatenate([np.zeros(0, np.int64), *[np.diff(w.first) for w in p.slices]])
+        base = np.concatenate([[0], np.cumsum(words_of)])
+        at = _of_runs(base[p.row[has]] + p.word[has], count)[later]
+        edge = np.bincount(at, minlength=base[-1] + WINDOW + 1) - np.bincount(at + WINDOW, minlength=base[-1] + WINDOW + 1)
+        stays = np.cumsum(edge)[: base[-1]] == 0
+        gone = np.concatenate([[0], np.cumsum(~stays)])
+        n_removed = gone[base[1:]] - gone[base[:-1]]
+        kept, row = [], 0
+        for w in p.slices:
+            for a, b in zip(w.offsets[:-1].tolist(), w.offsets[1:].tolist(), strict=True):
+                text = w.data[a:b].tobytes().split()
+                kept.append(b" ".join(compress(text, stays[base[row] : base[row + 1]].tolist()) if n_removed[row] else text))
+                row += 1
+        return pa.table({"id": table.column("id"), "n_words": pa.array(words_of), "n_removed": pa.array(n_removed), "kept": pa.array(kept, pa.binary()).cast(pa.string())})
 
     return gather.answered(docs, both, mark, f"id {kind}, n_words long, n_removed long, kept string").withColumnRenamed("id", id_col)
