@@ -1,8 +1,10 @@
 """N-gram Jaccard join with a count-vector R-tree.
 
-1. Shingle hashes are dealt into groups by their value. If two sets of sizes a and b reach the similarity they differ in
-   at most 15/185 (a + b) elements (for 85 %), so with more groups than that some non-empty group is the same in both.
-   Group contents are therefore join keys that lose no link, and near copies only share them.
+1. Shingle hashes, without those that a bounded sample shows to be common, are dealt into groups by their value. If two
+   sets of sizes a and b reach the similarity they differ in at most 15/185 (a + b) elements (for 85 %), so with more
+   groups than that some group is the same in both, and it has two elements or more unless a set has very many smaller
+   groups (such sets give all their groups). Group contents are therefore join keys that lose no link, and hardly any
+   texts but near copies share them.
 2. Texts that share keys, directly or through others, form families. A family is indexed in blocks: the counts of each
    text's shingles in ``DIMENSIONS`` groups are a point, points are packed into an R-tree's leaves, and the summed minima
    of counts, of leaf corners first, then of points, bound the overlap from above. What passes is verified on the sets.
@@ -27,6 +29,7 @@ from millrace.runtime import cut_lineage, work_path
 
 DIMENSIONS, LEAF, BLOCK = 128, 16, 256
 BITS = 25
+SAMPLE = 16 << 20  # bytes of text that are looked at for common shingles
 
 
 def shingles(w: Words, k: int) -> list[np.ndarray]:
@@ -69,23 +72,39 @@ class Levels:
         a = self.low[level + 1] - 1
         total = a + a * 100 // self.percent
         most = total * (100 - self.percent) // (100 + self.percent)
-        return (1, 0) if most == 0 else (most + 3 + most // 8, most)
-
-    def keys(self, s: np.ndarray) -> np.ndarray:
-        n = len(s)
-        own = self.of(n)
-        out = []
+        return (1, 0) if most == 0 else (most + 3 + most * 3 // 10, most)
+
+    def keys(self, s: np.ndarray, common: np.ndarray) -> np.ndarray:
+        """Join keys of a set; two linked sets have one in common, whatever ``common`` (sorted) holds.
+
+        Leaving common shingles out makes sets differ in no more elements. A set in which groups of fewer than two such
+        elements could be all that agrees also gives keys over all its shingles; as its partner does, or else they agree
+        in a group of two or more.
+        """
+        rare = s
+        if len(common):
+            rare = s[common[np.minimum(np.searchsorted(common, s), len(common) - 1)] != s]
+        keys, enough = self._keys(rare, len(s), 2, 1)
+        if not enough:
+            keys = np.concatenate([keys, self._keys(s, len(s), 2, 2)[0], self._keys(s, len(s), 0, 3)[0] if not self._keys(s, len(s), 2, 2)[1] else keys[:0]])
+        return keys
+
+    def _keys(self, s: np.ndarray, n: int, least: int, space: int) -> tuple[np.ndarray, bool]:
+        """Keys of the groups of at least ``least`` elements; whether one of them must agree with any linked set."""
+        own, out, enough = self.of(n), [np.zeros(0, U)], True
         for level in {own, self.of(-(-n * self.percent // 100))}:  # as the smaller set, and as partner of a smaller one
             g, most = self.groups(level)
-            group = ((s >> U(32)) * U(g)) >> U(32)
-            start = np.flatnonzero(np.diff(group.astype(np.int64), prepend=-1))
-            total = np.add.reduceat(mix(s ^ U(0x9E3779B97F4A7C15)), start)
-            which = group[start]
-            if g - len(start) >= g - most:  # so uneven that all groups that agree may be empty ones
-                which = np.concatenate([which, np.setdiff1d(np.arange(g, dtype=U), which)])
-                total = np.concatenate([total, np.zeros(len(which) - len(total), U)])
-            out.append(mix(total + mix(which * U(4096) + U(level + 1))))
-        return np.concatenate(out)
+            group = (((s >> U(32)) * U(g)) >> U(32)).astype(np.int64)
+            start = np.flatnonzero(np.diff(group, prepend=-1))
+            size = np.zeros(g, np.int64)
+            total = np.zeros(g, U)
+            if len(start):
+                size[group[start]] = np.diff(np.append(start, len(s)))
+                total[group[start]] = np.add.reduceat(mix(s ^ U(0x9E3779B97F4A7C15)), start)
+            take = np.flatnonzero(size >= least)
+            enough &= g - len(take) < g - most
+            out.append(mix(total[take] + mix(take.astype(U) * U(4096) + U(4 * level + space))))
+        return np.concatenate(out), enough
 
 
 def _stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -100,8 +119,23 @@ def _stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return keys[start], nodes[start], edges[:, 0], edges[:, 1]
 
 
-def candidates(docs: DataFrame, k: int, levels: Levels, buckets: int) -> DataFrame:
+def common_shingles(docs: DataFrame, k: int, size: int) -> np.ndarray:
+    """Shingles that two different sets of a sample of about SAMPLE bytes share; they only decide which keys are used."""
+    texts = docs.where(F.pmod(F.xxhash64("id", "text"), F.lit(max(1, size // SAMPLE))) == 0).select("text")
+
+    def run(batches):
+        for batch in batches:
+            for _, _, w in slices(batch.column(0), lower=True):
+                sets = [s for s in shingles(w, k) if len(s)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, U), *sets]).view(np.int64)), pa.array(np.repeat(np.array([signature(s) for s in sets], U), [len(s) for s in sets]).view(np.int64))], ["shingle", "node"])
+
+    shared = texts.mapInArrow(run, "shingle long, node long").groupBy("shingle").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi").select("shingle")
+    return np.sort(shared.toArrow().column(0).to_numpy().view(U))
+
+
+def candidates(docs: DataFrame, k: int, levels: Levels, buckets: int, size: int) -> DataFrame:
     """Edges (a, b) of set signatures that hold together all sets with a key in common."""
+    shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, k, size))  # of about SAMPLE bytes of text
 
     def rows(keys, nodes, a, b):
         """Keys and edges by bucket; each bucket's in one row."""
@@ -126,7 +160,7 @@ def candidates(docs: DataFrame, k: int, levels: Levels, buckets: int) -> DataFra
                 seen = {}
                 for s in shingles(w, k):
                     if len(s) and (node := signature(s)) not in seen:
-                        seen[node] = levels.keys(s)
+                        seen[node] = levels.keys(s, shared.value)
                 for node, keys in seen.items():
                     held.append((keys, np.full(len(keys), node, U)))
                     size += len(keys)
@@ -279,7 +313,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int =
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, size // (2 << 20))
-    edges = cut_lineage(candidates(docs, k, Levels(percent), buckets))
+    edges = cut_lineage(candidates(docs, k, Levels(percent), buckets, size))
     family = cut_lineage(components(edges))
     path = work_path(spark, "sets")
     members(docs, k, family).write.parquet(path)
