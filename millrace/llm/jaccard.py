@@ -27,7 +27,7 @@ from millrace.llm.components import components
 from millrace.llm.words import STEPS, U, Words, mix, slices
 from millrace.runtime import cut_lineage, work_path
 
-DIMENSIONS, LEAF, BLOCK = 128, 16, 256
+DIMENSIONS, LEAF, BLOCK = 128, 16, 2 << 20  # a block is so many bytes of sets
 BITS = 25
 SAMPLE = 16 << 20  # bytes of text that are looked at for common shingles
 
@@ -319,8 +319,9 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int =
     members(docs, k, family).write.parquet(path)
     stored = spark.read.parquet(path)
     sets = stored.where("body IS NOT NULL").groupBy("node").agg(F.first("body").alias("body"))
-    counted = family.groupBy("root").agg(F.count("*").alias("m"))
-    placed = family.join(counted, "root").join(sets, "node").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("long")).withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    found = cut_lineage(family.join(sets, "node"))
+    counted = found.groupBy("root").agg(F.sum(F.length("body")).alias("m"))
+    placed = found.join(counted, "root").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("long")).withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     tasks = max(1, min(4096, size // (4 << 20)))
     # each block by itself, and with the family's hub block
     hub = placed.where("block = 0 AND blocks > 1").select("node", "root", "body", F.explode(F.sequence(F.lit(1), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("side"))
@@ -329,9 +330,9 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int =
     links = cut_lineage(rows.groupBy("task").applyInArrow(_link(percent), "a long, b long"))
     # large families again, in blocks of one component each; blocks that are wholly of the same component never meet
     large = placed.where("blocks > 1").select("node", "root", "body")
-    found = components(links).select("node", F.col("root").alias("known"))
-    large = large.join(found, "node", "left").withColumn("known", F.coalesce("known", "node"))
-    amount = large.groupBy("root", "known").agg(F.count("*").alias("c"))
+    known = components(links).select("node", F.col("root").alias("known"))
+    large = large.join(known, "node", "left").withColumn("known", F.coalesce("known", "node"))
+    amount = large.groupBy("root", "known").agg(F.sum(F.length("body")).alias("c"))
     small = amount.where(F.col("c") < BLOCK // 2).groupBy("root").agg(F.sum("c").alias("rest"))
     plan = amount.join(small, "root", "left").select("root", "known", "c", F.ceil(F.coalesce("rest", F.lit(0)) / BLOCK).cast("long").alias("mixed"))
     pure = F.col("c") >= BLOCK // 2

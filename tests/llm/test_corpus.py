@@ -109,7 +109,7 @@ def near_copies(rnd, vocab, groups, copies):
     return out
 
 
-@pytest.mark.parametrize("block", [256, 8])
+@pytest.mark.parametrize("block", [jaccard.BLOCK, 8_000])
 def test_jaccard_join(spark, block, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", block)
     rnd = random.Random(11)
