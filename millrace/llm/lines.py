@@ -14,43 +14,49 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.words import BASE, BASE_INVERSE, BYTES, NULL_ID, U, Words, buffers, mix, powers, slices, stream, windows, winnow
+from millrace.llm.words import BASE, BASE_INVERSE, BYTES, NULL_ID, U, Words, mix, powers, slices, stream, windows, winnow
+from millrace.runtime import work_path
 
 RUN, PAIR = 3, 2
 SECOND = stream(3, 256)
 
 
 class Lines:
-    """Lines with a word of several texts: hash, text number, and number of the line among all lines of its text."""
+    """Lines with a word of several texts: text number, and number of the line among all lines of its text."""
 
-    def __init__(self, w: Words, table: np.ndarray = BYTES):
+    def __init__(self, w: Words):
         breaks = np.flatnonzero(w.data == 10)
         before = np.searchsorted(breaks, w.start)  # line breaks before each word
         new = np.ones(len(w.start), bool)
         new[1:] = (before[1:] != before[:-1]) | (w.doc[1:] != w.doc[:-1])
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(new)) if len(first) else first
-        total = np.zeros(len(new) + 1, U)
-        np.cumsum(w.hashes(table) * powers(BASE, len(new)), out=total[1:])
-        self.hash = mix((total[last] - total[first]) * powers(BASE_INVERSE, len(new) + 1)[first] + (last - first).astype(U))
+        self.words, first = w, np.flatnonzero(new)
+        self.from_, self.to = first, np.append(first[1:], len(new)) if len(first) else first
         self.doc = w.doc[first]
         self.number = before[first] - np.searchsorted(breaks, w.offsets[self.doc])
         self.first = np.searchsorted(self.doc, np.arange(len(w.offsets)))
 
+    def hashes(self, table: np.ndarray = BYTES) -> np.ndarray:
+        h = self.words.hashes(table)
+        total = np.zeros(len(h) + 1, U)
+        np.cumsum(h * powers(BASE, len(h)), out=total[1:])
+        return mix((total[self.to] - total[self.from_]) * powers(BASE_INVERSE, len(h) + 1)[self.from_] + (self.to - self.from_).astype(U))
+
 
 def _fingerprints(batches):
     names = ["id", "key", "print", "at", "run", "run2"]
     for batch in batches:
         for i, _, w in slices(batch.column(1)):
-            lines, second = Lines(w), Lines(w, SECOND)
-            runs, at = windows(lines.hash, RUN, lines.doc)
+            lines = Lines(w)
+            hashes = lines.hashes()
+            runs, at = windows(hashes, RUN, lines.doc)
             if not len(at):
                 continue
-            runs2, _ = windows(second.hash, RUN, lines.doc)
-            pairs, _ = windows(lines.hash, PAIR)
+            runs2, _ = windows(lines.hashes(SECOND), RUN, lines.doc)
+            pairs, _ = windows(hashes, PAIR)
             chosen = winnow(pairs, RUN - PAIR + 1)[at]
             rows = pa.array(i + lines.doc[at])
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(2).take(rows), pa.array(pairs[chosen].view(np.int64)), pa.array((at - lines.first[lines.doc[at]]).astype(np.int64)), pa.array(runs.view(np.int64)), pa.array(runs2.view(np.int64))], names)
@@ -65,7 +71,9 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     kind = dict(df.dtypes)[id_col]
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = df.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("key"))
-    prints = docs.mapInArrow(_fingerprints, f"id {kind}, key long, print long, at long, run long, run2 long")
+    path = work_path(df.sparkSession, "line_runs")
+    docs.mapInArrow(_fingerprints, f"id {kind}, key long, print long, at long, run long, run2 long").write.parquet(path)
+    prints = df.sparkSession.read.parquet(path)
     place = F.struct(F.coalesce("id", F.lit(NULL_ID)).alias("id"), "key", "at") if kind in ("bigint", "int") else F.struct(F.col("id").isNull().alias("n"), "id", "key", "at")
     # a fingerprint that stands at two places, counted before the shuffle
     twice = prints.groupBy("print").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select("print")
@@ -81,20 +89,21 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
 
     def cut(batches):
         for batch in batches:
-            texts, deleted, left = [], [], []
-            at = batch.column(len(names)).to_pylist()
-            for r in range(batch.num_rows):
-                value = batch.column(where)[r].as_py()
-                lines = Lines(Words(*buffers(batch.column(where).slice(r, 1))))
-                gone = extend(at[r] or [], len(lines.hash))
-                if gone.any():
-                    numbers = set(lines.number[gone].tolist())
-                    value = "\n".join(x for k, x in enumerate(value.split("\n")) if k not in numbers)
-                texts.append(value)
-                deleted.append(int(gone.sum()))
-                left.append(int(len(gone) - gone.sum()))
-            columns = [pa.array(texts, pa.string()) if k == where else batch.column(k) for k in range(len(names))]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(deleted, pa.int64()), pa.array(left, pa.int64())], [*names, "n_lines_deleted", "n_lines_left"])
+            n = batch.num_rows
+            texts, marks = batch.column(where), batch.column(len(names))
+            deleted, left = np.zeros(n, np.int64), np.zeros(n, np.int64)
+            changed, new = np.zeros(n, bool), []
+            for i, j, w in slices(texts):
+                lines = Lines(w)
+                left[i:j] = np.diff(lines.first)
+                for row in np.flatnonzero(marks.slice(i, j - i).is_valid().to_numpy(zero_copy_only=False)).tolist():
+                    gone = extend(marks[i + row].as_py(), int(left[i + row]))
+                    numbers = set(lines.number[lines.first[row] : lines.first[row + 1]][gone].tolist())
+                    new.append("\n".join(x for k, x in enumerate(texts[i + row].as_py().split("\n")) if k not in numbers))
+                    changed[i + row], deleted[i + row] = True, gone.sum()
+            texts = pc.replace_with_mask(texts, pa.array(changed), pa.array(new, texts.type))
+            columns = [texts if k == where else batch.column(k) for k in range(len(names))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(deleted), pa.array(left - deleted)], [*names, "n_lines_deleted", "n_lines_left"])
 
     return joined.select(*names, "__at").mapInArrow(cut, schema)
 
