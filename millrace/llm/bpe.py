@@ -14,9 +14,12 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,6 +93,46 @@ def fragments(path: str) -> Fragments:
     return Fragments(path)
 
 
+class WordCache:
+    """Ids and decoded text of words between ASCII white space, where no token can span; each new word is encoded once."""
+
+    def __init__(self, tok, most: int = 400_000):
+        self.tok, self.most = tok, most
+        self.clear()
+
+    def clear(self):
+        self.number, self.start, self.size, self.flat, self.text = {}, array("q"), array("q"), array("i"), []
+
+    def learn(self, words: list[bytes]) -> None:
+        for w, x in zip(words, self.tok.encode_batch_fast([w.decode() for w in words], add_special_tokens=False), strict=True):
+            self.number[w] = len(self.text)
+            self.start.append(len(self.flat))
+            self.size.append(len(x.ids))
+            self.flat.extend(x.ids)
+            self.text.append(self.tok.decode(x.ids, skip_special_tokens=False))
+
+    def code(self, texts: list[bytes], decode: bool) -> tuple[np.ndarray, np.ndarray, list]:
+        """Offsets of the texts in the ids, ids, decoded texts. Without a decoder decoded words are joined by a space."""
+        if len(self.text) > self.most:
+            self.clear()
+        words = [t.split() for t in texts]
+        if new := list({w for ws in words for w in ws}.difference(self.number)):
+            self.learn(new)
+        number = self.number
+        at = [[number[w] for w in ws] for ws in words]
+        flat = np.array(list(chain.from_iterable(at)), np.int64)
+        sizes = np.array(self.size, np.int64)[flat]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        offsets = ends[np.concatenate([[0], np.cumsum([len(x) for x in at])]).astype(np.int64)]
+        ids = np.array(self.flat, np.int32)[np.arange(ends[-1]) + np.repeat(np.array(self.start, np.int64)[flat] - ends[:-1], sizes)]
+        if not decode:
+            return offsets, ids, [None] * len(texts)
+        if self.tok.decoder is not None:
+            return offsets, ids, [self.tok.decode(ids[a:b].tolist(), skip_special_tokens=False) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        text = self.text
+        return offsets, ids, [" ".join([y for k in x if (y := text[k])]) for x in at]
+
+
 def cut(text: str, piece: int, tok) -> Iterator[tuple[int, bool, str | None, list[int] | None]]:
     """(run, last, piece, ids): run 0 is ordinary text, a higher number a fragment of that over-long word; or finished ids."""
     i, run, n = 0, 0, len(text)
@@ -149,12 +192,13 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         return pa.RecordBatch.from_arrays([keys, pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())], ["id", "ids", "decoded"])
 
     def whole(batches):
-        tok = load(path)
+        cache = WordCache(load(path))
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part = batch.slice(i, 256)
-                found = tok.encode_batch_fast(part.column(1).to_pylist(), add_special_tokens=False)
-                yield done(tok, part.column(0), [x.ids for x in found])
+            for i in range(0, batch.num_rows, 1000):
+                part = batch.slice(i, 1000)
+                offsets, ids, texts = cache.code(part.column(1).cast(pa.binary()).to_pylist(), decode)
+                coded = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+                yield pa.RecordBatch.from_arrays([part.column(0), coded, pa.array(texts, pa.string())], ["id", "ids", "decoded"])
 
     def cutting(batches):
         tok = load(path)
