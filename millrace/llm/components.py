@@ -18,6 +18,15 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return near.join(least, "a").where("b <> m").select(F.col("m").alias("a"), "b").distinct()
 
 
+ROWS = 200_000  # edges in a partition of what is kept between rounds
+
+
+def _kept(edges: DataFrame, before: int) -> DataFrame:
+    """Written to the checkpoint folder, in partitions for as many edges as there were before: a star never adds any
+    but those of a node to its own least neighbour. Few edges in many partitions would be many empty shuffle files."""
+    return cut_lineage(edges.coalesce(1 + 2 * before // ROWS))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); the root is the least node of its component.
 
@@ -30,5 +39,5 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
-        edges = cut_lineage(_star(_star(edges, True), False))
+        edges = _kept(_star(_kept(_star(edges, True), now[0]), False), now[0])
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())

@@ -313,7 +313,7 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int =
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, size // (2 << 20))
-    edges = cut_lineage(candidates(docs, k, Levels(percent), buckets, size))
+    edges = candidates(docs, k, Levels(percent), buckets, size)  # the components cut the lineage
     family = cut_lineage(components(edges))
     path = work_path(spark, "sets")
     members(docs, k, family).write.parquet(path)
