@@ -121,6 +121,8 @@ def _split(df, column, rank):
     lo, hi = df.agg(F.min(v), F.max(v)).first()
     while lo < hi:
         mid = lo + (hi - lo) / 2
+        if mid >= hi:  # neighbouring doubles: the midpoint rounds up
+            mid = lo
         # both sides snap to existing values, so the interval always shrinks
         upto, left, right = df.agg(
             F.count(F.when(v <= mid, 1)), F.max(F.when(v <= mid, v)), F.min(F.when(v > mid, v))
