@@ -53,8 +53,10 @@ def silhouette(df: DataFrame, value: str, cluster: str, limit: int = 64) -> Data
     """(value, cluster, n, silhouette) per distinct value with plain distances, exact.
 
     Counts and sums of every cluster below a value come from one running total over the distinct
-    values, one column pair per cluster, so no pair of rows is ever formed.
+    values, one column pair per cluster, so no pair of rows is ever formed. Rows without a value or
+    cluster are left out.
     """
+    df = df.where(F.col(value).cast("double").isNotNull() & F.col(cluster).isNotNull())
     clusters = [r[0] for r in df.select(cluster).distinct().orderBy(cluster).limit(limit + 1).collect()]
     if len(clusters) > limit:
         raise ValueError(f"more than {limit} clusters")
@@ -63,10 +65,10 @@ def silhouette(df: DataFrame, value: str, cluster: str, limit: int = 64) -> Data
     for j, c in enumerate(clusters):
         mine = F.col(cluster) == c
         aggs += [F.count(F.when(mine, 1)).alias(f"n{j}"), F.coalesce(F.sum(F.when(mine, x)), F.lit(0.0)).alias(f"s{j}")]
-    per_value = df.where(x.isNotNull()).groupBy(x.alias("value")).agg(*aggs)
+    per_value = df.groupBy(x.alias("value")).agg(*aggs)
     measures = [m for j in range(len(clusters)) for m in (f"n{j}", f"s{j}")]
     run = running_totals(per_value, "value", measures)
-    totals = df.where(x.isNotNull()).agg(F.struct(*[a for a in aggs]).alias("t")).scalar()
+    totals = df.agg(F.struct(*aggs).alias("t")).scalar()
     wide = run.withColumn("t", totals)
     v = F.col("value")
     distance = [

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.runtime import cut_lineage
+
 
 def category_list(df: DataFrame, col: str, limit: int = 10_000) -> list:
     """Sorted categories of a column; refuses a column with more than ``limit`` of them."""
@@ -49,8 +51,8 @@ def woe_fit(train: DataFrame, cols: Sequence[str], label: str, regularization: f
 
 
 def woe_apply(df: DataFrame, table: DataFrame, cols: Sequence[str], suffix: str = "_woe") -> DataFrame:
-    """Add the fitted value per column; values not seen in training and NULL get 0."""
-    out = df
+    """Add the fitted value per column; values not seen in training and NULL get 0. The table is worked out once."""
+    out, table = df, cut_lineage(table.where(F.col("column_name").isin(*cols)))
     for c in cols:
         lookup = table.where(F.col("column_name") == c).select(F.col("value").alias(f"__{c}"), F.col("woe").alias(c + suffix))
         out = out.join(lookup, F.col(c).cast("string") == F.col(f"__{c}"), "left").drop(f"__{c}")

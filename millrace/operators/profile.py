@@ -20,7 +20,7 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 def value_shares(df: DataFrame, col: str, digits: int = 6) -> DataFrame:
     """Count and share per value, NULL is a group."""
     counts = df.groupBy(col).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*")).scalar()
+    total = counts.agg(F.sum("n")).scalar()  # over the grouped counts, whose shuffle is reused
     return counts.withColumn("share", F.round(F.col("n").cast("double") / total, digits)).orderBy(col)
 
 

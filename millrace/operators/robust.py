@@ -124,7 +124,7 @@ def _medcouple_distributed(clean: DataFrame, counts: DataFrame, median: float) -
             merged = asked.unionByName(known).groupBy("j", "y").agg(F.sum("na").alias("na"), F.sum("nb").alias("nb"))
             run = running_totals(merged, "y", ["nb"], by=["j"], edges=edges)
             # values of b at or above the threshold: all minus those strictly below it
-            rows = run.groupBy("j").agg(F.sum(F.col("na") * (F.lit(n_down) - F.col("nb_run") + F.col("nb"))).alias("p"))
+            rows = run.groupBy("j").agg(F.sum(F.col("na").cast("decimal(19,0)") * (F.lit(n_down) - F.col("nb_run") + F.col("nb")).cast("decimal(19,0)")).alias("p"))
             got = {r["j"]: int(r["p"]) for r in rows.collect()}
             return [got[j] + _tie_pairs(t, ties, n_down) for j, t in enumerate(ts)]
 

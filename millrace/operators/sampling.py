@@ -12,8 +12,9 @@ from millrace.operators.running import numbered
 
 
 def key_bucket(key: str, seed: int, buckets: int = 1000) -> Column:
-    """Reproducible bucket of an integer key."""
-    return F.pmod(F.pmod(F.col(key), F.lit(1_000_003)) * 7919 + seed, F.lit(buckets))
+    """Reproducible bucket of a key, by digits of an MD5 digest that SQL engines can compute as well."""
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(buckets))
 
 
 def hash_bucket(key: str, seed: int, buckets: int = 1000) -> Column:

@@ -24,7 +24,7 @@ def _silhouette_sql(cuts):
 @query("C1_kmeans_groups")
 def _(spark, sf):
     df = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
-    fitted = cluster.OneColumnKMeans("c_acctbal", 4, restarts=3).fit(df)
+    fitted = cluster.OneColumnKMeans("c_acctbal", 4).fit(df)
     return fitted.transform(df, "balance_group")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import evaluate
 from millrace.operators.sampling import tag_split
-from millrace.plans.frames import RISK_SQL, risk
+from millrace.plans.frames import RISK_SQL, bucket_sql, risk
 from millrace.plans.registry import query, table
 
 _SCORED_SQL = """SELECT round(least(1, l_quantity / 50) * 0.7 + l_discount * 3, 6) AS s, CAST(l_returnflag = 'R' OR l_quantity > 40 AS INT) AS y FROM lineitem"""
@@ -41,7 +41,7 @@ def _(spark, sf):
     return evaluate.auroc(_scored(spark, sf), "s", "y").select(F.round("somers_d", 8).alias("somers_d"))
 
 
-_SPLIT = "((o_orderkey % 1000003) * 7919 + 31) % 1000 < 700"
+_SPLIT = bucket_sql("o_orderkey", 31) + " < 700"
 
 
 @query(

@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.operators import components, encode, impute, joins, robust, sampling, scaling
-from millrace.plans.frames import GAPS_SQL, gaps, risk
+from millrace.plans.frames import GAPS_SQL, gaps, risk, bucket_sql
 from millrace.plans.registry import query, table
 
 _LINES = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -241,12 +241,11 @@ def _(spark, sf):
     return impute.ChainedImputer(["age", "fare", "class"]).fit_transform(df)
 
 
-_SPLIT_SQL = "(({k} % 1000003) * 7919 + {s}) % {b}"
 
 
 @query(
     "FE18_split",
-    f"SELECT o_orderkey, CASE WHEN {_SPLIT_SQL.format(k='o_orderkey', s=31, b=1000)} < 700 THEN 'train' ELSE 'test' END AS part FROM orders",
+    f"SELECT o_orderkey, CASE WHEN {bucket_sql('o_orderkey', 31, 1000)} < 700 THEN 'train' ELSE 'test' END AS part FROM orders",
 )
 def _(spark, sf):
     return sampling.tag_split(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 0.7, seed=31)
@@ -254,7 +253,7 @@ def _(spark, sf):
 
 @query(
     "FE19_undersample",
-    f"""SELECT doc_id, toxic FROM (SELECT doc_id, toxic, row_number() OVER (PARTITION BY toxic ORDER BY {_SPLIT_SQL.format(k='doc_id', s=1, b=1000000)}, doc_id) AS rn
+    f"""SELECT doc_id, toxic FROM (SELECT doc_id, toxic, row_number() OVER (PARTITION BY toxic ORDER BY {bucket_sql('doc_id', 1, 1000000)}, doc_id) AS rn
         FROM labels) WHERE rn <= (SELECT min(n) FROM (SELECT count(*) AS n FROM labels GROUP BY toxic))""",
 )
 def _(spark, sf):

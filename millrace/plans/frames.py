@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 
 from millrace.plans.registry import table
 
+
+def bucket_sql(key: str, seed: int, buckets: int = 1000) -> str:
+    """The SQL of ``sampling.key_bucket``."""
+    return f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR) || ':{seed}'), 1, 8) AS BIGINT) % {buckets}"
+
+
 # default risk per order: numeric and coded inputs, a noisy rule as label
 RISK_SQL = """SELECT o_orderkey, o_totalprice / 1000 AS price, c_acctbal / 1000 AS balance,
     CAST(extract(year FROM o_orderdate) AS DOUBLE) AS year, CAST(substr(o_orderpriority, 1, 1) AS DOUBLE) AS priority,

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml import classification as C
-from pyspark.ml.feature import IDF, Binarizer, CountVectorizer, PolynomialExpansion, RegexTokenizer, VectorAssembler
+from pyspark.ml.feature import IDF, HashingTF, PolynomialExpansion, RegexTokenizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 from millrace.operators import bayes, boosting, models, sampling, vocabulary
-from millrace.plans.frames import RISK_FEATURES, RISK_SQL, risk
+from millrace.plans.frames import RISK_FEATURES, RISK_SQL, bucket_sql, risk
 from millrace.plans.language import WORDS_SQL, docs
 from millrace.plans.registry import query, table
 from millrace.runtime import cut_lineage, work_path
@@ -26,7 +26,7 @@ def _score(spark, sf, family, scaling="standard", **params):
     return models.score_batch(model, test, ["o_orderkey"]).withColumn("pd", F.round("pd", 6))
 
 
-_SPLIT = "((o_orderkey % 1000003) * 7919 + 31) % 1000 < 700"
+_SPLIT = bucket_sql("o_orderkey", 31) + " < 700"
 _NB = f"""WITH r AS ({RISK_SQL}), t AS (SELECT * FROM r WHERE {_SPLIT}), e AS (SELECT 0.01 * greatest(var_pop(price), var_pop(balance)) AS e FROM t),
    c AS (SELECT label AS c, ln(CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM t)) AS prior, avg(price) AS mp, var_pop(price) AS vp, avg(balance) AS mb, var_pop(balance) AS vb FROM t GROUP BY 1),
    j AS (SELECT o_orderkey, c, prior - 0.5 * (ln(2 * pi() * (vp + e)) + ln(2 * pi() * (vb + e))) - pow(price - mp, 2) / (2 * (vp + e)) - pow(balance - mb, 2) / (2 * (vb + e)) AS lj
@@ -47,19 +47,22 @@ def _(spark, sf):
     return _score(spark, sf, "naive_bayes")
 
 
-def _labelled(spark, sf):
-    return docs(spark, sf).join(table(spark, sf, "labels").select("doc_id", "quality", "toxic"), "doc_id")
-
-
-@query("M2_bernoulli_nb")
+@query(
+    "M2_bernoulli_nb",
+    f"""WITH w AS (SELECT DISTINCT doc_id, term FROM (SELECT doc_id, unnest({WORDS_SQL}) AS term FROM documents)),
+        c AS (SELECT CAST(sum(quality) AS DOUBLE) AS n1, CAST(sum(1 - quality) AS DOUBLE) AS n0 FROM labels),
+        t AS (SELECT term, CAST(sum(quality) AS DOUBLE) AS k1, CAST(sum(1 - quality) AS DOUBLE) AS k0 FROM w JOIN labels USING (doc_id) GROUP BY 1 HAVING count(*) >= 5),
+        p AS (SELECT term, (k1 + 1) / (n1 + 2) AS p1, (k0 + 1) / (n0 + 2) AS p0 FROM t, c),
+        r AS (SELECT term, ln(p1 / p0) AS present, ln((1 - p1) / (1 - p0)) AS absent FROM p),
+        o AS (SELECT doc_id, sum(present - absent) AS s FROM w JOIN r USING (term) GROUP BY 1),
+        d AS (SELECT doc_id, coalesce(s, 0) + (SELECT coalesce(sum(absent), 0) FROM r) + ln(n1 / n0) AS x FROM documents LEFT JOIN o USING (doc_id), c)
+        SELECT doc_id, round(x, 5) AS log_odds, CAST(x > 0 AS INT) AS prediction FROM d""",
+)
 def _(spark, sf):
-    df = _labelled(spark, sf).select("doc_id", "quality", T.word_tokens(F.col("text")).alias("tokens"))
-    stages = [
-        CountVectorizer(inputCol="tokens", outputCol="counts", minDF=5.0, vocabSize=20_000),
-        Binarizer(inputCol="counts", outputCol="flags", threshold=0.0),
-        C.NaiveBayes(modelType="bernoulli", featuresCol="flags", labelCol="quality"),
-    ]
-    return models.score_batch(Pipeline(stages=stages).fit(df), df, ["doc_id"])
+    terms = cut_lineage(vocabulary.document_terms(docs(spark, sf), "doc_id", T.word_tokens(F.col("text"))))
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    out = bayes.bernoulli_scores(terms, labels, "doc_id", "quality", table(spark, sf, "documents").select("doc_id"))
+    return out.withColumn("log_odds", F.round("log_odds", 5))
 
 
 @query(
@@ -67,14 +70,15 @@ def _(spark, sf):
     f"""WITH w AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest({WORDS_SQL}) AS term FROM documents) GROUP BY 1, 2),
         t AS (SELECT term, sum(n * quality) AS n1, sum(n * (1 - quality)) AS n0 FROM w JOIN labels USING (doc_id) GROUP BY 1),
         s AS (SELECT count(*) AS v, CAST(sum(n1) AS DOUBLE) AS t1, CAST(sum(n0) AS DOUBLE) AS t0 FROM t), p AS (SELECT avg(quality) AS p FROM labels),
-        o AS (SELECT doc_id, sum(n * ln(((CAST(n1 AS DOUBLE) + 1) / (t1 + v)) / ((CAST(n0 AS DOUBLE) + 1) / (t0 + v)))) AS s FROM w JOIN t USING (term), s GROUP BY 1)
-        SELECT doc_id, round(s + ln(p / (1 - p)), 5) AS log_odds, CAST(s + ln(p / (1 - p)) > 0 AS INT) AS prediction FROM o, p""",
+        o AS (SELECT doc_id, sum(n * ln(((CAST(n1 AS DOUBLE) + 1) / (t1 + v)) / ((CAST(n0 AS DOUBLE) + 1) / (t0 + v)))) AS s FROM w JOIN t USING (term), s GROUP BY 1),
+        d AS (SELECT doc_id, coalesce(s, 0) + ln(p / (1 - p)) AS x FROM documents LEFT JOIN o USING (doc_id), p)
+        SELECT doc_id, round(x, 5) AS log_odds, CAST(x > 0 AS INT) AS prediction FROM d""",
 )
 def _(spark, sf):
     # read twice, to train and to score
     terms = cut_lineage(vocabulary.document_terms(docs(spark, sf), "doc_id", T.word_tokens(F.col("text"))))
     labels = table(spark, sf, "labels").select("doc_id", "quality")
-    out = bayes.multinomial_scores(terms, labels, "doc_id", "quality", terms)
+    out = bayes.multinomial_scores(terms, labels, "doc_id", "quality", table(spark, sf, "documents").select("doc_id"))
     return out.withColumn("log_odds", F.round("log_odds", 5))
 
 
@@ -146,7 +150,7 @@ def _(spark, sf):
 
 @query("M9_gradient_boosting")
 def _(spark, sf):
-    return _score(spark, sf, "boosted", n_estimators=10, max_depth=3)
+    return _score(spark, sf, "boosted", n_estimators=20, max_depth=5)
 
 
 @query("M9_boosting_one_vs_rest")
@@ -173,24 +177,26 @@ def _(spark, sf):
 
 @query("M13_perceptron_one_layer")
 def _(spark, sf):
-    return _score(spark, sf, "perceptron", scaling="min_max", layers=[4, 8, 2], maxIter=30)
+    return _score(spark, sf, "perceptron", scaling="min_max", layers=[4, 8, 2], maxIter=100)
 
 
 @query("M13_perceptron_two_layers")
 def _(spark, sf):
-    return _score(spark, sf, "perceptron", scaling="min_max", layers=[4, 8, 4, 2], maxIter=30)
+    return _score(spark, sf, "perceptron", scaling="min_max", layers=[4, 8, 4, 2], maxIter=100)
 
 
 @query("M15_text_classifier")
 def _(spark, sf):
-    df = _labelled(spark, sf)
+    """Trained on the labelled documents, scores all. Terms are hashed into 2^18 columns: none is dropped, and the
+    driver holds one weight per column however many terms there are."""
+    df = docs(spark, sf).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
     stages = [
         RegexTokenizer(inputCol="text", outputCol="tokens", pattern=r"[^\p{L}\p{N}]+"),
-        CountVectorizer(inputCol="tokens", outputCol="counts", minDF=2.0, vocabSize=20_000),
-        IDF(inputCol="counts", outputCol="weighted"),
+        HashingTF(inputCol="tokens", outputCol="counts", numFeatures=1 << 18),
+        IDF(inputCol="counts", outputCol="weighted", minDocFreq=2),
         C.LogisticRegression(featuresCol="weighted", labelCol="quality", maxIter=10, regParam=0.01),
     ]
-    return models.score_batch(Pipeline(stages=stages).fit(df), df, ["doc_id"], extra=["quality"])
+    return models.score_batch(Pipeline(stages=stages).fit(df.where("quality IS NOT NULL")), df, ["doc_id"], extra=["quality"])
 
 
 @query("M16_score_batch")
@@ -202,17 +208,19 @@ def _(spark, sf):
 
 # fixed values: the named settings of the scoring model
 NAMED_SETTINGS = {"max_depth": 4, "n_estimators": 83, "learning_rate": 0.1, "max_features": 11}
+CODES = {"o_orderstatus": ["F", "O", "P"], "c_mktsegment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]}
 
 
 @query("M18_named_settings")
 def _(spark, sf):
-    """Label-first table; the tree count is cut to 10 of 83 and the feature count to the four inputs."""
-    df = risk(spark, sf).select("label", *RISK_FEATURES, "o_orderkey")
+    """Label-first table: four numbers, and one column per order status and market segment."""
+    codes = [(c, v) for c, vs in CODES.items() for v in vs]
+    flags = [(F.col(c) == v).cast("double").alias(f"{c}_{v}") for c, v in codes]
+    df = risk(spark, sf).select("label", *RISK_FEATURES, *flags, "o_orderkey")
     label, *rest = df.columns
     features = [c for c in rest if c != "o_orderkey"]
-    chosen = NAMED_SETTINGS | {"n_estimators": 10, "max_features": len(features)}
     train, test = sampling.split_by_key(df, "o_orderkey", 0.7, seed=31)
-    model = models.classifier_stages("boosted", features, label, scaling=None, **chosen).fit(train)
+    model = models.classifier_stages("boosted", features, label, scaling=None, **NAMED_SETTINGS).fit(train)
     return models.score_batch(model, test, ["o_orderkey"]).withColumn("pd", F.round("pd", 6))
 
 

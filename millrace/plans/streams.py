@@ -28,7 +28,7 @@ def event_model(spark, sf):
 @query("M17_score_stream")
 def _(spark, sf):
     model = event_model(spark, sf)
-    stream = scoring.read_file_stream(spark, sf, "events.parquet", table(spark, sf, "events").schema)
+    stream = scoring.read_file_stream(spark, f"{sf}/events.parquet", table(spark, sf, "events").schema)
     out, marks = work_path(spark, "scored"), work_path(spark, "scored_checkpoint")
     scoring.score_stream(prepared(stream), model, ["event_id"], out, marks)
     return spark.read.parquet(out).withColumn("pd", F.round("pd", 6))

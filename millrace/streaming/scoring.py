@@ -10,14 +10,9 @@ from pyspark.sql.types import StructType
 from millrace.operators.models import score_batch
 
 
-def read_file_stream(spark: SparkSession, folder: str, pattern: str, schema: StructType, files_per_batch: int = 64) -> DataFrame:
-    """Parquet files that land in a folder, as a stream."""
-    return (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .parquet(folder)
-    )
+def read_file_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 64) -> DataFrame:
+    """Parquet files that land in a folder, or one file, as a stream."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def score_stream(stream: DataFrame, model, key: Sequence[str], output: str, checkpoint: str) -> None:
