@@ -12,7 +12,9 @@ from millrace.operators.models import score_batch
 
 def read_file_stream(spark: SparkSession, path: str, schema: StructType, files_per_batch: int = 64) -> DataFrame:
     """Parquet files that land in a folder, or one file, as a stream."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    # as a pattern of one name: a plain path would have to be a folder
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(f"{parent}/{{{name}}}")
 
 
 def score_stream(stream: DataFrame, model, key: Sequence[str], output: str, checkpoint: str) -> None:

@@ -11,7 +11,7 @@ from conftest import SMALL
 from millrace.operators import bayes, boosting, cluster, components, encode, evaluate, impute, models, profile, sampling, tune
 from millrace.plans import streams
 from millrace.plans.frames import RISK_FEATURES, gaps, risk
-from millrace.plans.registry import table
+from millrace.plans.registry import QUERIES, table
 from millrace.runtime import work_path
 
 
@@ -183,7 +183,7 @@ def test_tuning(spark):
 def test_stream_equals_batch(spark):
     from __spark_entry__ import queries
 
-    streamed = sorted(map(tuple, queries()["M17_score_stream"](spark, SMALL).collect()))
+    streamed = sorted(map(tuple, QUERIES["M17_score_stream"](spark, SMALL).collect()))
     batch = models.score_batch(streams.event_model(spark, SMALL), streams.prepared(table(spark, SMALL, "events")), ["event_id"])
     assert streamed == sorted(map(tuple, batch.withColumn("pd", F.round("pd", 6)).collect()))
 
@@ -198,3 +198,13 @@ def test_profiles_of_edge_frames(spark):
     flat = spark.createDataFrame([(2.0,), (2.0,)], "a double")
     assert {r["bin"]: r["n"] for r in profile.histogram(flat, ["a"], 4).collect()} == {0: 2, 1: 0, 2: 0, 3: 0}
     assert profile.corr_matrix(spark.createDataFrame([(1.0, 2.0), (2.0, 2.0)], "a double, b double"), ["a", "b"]).first()["r"] is None
+
+
+def test_stream_over_a_table_of_part_files(spark, tmp_path):
+    spark.read.parquet(f"{SMALL}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    assert QUERIES["M17_score_stream"](spark, str(tmp_path)).count() == spark.read.parquet(f"{SMALL}/events.parquet").count()
+
+
+def test_silhouette_leaves_nulls_out(spark):
+    df = spark.createDataFrame([(1.0, 0), (2.0, 0), (8.0, 1), (9.0, 1), (None, None), (None, 0), (5.0, None)], "v double, g int")
+    assert sorted(r["value"] for r in cluster.silhouette(df, "v", "g").collect()) == [1.0, 2.0, 8.0, 9.0]
