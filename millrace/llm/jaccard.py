@@ -68,11 +68,14 @@ class Levels:
         return int(np.searchsorted(self.low, n, "right")) - 1
 
     def groups(self, level: int) -> tuple[int, int]:
-        """Groups, and how many of them may differ between linked sets of which the smaller one is of this level."""
+        """Groups, and how many of them may differ between linked sets of which the smaller one is of this level.
+
+        Spare groups beyond those make up for small ones; the lower the similarity, the smaller groups are.
+        """
         a = self.low[level + 1] - 1
         total = a + a * 100 // self.percent
         most = total * (100 - self.percent) // (100 + self.percent)
-        return (1, 0) if most == 0 else (most + 3 + most * 3 // 10, most)
+        return (1, 0) if most == 0 else (most + 3 + most * 2 * (100 - self.percent) // 100, most)
 
     def keys(self, s: np.ndarray, common: np.ndarray) -> np.ndarray:
         """Join keys of a set; two linked sets have one in common, whatever ``common`` (sorted) holds.

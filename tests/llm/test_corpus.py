@@ -109,14 +109,14 @@ def near_copies(rnd, vocab, groups, copies):
     return out
 
 
-@pytest.mark.parametrize("block", [jaccard.BLOCK, 8_000])
-def test_jaccard_join(spark, block, monkeypatch):
+@pytest.mark.parametrize(("block", "k", "percent"), [(jaccard.BLOCK, 4, 85), (8_000, 4, 85), (8_000, 5, 80)])
+def test_jaccard_join(spark, block, k, percent, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", block)
     rnd = random.Random(11)
     data = awkward.rows(near_copies(rnd, awkward.vocabulary(300), 14, 25))
     rnd.shuffle(data)
-    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard.join(awkward.frame(spark, data)).collect())
-    want = brute_join([x[:2] for x in data])
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard.join(awkward.frame(spark, data), k=k, percent=percent).collect())
+    want = brute_join([x[:2] for x in data], k, percent)
     assert got == want
     assert len({x[2] for x in want}) < len(want) - 100
     assert jaccard.join(awkward.frame(spark, [])).count() == 0
@@ -128,19 +128,20 @@ def test_jaccard_join_query(spark):
     assert got == brute_join(docs)
 
 
-def test_group_keys_lose_no_link():
+@pytest.mark.parametrize("percent", [85, 80])
+def test_group_keys_lose_no_link(percent):
     import numpy as np
 
     rnd = np.random.default_rng(4)
-    levels = jaccard.Levels(85)
+    levels = jaccard.Levels(percent)
     for n in [*range(1, 40), 100, 127, 500, 5000]:
         for _ in range(20):
             a = np.unique(rnd.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
-            both = rnd.integers(math.ceil(0.85 * n), n + 1)
-            extra = int(both / 0.85) - n  # the largest union
+            both = rnd.integers(math.ceil(percent / 100 * n), n + 1)
+            extra = int(both * 100 / percent) - n  # the largest union
             b = np.unique(np.concatenate([rnd.permutation(a)[:both], rnd.integers(0, 2**63, max(0, rnd.integers(0, extra + 1))).astype(np.uint64) * np.uint64(2) + np.uint64(1)]))
             common = len(np.intersect1d(a, b))
-            if 100 * common >= 85 * (len(a) + len(b) - common):
+            if 100 * common >= percent * (len(a) + len(b) - common):
                 for share in (0, 0.1, 0.6, 1):
                     union = np.union1d(a, b)
                     common = np.sort(rnd.permutation(union)[: int(share * len(union))])

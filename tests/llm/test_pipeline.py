@@ -56,7 +56,7 @@ def test_pipeline(spark):
     assert not cuts  # too few labels at this size
     left = [(i, t) for i, t, _ in docs if (n := base_counts(t))[0] >= 10 and 100 * n[4] <= 20 * n[0]]
     left = brute_lines(left)
-    groups = {i for i, _, c in brute_join(left) if i == c}
+    groups = {i for i, _, c in brute_join(left, k=5, percent=80) if i == c}
     left = [(i, t) for i, t in left if str(i) in groups]
     numbers = {}
     items = [numbered(r.text or "", numbers) for r in table("benchmark").collect()]
