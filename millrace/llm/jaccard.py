@@ -80,17 +80,19 @@ class Levels:
     def keys(self, s: np.ndarray, common: np.ndarray) -> np.ndarray:
         """Join keys of a set; two linked sets have one in common, whatever ``common`` (sorted) holds.
 
-        Leaving common shingles out makes sets differ in no more elements. A set in which groups of fewer than two such
-        elements could be all that agrees also gives keys over all its shingles; as its partner does, or else they agree
-        in a group of two or more.
+        Leaving common shingles out makes sets differ in no more elements. The steps below give more and more keys, each
+        step those of the one before as well, and a set goes on until one of them is bound to hold a group that agrees
+        with any linked set; of two sets the one that stops first vouches for both.
         """
         rare = s
         if len(common):
             rare = s[common[np.minimum(np.searchsorted(common, s), len(common) - 1)] != s]
-        keys, enough = self._keys(rare, len(s), 2, 1)
-        if not enough:
-            keys = np.concatenate([keys, self._keys(s, len(s), 2, 2)[0], self._keys(s, len(s), 0, 3)[0] if not self._keys(s, len(s), 2, 2)[1] else keys[:0]])
-        return keys
+        n, keys = len(s), {}
+        for elements, least, space in ((rare, 2, 1), (s, 2, 2), (rare, 1, 1), (s, 1, 2), (s, 0, 2)):
+            keys[space], enough = self._keys(elements, n, least, space)
+            if enough:
+                break
+        return np.concatenate(list(keys.values()))
 
     def _keys(self, s: np.ndarray, n: int, least: int, space: int) -> tuple[np.ndarray, bool]:
         """Keys of the groups of at least ``least`` elements; whether one of them must agree with any linked set."""
