@@ -1,27 +1,30 @@
 """Language-model scoring with a probabilistic suffix tree.
 
-Symbols are the words that make up at least ``share`` of all training tokens, the end of a text, and one symbol for all
-other words; so there are at most 1/share + 2, and at most 1/share contexts of each length can be frequent enough to
-become states. A context of one or two symbols is kept as a state if the distribution of the next symbol differs from
-that of its suffix by more than its size explains (gain in log likelihood against half the log of the corpus size per
-next symbol seen). Each state is smoothed towards its suffix (Witten-Bell), the root being the smoothed word counts. A
-text is scored with the longest suffix of its history that is a state; a word outside the symbols gets its share of the
-common symbol by its own count.
-
-Word counts cover the whole training part: chunks of documents send each distinct word with its count once.
+Symbols are all words and the end of a text. A context of one to ``depth`` words that stands ``least`` times or more in
+the training part is kept as a state if the distribution of the next symbol differs from that of its suffix by more than
+its size explains (gain in log likelihood against half the log of the corpus size per next symbol seen), or if a longer
+state ends with it. Each context is smoothed towards its suffix (Witten-Bell), the root being the smoothed word counts;
+a word that training does not have gets half a count. A text is scored with the longest suffix of its history that is a
+state.
+
+No task and no driver holds the model: it grows with the input and stays dealt out. Chunks of documents send each distinct
+word, (context, next) pair and context once, with what they know of it, to the bucket of its hash, and get the corpus'
+counts, sums and states for their own tokens. Every round goes one word deeper, below contexts that are frequent enough.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import gather
-from millrace.llm.words import U, slices, stream
+from millrace.llm.words import STEPS, U, mix, slices, stream
 from millrace.runtime import work_path
 
+PENALTY = 0.5  # of the log of the corpus size, per next symbol of a state
 END = U(stream(9, 1)[0])  # stands for the end of a text among word hashes
 
 
@@ -35,8 +38,8 @@ def tokens(col) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(docs)
 
 
-def word_counts(docs: DataFrame, buckets: int, share: float) -> DataFrame:
-    """Replies with each chunk's word counts; rows with chunk -1 hold (tokens, distinct words, frequent words) of a bucket."""
+def word_counts(docs: DataFrame, buckets: int) -> DataFrame:
+    """Replies with each chunk's word counts; rows with chunk -1 hold (tokens, distinct words) of a bucket."""
 
     def request(table: pa.Table) -> pa.Table:
         h, doc = tokens(table.column("text"))
@@ -50,9 +53,7 @@ def word_counts(docs: DataFrame, buckets: int, share: float) -> DataFrame:
         words, at = np.unique(keys, return_inverse=True)
         total = np.zeros(len(words), np.int64)
         np.add.at(total, at, counts)
-        n = int(total.sum())
-        often = np.flatnonzero((total > 0) & (total >= share * n))  # at most 1/share words; a superset of the frequent ones
-        head = np.concatenate([[n, int((total > 0).sum())], np.stack([words[often].view(np.int64), total[often]], 1).ravel()]).astype(np.int64)
+        head = np.array([total.sum(), (total > 0).sum()], np.int64)
         out = gather.replies(table, total[at], sizes)
         return pa.concat_tables([out, pa.table({"chunk": pa.array([-1], pa.int32()), "bucket": table.column("bucket").slice(0, 1), "vals": pa.array([head.tobytes()], pa.binary())})])
 
@@ -60,7 +61,7 @@ def word_counts(docs: DataFrame, buckets: int, share: float) -> DataFrame:
 
 
 class Symbols:
-    """Numbers of the frequent words, the end of a text and the rest; codes of contexts."""
+    """Numbers of given words, the end of a text and the rest; codes of contexts."""
 
     def __init__(self, words: np.ndarray):
         self.words = np.sort(words)
@@ -85,25 +86,10 @@ def _contexts(h: np.ndarray, doc: np.ndarray, symbols: Symbols) -> tuple[np.ndar
     return s, one, two
 
 
-def next_counts(train: DataFrame, symbols: Symbols, wanted: np.ndarray | None) -> DataFrame:
-    """(context, next, n): contexts of one symbol, or of the two-symbol contexts in ``wanted``; summed before the shuffle."""
-
-    def run(batches):
-        for batch in batches:
-            for i in range(0, batch.num_rows, 2000):
-                h, doc = tokens(batch.column(0).slice(i, 2000))
-                s, one, two = _contexts(h, doc, symbols)
-                context = one if wanted is None else np.where(np.isin(two, wanted), two, -1)
-                code, n = np.unique((context * symbols.size + s)[context >= 0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(code // symbols.size), pa.array((code % symbols.size).astype(np.int32)), pa.array(n)], ["context", "next", "n"])
-
-    return train.select("text").mapInArrow(run, "context long, next int, n long").groupBy("context", "next").agg(F.sum("n").alias("n"))
-
-
 class Tree:
-    """States and their smoothed next-symbol distributions (log10), row 0 the root."""
+    """The same model in memory, for few symbols and two words of context: smoothed next-symbol distributions (log10), row 0 the root."""
 
-    def __init__(self, symbols: Symbols, root: np.ndarray, n: int, one: tuple, two: tuple, penalty: float = 0.5):
+    def __init__(self, symbols: Symbols, root: np.ndarray, n: int, one: tuple, two: tuple, penalty: float = PENALTY):
         """``one``, ``two``: (context, next, n) arrays; all of two's suffixes are contexts of one."""
         self.symbols = symbols
         k = symbols.size
@@ -146,20 +132,122 @@ class Tree:
         return self.table[state, s], s == self.symbols.other
 
 
-def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", share: float = 1e-3, chunk_bytes: int = gather.CHUNK_BYTES) -> DataFrame:
+class Walk:
+    """A chunk's tokens against what the corpus has said so far.
+
+    Level L has the tokens whose context of L words stands ``least`` times or more in the training part. A round asks
+    for the counts of level L's (context, next) pairs and for the sums of level L - 1's contexts; the last one for
+    states. Slots number these questions, and each has ``buckets`` buckets.
+    """
+
+    def __init__(self, table: pa.Table, theirs: pa.Table, buckets: int, depth: int, least: int, size: float):
+        self.buckets, self.depth, self.least = buckets, depth, least
+        self.chunk = table.column("chunk")[0].as_py()
+        self.theirs, self.slots = theirs, theirs.column("bucket").to_numpy() // buckets
+        self.h, self.doc = tokens(table.column("text"))
+        self.train = ~table.column("held_out").combine_chunks().to_numpy(zero_copy_only=False)[self.doc]
+        _, at = np.unique(self.h, return_inverse=True)
+        self.count = self.answers(0)[at]
+        self.p = (self.count + 0.5) / size  # after the longest context whose sums are known
+        self.levels = []
+
+    def answers(self, slot: int) -> np.ndarray:
+        return gather.answers(self.theirs.filter(pa.array(self.slots == slot)), np.int64)
+
+    def requests(self, slot: int, keys: np.ndarray, vals: np.ndarray) -> pa.Table:
+        table = gather.requests(self.chunk, keys, vals, self.buckets)
+        return table.set_column(0, "bucket", pc.add(table.column("bucket"), pa.scalar(slot * self.buckets, pa.int32())))
+
+    def ask(self, level: int) -> pa.Table:
+        """Requests of round ``level``: 1 to depth + 1, and depth + 2 for the states."""
+        gram, n, out = self.h, self.count, []
+        inside = self.doc[1:] == self.doc[:-1]
+        for k in range(1, min(level, self.depth) + 1):
+            seen = np.zeros(len(n), np.int64)
+            seen[1:] = np.where(inside, n[:-1], 0)  # occurrences of the context: it is the pair that ends one token before
+            at = np.flatnonzero(seen >= self.least)
+            contexts, of = np.unique(gram[at - 1], return_inverse=True)
+            longer = np.zeros(len(gram), U)
+            longer[at] = mix(gram[at - 1] * STEPS[0] + self.h[at] * STEPS[1])
+            gram = longer
+            pairs, pair = np.unique(gram[at], return_inverse=True)
+            train = self.train[at]
+            if k == level:
+                out.append(self.requests(k, pairs, np.bincount(pair[train], minlength=len(pairs)).astype(np.int64)))
+                break
+            said = self.answers(k)
+            n = np.zeros(len(gram), np.int64)
+            n[at] = (said >> 1)[pair]
+            slot = self.depth + k
+            if k == level - 1:
+                context = np.zeros(len(pairs), np.int64)
+                context[pair] = of
+                kinds = np.bincount(context, said & 1, len(contexts))
+                x = at[train]
+                more = np.bincount(of[train], np.log(n[x] / seen[x]) - np.log(self.p[x]), len(contexts))
+                out.append(self.requests(slot, contexts, np.stack([kinds, more], 1)))
+                continue
+            sums = self.answers(slot)
+            kinds = (sums >> 1)[of]
+            self.p[at] = (n[at] + kinds * self.p[at]) / (seen[at] + kinds)
+            self.levels.append((at, contexts, of, (sums & 1).astype(bool), np.log10(self.p[at])))
+        if level > self.depth + 1:
+            held = np.zeros(len(gram), bool)  # a state's suffix is a state
+            for k, (at, contexts, of, passes, _) in reversed(list(enumerate(self.levels, 1))):
+                held[at] |= passes[of]
+                if k < self.depth:
+                    out.append(self.requests(2 * self.depth + k, contexts, np.bincount(of, held[at], len(contexts)).astype(np.int64)))
+        return pa.concat_tables(out) if out else self.requests(1, np.zeros(0, U), np.zeros(0, np.int64))
+
+    def score(self) -> np.ndarray:
+        """log10 P(token | longest suffix of its history that is a state)."""
+        out = np.log10(self.p)
+        self.ask(self.depth + 2)
+        for k, (at, _, of, passes, log_p) in enumerate(self.levels, 1):
+            state = (passes if k == self.depth else self.answers(2 * self.depth + k) > 0)[of]
+            out[at[state]] = log_p[state]
+        return out
+
+
+def _reduce(buckets: int, depth: int, cost: float):
+    """What a bucket answers: 2n + 1 to the first chunk with a pair in training and 2n to others; for contexts twice the
+    number of different next tokens, plus one if they diverge from the suffix; for states how many say so."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("chunk")  # sums do not depend on the order of arrival
+        slot = table.column("bucket")[0].as_py() // buckets
+        sums = depth < slot <= 2 * depth
+        keys, vals, sizes = gather.opened(table, np.float64 if sums else np.int64)
+        found, at = np.unique(keys, return_inverse=True)
+        if sums:
+            kinds, more = (np.bincount(at, x, len(found)) for x in vals.reshape(-1, 2).T)
+            reply = (2 * kinds.astype(np.int64) + (more - cost * kinds > 0))[at]
+        else:
+            total = np.bincount(at, vals, len(found)).astype(np.int64)
+            reply = total[at]
+            if slot <= depth:
+                there = np.flatnonzero(vals)
+                reply *= 2
+                reply[there[np.unique(at[there], return_index=True)[1]]] += 1
+        return gather.replies(table, reply, sizes)
+
+    return run
+
+
+def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, least: int = 2, chunk_bytes: int = gather.CHUNK_BYTES) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
     Learns from the rows where ``held_out`` is not true. Null texts are empty and score their end; rows with equal ids
-    are documents of their own. Without training tokens every token has probability one.
+    are documents of their own. Without training tokens every token has probability one. Contexts have up to ``depth``
+    words and stand ``least`` times or more in the training part.
     """
     spark = df.sparkSession
     held = F.coalesce(held_out, F.lit(False))
     docs, chunks = gather.chunked(df, id_col, text_col, chunk_bytes, held_out=held)
-    path = work_path(spark, "word_counts")
-    word_counts(docs, max(1, chunks // 4), share).write.parquet(path)
-    reply = spark.read.parquet(path)
-    # a bucket's row holds at most 2 + 2/share numbers; what is frequent in the whole corpus is at most 1/share words
-    heads = reply.where("chunk = -1").select("vals")
+    buckets = max(1, chunks // 4)
+    paths = [work_path(spark, "word_counts")]
+    word_counts(docs, buckets).write.parquet(paths[0])
+    heads = spark.read.parquet(paths[0]).where("chunk = -1").select("vals")
 
     def sums(batches):
         for batch in batches:
@@ -167,47 +255,26 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["n", "v"])
 
     n, v = (int(x or 0) for x in heads.mapInArrow(sums, "n long, v long").agg(F.sum("n"), F.sum("v")).first())
+    size = n + 0.5 * (v + 1)
+    reduce = _reduce(buckets, depth, PENALTY * float(np.log(max(n, 2))))
 
-    def frequent(batches):
-        for batch in batches:
-            for x in batch.column(0).to_pylist():
-                pairs = np.frombuffer(x, np.int64)[2:].reshape(-1, 2)
-                pairs = pairs[pairs[:, 1] >= share * n]
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["word", "n"])
+    def reply() -> DataFrame:
+        return spark.read.schema(gather.REPLY).parquet(*paths).where("chunk >= 0")
 
-    common = heads.mapInArrow(frequent, "word long, n long").toArrow().to_pandas() if n else None
-    counts = dict(zip(common["word"].to_numpy(np.int64).view(U).tolist(), common["n"].tolist(), strict=True)) if n else {}
-    size = n + 0.5 * (v + 1)
-    symbols = Symbols(np.array(sorted({int(END), *counts}), U))
-    root = np.array([(counts.get(int(w), 0)) + 0.5 for w in symbols.words] + [0.0]) / size
-    tree, rest = None, 1.0
-    if n:
-        if int(END) not in counts:  # rarer than the share; it is a symbol all the same
-            ends = df.where(~held).count()
-            root[np.searchsorted(symbols.words, END)] = (ends + 0.5) / size
-        rest = root[-1] = max(1.0 - root[:-1].sum(), 1e-12)
-        train = docs.where("NOT held_out")
-        one = next_counts(train, symbols, None).toArrow().to_pandas()  # at most (1/share + 2)^2 rows
-        pairs = one.assign(code=one["context"] * symbols.size + one["next"])
-        wanted = np.sort(pairs.loc[pairs["n"] >= share * n, "code"].to_numpy(np.int64))
-        two = next_counts(train, symbols, wanted).toArrow().to_pandas()  # at most 1/share contexts
-        arrays = lambda t: tuple(t[c].to_numpy(np.int64) for c in ("context", "next", "n"))
-        tree = Tree(symbols, root, n, arrays(one), arrays(two))
-    model = spark.sparkContext.broadcast(tree)
+    for level in range(1, depth + (3 if depth > 1 else 2)) if n else ():
+        asked = gather.answered(docs, reply(), lambda mine, theirs, level=level: Walk(mine, theirs, buckets, depth, least, size).ask(level), gather.REQUEST)
+        path = work_path(spark, "replies")
+        asked.groupBy("bucket").applyInArrow(reduce, gather.REPLY).write.parquet(path)
+        paths.append(path)
     kind = dict(docs.dtypes)["id"]
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def use(table: pa.Table, theirs: pa.Table) -> pa.Table:
         rows = table.num_rows
-        h, doc = tokens(table.column("text"))
-        keys, at = np.unique(h, return_inverse=True)
-        c = gather.answers(theirs, np.int64)[at]
-        base = np.log10((c + 0.5) / size)
-        if model.value is None:
-            full = base
-        else:
-            full, other = model.value.score(h, doc)
-            full = full + np.where(other, base - np.log10(rest), 0)
+        walk = Walk(table, theirs, buckets, depth, least, size)
+        doc, c = walk.doc, walk.count
+        base = np.log10(walk.p)
+        full = walk.score() if n else base
         return pa.table(
             {
                 "id": table.column("id"),
@@ -220,4 +287,4 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
             }
         )
 
-    return gather.answered(docs, reply.where("chunk >= 0"), use, schema).withColumnRenamed("id", id_col)
+    return gather.answered(docs, reply(), use, schema).withColumnRenamed("id", id_col)

@@ -214,3 +214,43 @@ def test_suffix_tree_edges(spark):
     assert len(out) == len(data) and all(math.isfinite(r.score) and r.n_tokens >= 1 for r in out)
     assert all(r.score == 0 for r in suffix_tree.score(awkward.frame(spark, data), F.lit(True)).collect())
     assert suffix_tree.score(awkward.frame(spark, []), F.lit(False)).count() == 0
+
+
+def test_suffix_tree_learns_contexts_of_rare_words(spark):
+    """As the same model in memory over all words, and a rare passage that repeats is learnt."""
+    import collections
+
+    import numpy as np
+    import pyarrow as pa
+
+    from millrace.llm.words import U
+
+    rnd = random.Random(4)
+    common = [f"c{i}" for i in range(12)]
+    passage = " ".join(f"rare{i}" for i in range(30))
+    texts = [" ".join(rnd.choice(common[: 2 + i % 11]) for _ in range(rnd.randint(1, 90))) for i in range(150)]
+    texts += [f"{rnd.choice(common)} {passage} {rnd.choice(common)}" for _ in range(20)] + ["", passage, f"c1 unknown {passage}"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = lambda i: i % 5 == 1 or i >= 171
+    run = lambda **b: {r.doc_id: r for r in suffix_tree.score(df, F.expr("doc_id % 5 = 1 OR doc_id >= 171"), **b).collect()}
+    got = run(depth=2, chunk_bytes=3000)
+    h, doc = suffix_tree.tokens(pa.array(texts))
+    train = np.array([not held(i) for i in range(len(texts))])[doc]
+    found, n = np.unique(h[train], return_counts=True)
+    symbols = suffix_tree.Symbols(found.astype(U))
+    root = np.append(n + 0.5, 0.5) / (n.sum() + 0.5 * (len(found) + 1))
+    s, one, two = suffix_tree._contexts(h, doc, symbols)
+    tables = []
+    for context in (one, two):
+        pairs = collections.Counter((int(c), int(x)) for c, x, t in zip(context, s, train, strict=True) if t and c >= 0)
+        total = collections.Counter()
+        for (c, _), k in pairs.items():
+            total[c] += k
+        tables.append(tuple(np.array(x) for x in zip(*[(c, x, k) for (c, x), k in pairs.items() if total[c] >= 2], strict=True)))
+    tree = suffix_tree.Tree(symbols, root, int(n.sum()), *tables)
+    want = np.bincount(doc, tree.score(h, doc)[0], minlength=len(texts))
+    assert len(tree.one) > 30 and len(tree.two) > 0
+    assert [got[i].score for i in range(len(texts))] == pytest.approx(want.tolist(), rel=1e-9)
+    deep, whole = run(chunk_bytes=3000), run(chunk_bytes=1 << 22)
+    assert all(deep[i].score == pytest.approx(whole[i].score, rel=1e-9) for i in deep)
+    assert deep[171].score > deep[171].base_score / 4  # no word of it makes up 0.6 % of the tokens
