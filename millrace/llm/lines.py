@@ -1,9 +1,10 @@
 """Line dedup by winnowing over line hashes.
 
-A line is its words in order; lines without a word do not count. Every run of ``RUN`` lines holds ``RUN - PAIR + 1``
+A line is its words in order; lines without a word do not count. A match has ``RUN`` lines, or fewer with ``WORDS`` words
+or more, so a long line and a passage of two lines qualify by themselves. Every run of ``RUN`` lines holds ``RUN - PAIR + 1``
 groups of ``PAIR`` lines, of which winnowing keeps the one with the least hash as fingerprint, so two equal runs always
-share a fingerprint. Fingerprints that occur once are dropped; at the others positions are joined: a run of lines is
-*later* if an equal run begins at a smaller (id, hash of the text, line). Later runs that follow each other are one match
+share a fingerprint; shorter runs of enough words are their own. Fingerprints that occur once are dropped; at the others
+positions are joined: a run of lines is *later* if an equal run begins at a smaller (id, hash of the text, line). Later runs that follow each other are one match
 that is extended both ways for as long as the lines agree, and its lines are deleted.
 
 Order: null ids come last, rows with equal id and text are one document (each row gets the same result). Null texts have
@@ -22,6 +23,7 @@ from millrace.llm.words import BASE, BASE_INVERSE, BYTES, NULL_ID, U, Words, mix
 from millrace.runtime import work_path
 
 RUN, PAIR = 3, 2
+WORDS = 50
 SECOND = stream(3, 256)
 
 
@@ -46,33 +48,38 @@ class Lines:
         return mix((total[self.to] - total[self.from_]) * powers(BASE_INVERSE, len(h) + 1)[self.from_] + (self.to - self.from_).astype(U))
 
 
-def _fingerprints(batches):
-    names = ["id", "key", "print", "at", "run", "run2"]
+def _fingerprints(batches, words):
+    names = ["id", "key", "print", "at", "span", "run", "run2"]
     for batch in batches:
         for i, _, w in slices(batch.column(1)):
             lines = Lines(w)
             hashes = lines.hashes()
-            runs, at = windows(hashes, RUN, lines.doc)
-            if not len(at):
-                continue
-            runs2, _ = windows(lines.hashes(SECOND), RUN, lines.doc)
+            hashes2 = lines.hashes(SECOND)
             pairs, _ = windows(hashes, PAIR)
-            chosen = winnow(pairs, RUN - PAIR + 1)[at]
-            rows = pa.array(i + lines.doc[at])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(2).take(rows), pa.array(pairs[chosen].view(np.int64)), pa.array((at - lines.first[lines.doc[at]]).astype(np.int64)), pa.array(runs.view(np.int64)), pa.array(runs2.view(np.int64))], names)
-
-
-def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+            for span in range(RUN if words is None else 1, RUN + 1):
+                runs, at = windows(hashes, span, lines.doc)
+                runs2, _ = windows(hashes2, span, lines.doc)
+                if span < RUN:
+                    long = lines.to[at + span - 1] - lines.from_[at] >= words
+                    runs, runs2, at = runs[long], runs2[long], at[long]
+                if not len(at):
+                    continue
+                prints = pairs[winnow(pairs, RUN - PAIR + 1)[at]] if span == RUN else runs2
+                rows = pa.array(i + lines.doc[at])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(2).take(rows), pa.array(prints.view(np.int64)), pa.array((at - lines.first[lines.doc[at]]).astype(np.int64)), pa.array(np.full(len(at), span, np.int32)), pa.array(runs.view(np.int64)), pa.array(runs2.view(np.int64))], names)
+
+
+def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int | None = WORDS) -> DataFrame:
     """The rows of ``df`` with later repeated runs deleted from the text, plus ``n_lines_deleted`` and ``n_lines_left``.
 
-    Lines that stay keep their bytes and line breaks; a text that loses lines loses their line breaks as well.
+    ``words``: a match of fewer than ``RUN`` lines needs so many; None: there are no such matches. Lines that stay keep their bytes and line breaks; a text that loses lines loses their line breaks as well.
     """
     df = df.drop("n_lines_deleted", "n_lines_left")
     kind = dict(df.dtypes)[id_col]
     text = F.coalesce(F.col(text_col), F.lit(""))
     docs = df.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(text).alias("key"))
     path = work_path(df.sparkSession, "line_runs")
-    docs.mapInArrow(_fingerprints, f"id {kind}, key long, print long, at long, run long, run2 long").write.parquet(path)
+    docs.mapInArrow(lambda batches: _fingerprints(batches, words), f"id {kind}, key long, print long, at long, span int, run long, run2 long").write.parquet(path)
     prints = df.sparkSession.read.parquet(path)
     place = F.struct(F.coalesce("id", F.lit(NULL_ID)).alias("id"), "key", "at") if kind in ("bigint", "int") else F.struct(F.col("id").isNull().alias("n"), "id", "key", "at")
     # a fingerprint that stands at two places, counted before the shuffle
@@ -80,7 +87,7 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     hits = prints.join(twice, "print", "left_semi")
     first = hits.groupBy("run", "run2").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select("run", "run2", "lo")
     later = hits.join(first, ["run", "run2"]).where(place > F.col("lo"))
-    marks = later.groupBy("id", "key").agg(F.sort_array(F.collect_set("at")).alias("__at"))
+    marks = later.groupBy("id", "key").agg(F.sort_array(F.collect_set(F.struct("at", "span"))).alias("__at"))
     marks = marks.select(F.col("id").alias("__id"), F.col("key").alias("__key"), "__at")
     joined = df.withColumn("__text_key", F.xxhash64(text)).join(marks, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")), "left").drop("__id", "__key", "__text_key")
     names = df.columns
@@ -108,9 +115,9 @@ def dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return joined.select(*names, "__at").mapInArrow(cut, schema)
 
 
-def extend(at: list[int], n: int) -> np.ndarray:
-    """Which of n lines later runs that begin at ``at`` cover."""
+def extend(runs: list[dict], n: int) -> np.ndarray:
+    """Which of n lines later runs (first line ``at``, ``span`` lines) cover."""
     gone = np.zeros(n + 1, int)
-    np.add.at(gone, at, 1)
-    np.add.at(gone, [x + RUN for x in at], -1)
+    np.add.at(gone, [x["at"] for x in runs], 1)
+    np.add.at(gone, [x["at"] + x["span"] for x in runs], -1)
     return np.cumsum(gone[:-1]) > 0

@@ -49,6 +49,23 @@ def test_line_dedup(spark):
     assert lines.dedup(lines.dedup(df.limit(0))).count() == 0
 
 
+def test_long_lines_and_pairs(spark):
+    """Copies of one or two lines go if they have WORDS words, whatever stands around them."""
+    say = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    one, less, a, b, half = say("one", 64), say("less", lines.WORDS - 1), say("a", 30), say("b", lines.WORDS - 30), say("h", 25)
+    texts = [
+        f"top\n{one}\nend", f"p\nq\n\n{one}\nr", one,  # in longer documents, and as a whole document
+        f"{a}\n{b}", f"x\n{a}\n \n{b}\ny", f"{a}\nz\n{b}", f"{a}\n{b}",  # two lines of 50 words together
+        less, less, f"{half}\nm", f"n\n{half}",  # too short
+        f"s\n{one}\n{half}", f"t\n{one}\n{half}\nu",  # the line after a long one is part of the match
+        f"{one} {one}\n{one} {one}",  # twice in one document
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_lines_deleted) for r in lines.dedup(df).collect()}
+    changed = {1: ("p\nq\n\nr", 1), 2: ("", 1), 4: ("x\n \ny", 2), 6: ("", 2), 11: (f"s\n{half}", 1), 12: ("t\nu", 2), 13: (f"{one} {one}", 1)}
+    assert got == {i: changed.get(i, (t, 0)) for i, t in enumerate(texts)}
+
+
 def test_masks_find_two_substitutions():
     n = decontaminate.MIN_WORDS
     for lost in itertools.combinations(range(n), n - decontaminate.MIN_EQUAL):
