@@ -31,7 +31,7 @@ def _(spark, sf):
 @query("C2_best_k")
 def _(spark, sf):
     df = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
-    scores, best = cluster.best_k_stable(df, "c_custkey", "c_acctbal", ks=[2, 3, 4], repeats=1, random_labelings=10, restarts=1)
+    scores, best = cluster.best_k_stable(df, "c_custkey", "c_acctbal")
     rows = [(k, float(s), k == best) for k, s in scores]
     return spark.createDataFrame(rows, "k int, instability double, chosen boolean")
 

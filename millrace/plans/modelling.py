@@ -158,20 +158,20 @@ def _(spark, sf):
     df = table(spark, sf, "embeddings").withColumn("label", (F.col("label") % 3).cast("int"))
     df = models.with_vector(df, "embedding")
     train, test = sampling.split_by_key(df, "vec_id", 0.7, seed=1)
-    model = C.OneVsRest(classifier=models.classifier("boosted", maxIter=5, maxDepth=3), parallelism=3).fit(train)
+    model = C.OneVsRest(classifier=models.classifier("boosted", maxIter=20, maxDepth=5), parallelism=3).fit(train)
     return model.transform(test).select("vec_id", F.col("prediction").cast("int").alias("prediction"), vector_to_array("rawPrediction").alias("scores"))
 
 
 @query("M10_boosting_deep")
 def _(spark, sf):
-    return _score(spark, sf, "boosted_deep", n_estimators=8)
+    return _score(spark, sf, "boosted_deep", n_estimators=100)
 
 
 @query("M11_ada_boost")
 def _(spark, sf):
     train, test = _parts(spark, sf)
     assemble = VectorAssembler(inputCols=RISK_FEATURES, outputCol="features")
-    model = boosting.AdaBoost("features", "label", rounds=8, max_depth=1).fit(assemble.transform(train))
+    model = boosting.AdaBoost("features", "label", rounds=50, max_depth=1).fit(assemble.transform(train))
     return models.score_batch(model, assemble.transform(test), ["o_orderkey"]).withColumn("pd", F.round("pd", 6))
 
 

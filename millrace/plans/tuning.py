@@ -36,7 +36,7 @@ def _(spark, sf):
 @query("E7_grid_search")
 def _(spark, sf):
     stages = models.classifier_stages("logistic", RISK_FEATURES)
-    rows, _ = tune.cross_validate(_train(spark, sf), "o_orderkey", stages, {"regParam": [0.001, 0.1], "elasticNetParam": [0.0, 1.0]}, folds=3)
+    rows, _ = tune.cross_validate(_train(spark, sf), "o_orderkey", stages, {"regParam": [10 ** (-4 + 8 * i / 19) for i in range(20)], "elasticNetParam": [0.0, 1.0], "maxIter": [20]}, folds=5)
     return spark.createDataFrame(rows, "settings string, mean_auroc double, std_auroc double").orderBy(F.desc("mean_auroc"))
 
 
@@ -49,7 +49,7 @@ def _(spark, sf):
 
 @query("E9_validation_curve")
 def _(spark, sf):
-    rows = tune.validation_curve(_train(spark, sf), "o_orderkey", "boosted", RISK_FEATURES, "max_depth", [1, 2, 3, 4], n_estimators=5)
+    rows = tune.validation_curve(_train(spark, sf), "o_orderkey", "boosted", RISK_FEATURES, "max_depth", [1, 2, 3, 4], n_estimators=20)
     return spark.createDataFrame(rows, "max_depth string, train_accuracy double, validation_accuracy double")
 
 
@@ -64,7 +64,7 @@ def _(spark, sf):
 @query("E12_sampled_attributions")
 def _(spark, sf):
     df = risk(spark, sf)
-    phis = evaluate.sampled_attributions(df, "o_orderkey", RISK_FEATURES, _scorer(_logit(spark, sf)), df, samples=4, seed=5)
+    phis = evaluate.sampled_attributions(df, "o_orderkey", RISK_FEATURES, _scorer(_logit(spark, sf)), df, samples=8, seed=5)
     return phis.select("o_orderkey", *[F.round(c, 6).alias(c) for c in phis.columns if c != "o_orderkey"])
 
 
@@ -80,8 +80,8 @@ def _(spark, sf):
         ("naive bayes", "naive_bayes", "standard", {}),
         ("logistic regression", "logistic", "standard", {}),
         ("decision tree", "tree", None, {}),
-        ("random forest", "forest", None, {"n_estimators": 10}),
-        ("gradient boosting", "boosted", None, {"n_estimators": 5, "max_depth": 3}),
+        ("random forest", "forest", None, {"n_estimators": 20}),
+        ("gradient boosting", "boosted", None, {"n_estimators": 20, "max_depth": 5}),
     ]
     rows = tune.compare(risk(spark, sf), "o_orderkey", RISK_FEATURES, entries)
     return spark.createDataFrame(rows, "model string, scaling string, train_auroc double, test_auroc double")
