@@ -46,3 +46,11 @@ def test_tuning_settings(spark, monkeypatch):
     assert called(monkeypatch, spark, "E12_sampled_attributions", evaluate, "sampled_attributions")["samples"] == 8
     got = called(monkeypatch, spark, "E14_model_comparison", tune, "compare")
     assert [x[3] for x in got["args"][3][3:]] == [{"n_estimators": 20}, {"n_estimators": 20, "max_depth": 5}]
+
+
+def test_word_vector_settings(spark, monkeypatch):
+    from millrace.plans import vectors
+
+    got = called(monkeypatch, spark, "N12_word2vec", vectors, "Word2Vec")
+    assert (got["vectorSize"], got["windowSize"], got["minCount"]) == (300, 15, 2)
+    assert got["numPartitions"] == spark.sparkContext.defaultParallelism
