@@ -7,7 +7,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from given import SMALL
 from millrace.operators import bayes, boosting, cluster, components, encode, evaluate, impute, models, profile, sampling, tune
 from millrace.plans import streams
 from millrace.plans.frames import RISK_FEATURES, gaps, risk

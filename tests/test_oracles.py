@@ -8,7 +8,7 @@ import pytest
 
 from check_oracle import rows
 from __spark_entry__ import entry, oracle_sql, queries
-from conftest import SMALL
+from given import SMALL
 
 # model training and search, covered by test_models.py; the SQL-backed queries all run here
 SLOW = {n for n in queries() if n[0] in "MCE" and n not in ("M17_score_stream", "E12_sampled_attributions")} | {"FE17_impute_chained"}
