@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, jaccard, lines, phrases, pii, quality, suffix_tree, warc
+from millrace.llm import bpe, chat, decontaminate, jaccard, lines, phrases, pii, quality, resample, suffix_tree, warc
 from millrace.runtime import cut_lineage, work_path
 
 QUERIES: dict = {}
@@ -130,6 +130,11 @@ def suffix_tree_score(spark, sf):
     return suffix_tree.score(table(spark, sf, "documents").select("doc_id", "text"), held_out)
 
 
+@query("op13_resample")
+def importance_resampling(spark, sf):
+    return resample.draw(table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark"))
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
