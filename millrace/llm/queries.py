@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, chat, decontaminate, digest, jaccard, lines, phrases, pii, quality, resample, suffix_tree, warc
+from millrace.llm import bpe, chat, decontaminate, digest, jaccard, lines, phrases, pii, quality, resample, suffix_tree, vector_codes, warc
 from millrace.runtime import cut_lineage, work_path
 
 QUERIES: dict = {}
@@ -130,6 +130,11 @@ def suffix_tree_score(spark, sf):
     return suffix_tree.score(table(spark, sf, "documents").select("doc_id", "text"), held_out)
 
 
+@query("op11_vector_codes")
+def product_codes(spark, sf):
+    return vector_codes.encode(table(spark, sf, "embeddings").select("vec_id", "embedding", "label"))
+
+
 @query("op12_digest")
 def improbable_features(spark, sf):
     return digest.compare(table(spark, sf, "documents").select("doc_id", "text"))
