@@ -5,43 +5,37 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import permutations
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.lloyd import Model, group_by_cuts, lloyd, matrix, optimum, slot_sums, value_table
 from millrace.operators.ordering import hash_order
 from millrace.operators.running import running_totals
-
-
-def group_by_cuts(col: Column, cuts: Sequence[float]) -> Column:
-    """Group 0..len(cuts) by ascending cut points; a value on a cut belongs to the upper group."""
-    expr = F.when(col.isNull(), F.lit(None).cast("int"))
-    for i, c in enumerate(cuts):
-        expr = expr.when(col < c, i)
-    return expr.otherwise(len(cuts))
+from millrace.runtime import cut_lineage
 
 
 class OneColumnKMeans:
-    """k-means on one column, best of several starts by cost; groups are numbered by ascending centre."""
+    """k-means on one column, best of several starts by cost; groups are numbered by ascending centre.
+
+    ``exact``: the optimum in place of the best of the starts.
+    """
 
-    def __init__(self, col: str, k: int, restarts: int = 10, max_iter: int = 100, seed: int = 24):
-        self.col, self.k, self.restarts, self.max_iter, self.seed = col, k, restarts, max_iter, seed
+    def __init__(self, col: str, k: int, restarts: int = 10, max_iter: int = 100, seed: int = 24, exact: bool = False):
+        self.col, self.k, self.restarts, self.max_iter, self.seed, self.exact = col, k, restarts, max_iter, seed, exact
 
     def fit(self, df: DataFrame) -> "OneColumnKMeans":
-        vectors = VectorAssembler(inputCols=[self.col], outputCol="__x").transform(df.select(self.col)).persist()
+        values = value_table(df, F.col(self.col), [F.lit(1)]).persist()
         try:
-            best = None
-            for i in range(self.restarts):
-                model = KMeans(k=self.k, featuresCol="__x", maxIter=self.max_iter, seed=self.seed + i).fit(vectors)
-                cost = model.summary.trainingCost
-                if best is None or cost < best[0]:
-                    best = (cost, sorted(float(c[0]) for c in model.clusterCenters()))
+            if self.exact:
+                found = optimum(values, [self.k]).get(self.k)
+                if found is None:
+                    raise ValueError(f"fewer than {self.k} distinct values")
+            else:
+                found = lloyd(values, 1, [self.k], restarts=self.restarts, max_iter=self.max_iter, seed=self.seed)[0, self.k]
         finally:
-            vectors.unpersist()
-        self.cost, self.centres = best
-        self.cuts = [(a + b) / 2 for a, b in zip(self.centres, self.centres[1:])]
+            values.unpersist()
+        self.cost, self.centres, self.cuts = found.cost, found.centres.tolist(), found.cuts.tolist()
         return self
 
     def transform(self, df: DataFrame, out: str = "group") -> DataFrame:
@@ -90,16 +84,106 @@ def mean_silhouette(df: DataFrame, value: str, cluster: str) -> DataFrame:
     return s.agg((F.sum(F.col("silhouette") * F.col("n")) / F.sum("n")).alias("mean_silhouette"), F.sum("n").alias("n"))
 
 
-def _disagreement(cells: dict[tuple[int, int], int], k: int) -> float:
-    """Smallest share of mismatches over all relabelings of the k × k table."""
-    total = sum(cells.values())
-    best = max(sum(cells.get((i, p[i]), 0) for i in range(k)) for p in permutations(range(k)))
-    return 1 - best / total if total else 0.0
+def disagreement(cells: np.ndarray) -> float:
+    """Smallest share of mismatches of a k × k table over all relabelings."""
+    total = cells.sum()
+    if not total:
+        return 0.0
+    k = len(cells)
+    orders = np.array(list(permutations(range(k))))
+    return float(1 - cells[np.arange(k), orders].sum(1).max() / total)
 
 
-def _cells(df: DataFrame, a: str, b: str) -> dict[tuple[int, int], int]:
-    rows = df.groupBy(a, b).agg(F.count("*").alias("n")).collect()
-    return {(int(r[a]), int(r[b])): r["n"] for r in rows}
+def range_classifiers(values: DataFrame, subsets: int, models: Sequence[Model], penalty: float = 1.0, max_iter: int = 50, tol: float = 1e-9) -> list[np.ndarray]:
+    """Per model a multinomial logistic regression of its groups on the value: [class, (slope, intercept)].
+
+    Minimises the sum of log losses and ``penalty``/2 times the squared slopes, by Newton steps; all models take a step in
+    one aggregate. A step that does not lower a model's objective is halved.
+    """
+    row = values.agg(F.avg("x").alias("m"), F.stddev_pop("x").alias("s")).first()
+    mean, scale = row["m"], row["s"] or 1.0
+    ridge = penalty / scale**2
+    ks = [m.k for m in models]
+    width = 1 + max(2 * k + 3 * k * k for k in ks)  # loss, gradients, and three moments of every pair of classes
+
+    def evaluate(at: list[int], coefs: list[np.ndarray]) -> np.ndarray:
+        cuts, subset = [models[i].cuts for i in at], [models[i].subset for i in at]
+
+        def add(batch, total):
+            x, w = matrix(batch, subsets)
+            z = (x - mean) / scale
+            powers = np.stack([np.ones_like(z), z, z * z])
+            for n, (c, s, b) in enumerate(zip(cuts, subset, coefs, strict=True)):
+                k = len(b)
+                group = np.searchsorted(c, x, "right")
+                score = z[:, None] * b[:, 0] + b[:, 1]
+                score -= score.max(1, keepdims=True)
+                p = np.exp(score)
+                sums = p.sum(1)
+                p /= sums[:, None]
+                mine = w[:, s]
+                r = p.copy()
+                r[np.arange(len(x)), group] -= 1
+                r *= mine[:, None]
+                cell = total[n]
+                cell[0] += (mine * (np.log(sums) - score[np.arange(len(x)), group])).sum()
+                cell[1 : 1 + 2 * k] += np.stack([z @ r, r.sum(0)], 1).reshape(-1)
+                moments = [np.diag((p * (mine * e)[:, None]).sum(0)) - (p * (mine * e)[:, None]).T @ p for e in powers]
+                cell[1 + 2 * k : 1 + 2 * k + 3 * k * k] += np.stack(moments).reshape(-1)
+
+        return slot_sums(values, len(at), width, add)
+
+    coefs = [np.zeros((k, 2)) for k in ks]
+    steps = [np.zeros((k, 2)) for k in ks]
+    objective = [np.inf] * len(models)
+    share = [1.0] * len(models)
+    open_ = list(range(len(models)))
+    for _ in range(max_iter):
+        tried = [coefs[i] + share[i] * steps[i] for i in open_]
+        sums = evaluate(open_, tried)
+        still = []
+        for i, b, cell in zip(open_, tried, sums, strict=True):
+            k = ks[i]
+            value = cell[0] + ridge / 2 * (b[:, 0] ** 2).sum()
+            if value > objective[i] + 1e-12 * abs(objective[i]):
+                share[i] /= 2
+                if share[i] > 1e-6:
+                    still.append(i)
+                continue
+            coefs[i], objective[i], share[i] = b, value, 1.0
+            g = cell[1 : 1 + 2 * k].reshape(k, 2).copy()
+            g[:, 0] += ridge * b[:, 0]
+            m = cell[1 + 2 * k : 1 + 2 * k + 3 * k * k].reshape(3, k, k)
+            h = np.block([[m[2] + ridge * np.eye(k), m[1]], [m[1], m[0]]])
+            step = -np.linalg.lstsq(h, np.concatenate([g[:, 0], g[:, 1]]), rcond=1e-12)[0]
+            steps[i] = step.reshape(2, k).T
+            if -(g * steps[i]).sum() > tol * max(1.0, value):
+                still.append(i)
+        open_ = still
+        if not open_:
+            break
+    out = []
+    for b in coefs:  # back to the column's own scale
+        out.append(np.stack([b[:, 0] / scale, b[:, 1] - b[:, 0] * mean / scale], 1))
+    return out
+
+
+def told_and_own(values: DataFrame, subsets: int, cases: Sequence[tuple[int, np.ndarray, Model]]) -> list[np.ndarray]:
+    """Per (subset, classifier, model) the k × k table of the classifier's groups against the model's, in one aggregate."""
+    ks = [m.k for _, _, m in cases]
+    width = max(ks) ** 2
+    cuts = [m.cuts for _, _, m in cases]
+    plain = [(s, c) for s, c, _ in cases]
+
+    def add(batch, total):
+        x, w = matrix(batch, subsets)
+        for n, ((s, c), cut) in enumerate(zip(plain, cuts, strict=True)):
+            told = (x[:, None] * c[:, 0] + c[:, 1]).argmax(1)
+            cell = told * len(c) + np.searchsorted(cut, x, "right")
+            total[n, : len(c) ** 2] += np.bincount(cell, w[:, s], len(c) ** 2)
+
+    sums = slot_sums(values, len(cases), width, add)
+    return [row[: k * k].reshape(k, k) for row, k in zip(sums, ks, strict=True)]
 
 
 def best_k_stable(
@@ -115,43 +199,32 @@ def best_k_stable(
 ) -> tuple[list[tuple[int, float]], int]:
     """Normalised instability per k, and the chosen k (smallest value, ties to the larger k).
 
-    One part is clustered and a logistic model learns its groups; the model's groups for the other
-    part are compared with that part's own clustering, relative to random groups.
+    One part is clustered and a logistic model learns its groups; the model's groups for the other part are compared with
+    that part's own clustering, relative to random groups. All clusterings of all k, repeats, folds and starts move in the
+    same rounds over one table of distinct values, the logistic models likewise, so the number of jobs does not depend on
+    how many there are. The table that random groups would make follows from the sizes of the clusters alone: each
+    cluster's rows fall into k groups by chance.
     """
-    data = df.select(key, F.col(col).cast("double").alias("x")).where("x IS NOT NULL").persist()
-    results = []
-    try:
-        for k in ks:
-            found, chance = 0.0, 0.0
-            for rep in range(repeats):
-                fold = F.pmod(hash_order([key], seed + rep), F.lit(folds))
-                for f in range(folds):
-                    train, test = data.where(fold != f), data.where(fold == f)
-                    a = OneColumnKMeans("x", k, restarts, seed=seed).fit(train)
-                    b = OneColumnKMeans("x", k, restarts, seed=seed).fit(test)
-                    assemble = VectorAssembler(inputCols=["x"], outputCol="v")
-                    model = LogisticRegression(featuresCol="v", labelCol="g", maxIter=50, family="multinomial").fit(
-                        assemble.transform(a.transform(train, "g"))
-                    )
-                    told = b.transform(model.transform(assemble.transform(test)), "own").select(
-                        key, F.col("prediction").cast("int").alias("told"), "own"
-                    )
-                    found += _disagreement(_cells(told, "told", "own"), k)
-                    chance += _random_disagreement(told, key, k, random_labelings, seed)
-            results.append((k, found / chance if chance else 0.0))
-    finally:
-        data.unpersist()
+    fold = [F.pmod(hash_order([key], seed + r), F.lit(folds)) for r in range(repeats)]
+    test = [(r, f) for r in range(repeats) for f in range(folds)]
+    inside = [fold[r] == f for r, f in test]
+    outside = [] if folds == 2 else [~c for c in inside]  # with two folds the other one
+    weights = [c.cast("int") for c in [*inside, *outside]]
+    train = [r * folds + 1 - f if folds == 2 else len(test) + r * folds + f for r, f in test]
+    values = cut_lineage(value_table(df, F.col(col), weights))
+    subsets = len(weights)
+    ks = list(ks)
+    best = lloyd(values, subsets, ks, restarts=restarts, seed=seed)
+    order = [(s, k) for k in ks for s in sorted(set(train))]
+    told = dict(zip(order, range_classifiers(values, subsets, [best[o] for o in order]), strict=True))
+    cases = [(k, s, t) for k in ks for s, t in enumerate(train)]
+    tables = told_and_own(values, subsets, [(s, told[t, k], best[s, k]) for k, s, t in cases])
+    rng = np.random.default_rng(seed)
+    found, chance = dict.fromkeys(ks, 0.0), dict.fromkeys(ks, 0.0)
+    for (k, _, _), cells in zip(cases, tables, strict=True):
+        found[k] += disagreement(cells)
+        sizes = np.round(cells.sum(0)).astype(np.int64)
+        chance[k] += sum(disagreement(rng.multinomial(sizes, [1 / k] * k)) for _ in range(random_labelings)) / random_labelings
+    results = [(k, found[k] / chance[k] if chance[k] else 0.0) for k in ks]
     low = min(s for _, s in results)
     return results, max(k for k, s in results if s == low)
-
-
-def _random_disagreement(told: DataFrame, key: str, k: int, labelings: int, seed: int) -> float:
-    """Mean disagreement of the clustering with hash-random groups, all labelings in one aggregate."""
-    drawn = told.select("own", key, F.explode(F.sequence(F.lit(0), F.lit(labelings - 1))).alias("r")).withColumn(
-        "rnd", F.pmod(F.xxhash64(key, "r", F.lit(seed)), F.lit(k)).cast("int")
-    )
-    rows = drawn.groupBy("r", "own", "rnd").agg(F.count("*").alias("n")).collect()  # labelings × k × k
-    tables: dict[int, dict] = {}
-    for row in rows:
-        tables.setdefault(row["r"], {})[(int(row["own"]), int(row["rnd"]))] = row["n"]
-    return sum(_disagreement(t, k) for t in tables.values()) / labelings

@@ -28,6 +28,25 @@ def _(spark, sf):
     return fitted.transform(df, "balance_group")
 
 
+_RUN = "OVER (ORDER BY v)"
+
+
+@query(
+    "C1_kmeans_optimum",
+    f"""WITH u AS (SELECT c_acctbal AS v, count(*) AS n FROM customer GROUP BY 1),
+        r AS (SELECT v, row_number() {_RUN} AS i, sum(n) {_RUN} AS n, sum(n * (v - 4500)) {_RUN} AS s, sum(n * (v - 4500) * (v - 4500)) {_RUN} AS q FROM u),
+        p AS (SELECT i, n, s, q FROM r UNION ALL SELECT 0, 0, 0, 0), e AS (SELECT max_by(i, n) AS i, max(n) AS n, max_by(s, n) AS s, max_by(q, n) AS q FROM p),
+        c AS (SELECT a.i AS a, b.i AS b, (a.q - a.s * a.s / a.n) + (b.q - a.q - (b.s - a.s) * (b.s - a.s) / (b.n - a.n)) + (e.q - b.q - (e.s - b.s) * (e.s - b.s) / (e.n - b.n)) AS cost
+          FROM p a, p b, e WHERE 0 < a.i AND a.i < b.i AND b.i < e.i),
+        t AS (SELECT min_by(a, cost) AS a, min_by(b, cost) AS b FROM c)
+        SELECT c_custkey, CASE WHEN i <= a THEN 0 WHEN i <= b THEN 1 ELSE 2 END AS balance_group FROM customer JOIN r ON c_acctbal = r.v, t""",
+)
+def _(spark, sf):
+    df = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    fitted = cluster.OneColumnKMeans("c_acctbal", 3, exact=True).fit(df)
+    return fitted.transform(df, "balance_group").select("c_custkey", "balance_group")
+
+
 @query("C2_best_k")
 def _(spark, sf):
     df = table(spark, sf, "customer").select("c_custkey", "c_acctbal")

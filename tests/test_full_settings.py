@@ -3,7 +3,7 @@
 import pytest
 
 from __spark_entry__ import queries
-from millrace.operators import boosting, cluster, evaluate, models, tune
+from millrace.operators import boosting, evaluate, models, tune
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -26,11 +26,6 @@ def called(monkeypatch, spark, name, owner, function):
     return got
 
 
-def test_best_k_defaults(spark, monkeypatch):
-    got = called(monkeypatch, spark, "C2_best_k", cluster, "best_k_stable")
-    assert set(got) == {"args"} and len(got["args"]) == 3
-
-
 def test_boosting_settings(spark, monkeypatch):
     got = called(monkeypatch, spark, "M9_boosting_one_vs_rest", models, "classifier")
     assert (got["maxIter"], got["maxDepth"]) == (20, 5)
