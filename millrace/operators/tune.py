@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import models
+from millrace.operators.linear import LogisticGrid, fold_aurocs
 from millrace.operators.sampling import hash_bucket
+from millrace.runtime import cut_lineage
 
 
 def rank_evaluator(label: str = "label") -> BinaryClassificationEvaluator:
@@ -65,6 +67,16 @@ def fold_scores(df: DataFrame, key: str, stages, label: str = "label", folds: in
         data.unpersist()
 
 
+def logistic_grid(
+    df: DataFrame, key: str, columns: Sequence[str], settings: Sequence[tuple[float, float]], label: str = "label", folds: int = 5, seed: int = 31
+) -> list[tuple[float, float, list[float]]]:
+    """[(regularisation, elastic-net mixture, exact AUROC of every held-out fold)]; all models are fitted and judged together."""
+    data = cut_lineage(with_folds(df, key, folds, seed).select(label, "fold", *columns))
+    search = LogisticGrid(columns, label, settings, folds).fit(data)
+    found = fold_aurocs(search.scores(data, [label, "fold"]), label, len(settings))
+    return [(r, a, [f[i] for i in sorted(f)]) for (r, a), f in zip(settings, found, strict=True)]
+
+
 def halving_search(
     df: DataFrame, key: str, family: str, columns: Sequence[str], space: dict[str, Sequence], n: int = 9, label: str = "label", seed: int = 31, **fixed
 ) -> list[tuple[int, str, float]]:

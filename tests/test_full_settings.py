@@ -34,9 +34,6 @@ def test_boosting_settings(spark, monkeypatch):
 
 
 def test_tuning_settings(spark, monkeypatch):
-    got = called(monkeypatch, spark, "E7_grid_search", tune, "cross_validate")
-    grid = got["args"][3]
-    assert (len(grid["regParam"]), len(grid["elasticNetParam"]), got["folds"]) == (20, 2, 5)
     assert called(monkeypatch, spark, "E9_validation_curve", tune, "validation_curve")["n_estimators"] == 20
     assert called(monkeypatch, spark, "E12_sampled_attributions", evaluate, "sampled_attributions")["samples"] == 8
     got = called(monkeypatch, spark, "E14_model_comparison", tune, "compare")
