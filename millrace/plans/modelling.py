@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 from millrace.operators import bayes, boosting, models, sampling, vocabulary
+from millrace.operators.second_order import SecondOrderBoosting
 from millrace.plans.frames import RISK_FEATURES, RISK_SQL, bucket_sql, risk
 from millrace.plans.language import WORDS_SQL, docs
 from millrace.plans.registry import query, table
@@ -167,6 +168,12 @@ def _(spark, sf):
     return _score(spark, sf, "boosted_deep", n_estimators=100)
 
 
+@query("M10_boosting_second_order")
+def _(spark, sf):
+    train, test = _parts(spark, sf)
+    return models.score_batch(SecondOrderBoosting(RISK_FEATURES).fit(train), test, ["o_orderkey"]).withColumn("pd", F.round("pd", 6))
+
+
 @query("M11_ada_boost")
 def _(spark, sf):
     train, test = _parts(spark, sf)
