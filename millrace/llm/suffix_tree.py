@@ -10,20 +10,22 @@ state.
 No task and no driver holds the model: it grows with the input and stays dealt out. Chunks of documents send each distinct
 word, (context, next) pair and context once, with what they know of it, to the bucket of its hash, and get the corpus'
 counts, sums and states for their own tokens. Every round goes one word deeper, below contexts that are frequent enough.
+The chunks are written once, as token numbers, in buckets of a table, so that a round shuffles requests and replies only.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm import gather
+from millrace.llm import chunks
+from millrace.llm.gather import CHUNK_BYTES
 from millrace.llm.words import STEPS, U, mix, slices, stream
 from millrace.runtime import work_path
 
+FINE = 1 << 24  # steps in which chunks tell gains, so that their sum does not depend on the order
 PENALTY = 0.5  # of the log of the corpus size, per next symbol of a state
 END = U(stream(9, 1)[0])  # stands for the end of a text among word hashes
 
@@ -38,100 +40,6 @@ def tokens(col) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(hashes), np.concatenate(docs)
 
 
-def word_counts(docs: DataFrame, buckets: int) -> DataFrame:
-    """Replies with each chunk's word counts; rows with chunk -1 hold (tokens, distinct words) of a bucket."""
-
-    def request(table: pa.Table) -> pa.Table:
-        h, doc = tokens(table.column("text"))
-        train = ~table.column("held_out").combine_chunks().to_numpy(zero_copy_only=False)
-        keys, at = np.unique(h, return_inverse=True)
-        counts = np.bincount(at[train[doc]] if len(h) else at, minlength=len(keys)).astype(np.int64)
-        return gather.requests(table.column("chunk")[0].as_py(), keys, counts, buckets)
-
-    def reduce(table: pa.Table) -> pa.Table:
-        keys, counts, sizes = gather.opened(table, np.int64)
-        words, at = np.unique(keys, return_inverse=True)
-        total = np.zeros(len(words), np.int64)
-        np.add.at(total, at, counts)
-        head = np.array([total.sum(), (total > 0).sum()], np.int64)
-        out = gather.replies(table, total[at], sizes)
-        return pa.concat_tables([out, pa.table({"chunk": pa.array([-1], pa.int32()), "bucket": table.column("bucket").slice(0, 1), "vals": pa.array([head.tobytes()], pa.binary())})])
-
-    return gather.ask(docs, request, reduce)
-
-
-class Symbols:
-    """Numbers of given words, the end of a text and the rest; codes of contexts."""
-
-    def __init__(self, words: np.ndarray):
-        self.words = np.sort(words)
-        self.size = len(words) + 1  # the last is "any other word"
-        self.other = len(words)
-
-    def of(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return np.full(len(h), self.other)
-        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        return np.where(self.words[at] == h, at, self.other)
-
-
-def _contexts(h: np.ndarray, doc: np.ndarray, symbols: Symbols) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbol of each token, and codes of the one and two symbols before it in its text (-1: there are not as many)."""
-    s = symbols.of(h)
-    one, two = np.full(len(s), -1), np.full(len(s), -1)
-    inside = doc[1:] == doc[:-1]
-    one[1:] = np.where(inside, s[:-1], -1)
-    deep = inside[1:] & inside[:-1]
-    two[2:] = np.where(deep, s[:-2] * symbols.size + s[1:-1], -1)
-    return s, one, two
-
-
-class Tree:
-    """The same model in memory, for few symbols and two words of context: smoothed next-symbol distributions (log10), row 0 the root."""
-
-    def __init__(self, symbols: Symbols, root: np.ndarray, n: int, one: tuple, two: tuple, penalty: float = PENALTY):
-        """``one``, ``two``: (context, next, n) arrays; all of two's suffixes are contexts of one."""
-        self.symbols = symbols
-        k = symbols.size
-        cost = penalty * np.log(max(n, 2))
-
-        def dense(table):
-            contexts, at = np.unique(table[0], return_inverse=True)
-            counts = np.zeros((len(contexts), k))
-            counts[at, table[1]] = table[2]
-            return contexts, counts
-
-        def smoothed(counts, parent):
-            kinds = (counts > 0).sum(1, keepdims=True)
-            return (counts + kinds * parent) / (counts.sum(1, keepdims=True) + kinds)
-
-        def gain(counts, parent):
-            own = counts / counts.sum(1, keepdims=True)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                return np.where(counts > 0, counts * np.log(own / parent), 0).sum(1) - cost * (counts > 0).sum(1)
-
-        c1, n1 = dense(one)
-        c2, n2 = dense(two)
-        p1 = smoothed(n1, root[None, :])
-        suffix = np.searchsorted(c1, c2 % k)
-        p2 = smoothed(n2, p1[suffix]) if len(c2) else np.zeros((0, k))
-        keep2 = gain(n2, p1[suffix]) > 0 if len(c2) else np.zeros(0, bool)
-        keep1 = gain(n1, root[None, :]) > 0 if len(c1) else np.zeros(0, bool)
-        keep1[np.unique(suffix[keep2])] = True  # a state's suffix is a state
-        self.one, self.two = c1[keep1], c2[keep2]
-        self.table = np.log10(np.concatenate([root[None, :], p1[keep1], p2[keep2]]))
-
-    def score(self, h: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """log10 P(symbol | longest suffix state) of each token, and which tokens are in the common symbol."""
-        s, one, two = _contexts(h, doc, self.symbols)
-        state = np.zeros(len(s), np.int64)
-        for codes, known, base in ((one, self.one, 1), (two, self.two, 1 + len(self.one))):
-            if len(known):
-                at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
-                state = np.where(known[at] == codes, base + at, state)
-        return self.table[state, s], s == self.symbols.other
-
-
 class Walk:
     """A chunk's tokens against what the corpus has said so far.
 
@@ -140,151 +48,184 @@ class Walk:
     states. Slots number these questions, and each has ``buckets`` buckets.
     """
 
-    def __init__(self, table: pa.Table, theirs: pa.Table, buckets: int, depth: int, least: int, size: float):
-        self.buckets, self.depth, self.least = buckets, depth, least
-        self.chunk = table.column("chunk")[0].as_py()
-        self.theirs, self.slots = theirs, theirs.column("bucket").to_numpy() // buckets
-        self.h, self.doc = tokens(table.column("text"))
-        self.train = ~table.column("held_out").combine_chunks().to_numpy(zero_copy_only=False)[self.doc]
-        _, at = np.unique(self.h, return_inverse=True)
-        self.count = self.answers(0)[at]
-        self.p = (self.count + 0.5) / size  # after the longest context whose sums are known
-        self.levels = []
+    def __init__(self, mine: pa.Table, theirs: pa.Table | None, buckets: int, depth: int, least: int, size: float):
+        self.buckets, self.depth, self.least, self.chunk = buckets, depth, least, mine.column("chunk")[0].as_py()
+        mine = mine.sort_by("piece")
+        data = mine.column("data").to_pylist()
+        self.words, self.at = chunks.unpacked_keys(data[0]), np.concatenate([chunks.unpacked(x) for x in data[1:]])
+        self.ids, self.held, sizes = (mine.column(c).combine_chunks().flatten() for c in ("ids", "held", "sizes"))
+        self.doc = np.repeat(np.arange(len(sizes)), sizes)
+        self.train = ~self.held.to_numpy(zero_copy_only=False)[self.doc]
+        if theirs is not None:
+            self.theirs, self.slots = theirs, theirs.column("bucket").to_numpy() // buckets
+            self.h = self.words[self.at]
+            self.count = self.answers(0)[self.at]
+            self.root = (self.count + 0.5) / size
+            self.p = self.root.copy()  # after the longest context whose sums are known
+            self.levels = []
 
     def answers(self, slot: int) -> np.ndarray:
-        return gather.answers(self.theirs.filter(pa.array(self.slots == slot)), np.int64)
+        return chunks.answers(self.theirs.filter(pa.array(self.slots == slot)))
+
+    def requests(self, slot: int, keys: np.ndarray, *vals: np.ndarray) -> pa.Table:
+        return chunks.requests(self.chunk, keys, list(vals), self.buckets, slot)
 
-    def requests(self, slot: int, keys: np.ndarray, vals: np.ndarray) -> pa.Table:
-        table = gather.requests(self.chunk, keys, vals, self.buckets)
-        return table.set_column(0, "bucket", pc.add(table.column("bucket"), pa.scalar(slot * self.buckets, pa.int32())))
+    def ask_words(self) -> pa.Table:
+        return self.requests(0, self.words, np.bincount(self.at[self.train], minlength=len(self.words)))
 
     def ask(self, level: int) -> pa.Table:
         """Requests of round ``level``: 1 to depth + 1, and depth + 2 for the states."""
-        gram, n, out = self.h, self.count, []
+        keys, index, n, out = self.words, self.at, self.count, []  # of the pairs that end at each token, one level below
         inside = self.doc[1:] == self.doc[:-1]
         for k in range(1, min(level, self.depth) + 1):
             seen = np.zeros(len(n), np.int64)
             seen[1:] = np.where(inside, n[:-1], 0)  # occurrences of the context: it is the pair that ends one token before
             at = np.flatnonzero(seen >= self.least)
-            contexts, of = np.unique(gram[at - 1], return_inverse=True)
-            longer = np.zeros(len(gram), U)
-            longer[at] = mix(gram[at - 1] * STEPS[0] + self.h[at] * STEPS[1])
-            gram = longer
-            pairs, pair = np.unique(gram[at], return_inverse=True)
-            train = self.train[at]
+            before = index[at - 1]
+            used = np.zeros(len(keys), bool)
+            used[before] = True
+            contexts, of = keys[used], (np.cumsum(used) - 1)[before]
+            pairs, pair = np.unique(mix(keys[before] * STEPS[0] + self.h[at] * STEPS[1]), return_inverse=True)
+            keys, index = pairs, np.full(len(n), -1)
+            index[at] = pair
             if k == level:
-                out.append(self.requests(k, pairs, np.bincount(pair[train], minlength=len(pairs)).astype(np.int64)))
+                train = self.train[at]
+                out.append(self.requests(k, pairs, np.bincount(pair[train], minlength=len(pairs))))
                 break
             said = self.answers(k)
-            n = np.zeros(len(gram), np.int64)
+            n = np.zeros(len(index), np.int64)
             n[at] = (said >> 1)[pair]
             slot = self.depth + k
             if k == level - 1:
                 context = np.zeros(len(pairs), np.int64)
                 context[pair] = of
-                kinds = np.bincount(context, said & 1, len(contexts))
+                kinds = np.bincount(context, said & 1, len(contexts)).astype(np.int64)
+                train = self.train[at]
                 x = at[train]
                 more = np.bincount(of[train], np.log(n[x] / seen[x]) - np.log(self.p[x]), len(contexts))
-                out.append(self.requests(slot, contexts, np.stack([kinds, more], 1)))
+                out.append(self.requests(slot, contexts, kinds, np.round(more * FINE).astype(np.int64)))
                 continue
             sums = self.answers(slot)
             kinds = (sums >> 1)[of]
-            self.p[at] = (n[at] + kinds * self.p[at]) / (seen[at] + kinds)
-            self.levels.append((at, contexts, of, (sums & 1).astype(bool), np.log10(self.p[at])))
+            p = (n[at] + kinds * self.p[at]) / (seen[at] + kinds)
+            self.p[at] = p
+            self.levels.append((at, contexts, of, (sums & 1).astype(bool), p))
         if level > self.depth + 1:
-            held = np.zeros(len(gram), bool)  # a state's suffix is a state
+            held = np.zeros(len(self.h), bool)  # a state's suffix is a state
             for k, (at, contexts, of, passes, _) in reversed(list(enumerate(self.levels, 1))):
                 held[at] |= passes[of]
-                if k < self.depth:
-                    out.append(self.requests(2 * self.depth + k, contexts, np.bincount(of, held[at], len(contexts)).astype(np.int64)))
+                if k < self.depth:  # only of contexts that do not diverge by themselves
+                    out.append(self.requests(2 * self.depth + k, contexts[~passes], (np.bincount(of, held[at], len(contexts)) > 0)[~passes]))
         return pa.concat_tables(out) if out else self.requests(1, np.zeros(0, U), np.zeros(0, np.int64))
 
     def score(self) -> np.ndarray:
         """log10 P(token | longest suffix of its history that is a state)."""
-        out = np.log10(self.p)
         self.ask(self.depth + 2)
-        for k, (at, _, of, passes, log_p) in enumerate(self.levels, 1):
-            state = (passes if k == self.depth else self.answers(2 * self.depth + k) > 0)[of]
-            out[at[state]] = log_p[state]
-        return out
+        p = self.root
+        for k, (at, _, of, passes, deeper) in enumerate(self.levels, 1):
+            if k < self.depth:
+                passes[~passes] = self.answers(2 * self.depth + k) > 0
+            state = passes[of]
+            p[at[state]] = deeper[state]
+        return np.log10(p)
 
 
 def _reduce(buckets: int, depth: int, cost: float):
-    """What a bucket answers: 2n + 1 to the first chunk with a pair in training and 2n to others; for contexts twice the
-    number of different next tokens, plus one if they diverge from the suffix; for states how many say so."""
+    """What a bucket answers: for words their counts, and rows of chunk -1 with its (tokens, distinct words); for pairs
+    2n + 1 to the first chunk with the pair in training and 2n to others; for contexts twice the number of different next
+    tokens, plus one if they diverge from the suffix; for states whether one says so."""
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("chunk")  # sums do not depend on the order of arrival
+        table = table.sort_by("chunk")  # who is first does not depend on the order of arrival
         slot = table.column("bucket")[0].as_py() // buckets
         sums = depth < slot <= 2 * depth
-        keys, vals, sizes = gather.opened(table, np.float64 if sums else np.int64)
+        keys, vals, sizes = chunks.opened(table, 2 if sums else 1)
         found, at = np.unique(keys, return_inverse=True)
+        total = np.zeros(len(found), np.int64)
+        np.add.at(total, at, vals[0])
         if sums:
-            kinds, more = (np.bincount(at, x, len(found)) for x in vals.reshape(-1, 2).T)
-            reply = (2 * kinds.astype(np.int64) + (more - cost * kinds > 0))[at]
-        else:
-            total = np.bincount(at, vals, len(found)).astype(np.int64)
-            reply = total[at]
-            if slot <= depth:
-                there = np.flatnonzero(vals)
-                reply *= 2
-                reply[there[np.unique(at[there], return_index=True)[1]]] += 1
-        return gather.replies(table, reply, sizes)
+            more = np.zeros(len(found), np.int64)
+            np.add.at(more, at, vals[1])
+            total = 2 * total + (more > cost * FINE * total)
+        if slot > 2 * depth:
+            total = np.minimum(total, 1)
+        reply = total[at]
+        if 0 < slot <= depth:
+            there = np.flatnonzero(vals[0])
+            reply = 2 * reply
+            reply[there[np.unique(at[there], return_index=True)[1]]] += 1
+        out = chunks.replies(table, reply, sizes)
+        if slot == 0:
+            head = chunks.packed(np.array([total.sum(), (total > 0).sum()]))
+            out = pa.concat_tables([out, pa.table({"chunk": pa.array([-1]), "bucket": table.column("bucket").slice(0, 1), "vals": pa.array([head], pa.binary())})])
+        return out
 
     return run
 
 
-def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, least: int = 2, chunk_bytes: int = gather.CHUNK_BYTES) -> DataFrame:
+def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = 3, least: int = 2, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
     Learns from the rows where ``held_out`` is not true. Null texts are empty and score their end; rows with equal ids
     are documents of their own. Without training tokens every token has probability one. Contexts have up to ``depth``
-    words and stand ``least`` times or more in the training part.
+    words and stand ``least`` times or more in the training part. Only the id and the text column are read, and those of
+    ``held_out``.
     """
     spark = df.sparkSession
-    held = F.coalesce(held_out, F.lit(False))
-    docs, chunks = gather.chunked(df, id_col, text_col, chunk_bytes, held_out=held)
-    buckets = max(1, chunks // 4)
-    paths = [work_path(spark, "word_counts")]
-    word_counts(docs, buckets).write.parquet(paths[0])
-    heads = spark.read.parquet(paths[0]).where("chunk = -1").select("vals")
+    kind = dict(df.dtypes)[id_col]
+    docs, number = chunks.stored(df, id_col, text_col, held_out, tokens, chunk_bytes)
+    buckets = max(1, number // 4)
+    paths: list[str] = []
+
+    def reply() -> DataFrame:
+        return spark.read.schema(chunks.REPLY).parquet(*paths).where("chunk >= 0")
+
+    def ask(requests: DataFrame, cost: float = 0.0) -> None:
+        """One round: its replies are written."""
+        path = work_path(spark, "replies")
+        requests.groupBy("bucket").applyInArrow(_reduce(buckets, depth, cost), chunks.REPLY).write.option("compression", "none").parquet(path)
+        paths.append(path)
+
+    def words(mine: pa.Table) -> pa.Table:
+        return Walk(mine, None, buckets, depth, least, 1.0).ask_words()
+
+    ask(docs.groupBy("chunk").applyInArrow(words, chunks.REQUEST))
+    chunks.release(spark)
+    heads = spark.read.schema(chunks.REPLY).parquet(paths[0]).where("chunk = -1").select("vals")
 
     def sums(batches):
         for batch in batches:
-            x = np.array([np.frombuffer(b, np.int64, 2) for b in batch.column(0).to_pylist()]).reshape(-1, 2)
+            x = np.array([chunks.unpacked(b) for b in batch.column(0).to_pylist()]).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(x[:, 0]), pa.array(x[:, 1])], ["n", "v"])
 
     n, v = (int(x or 0) for x in heads.mapInArrow(sums, "n long, v long").agg(F.sum("n"), F.sum("v")).first())
     size = n + 0.5 * (v + 1)
-    reduce = _reduce(buckets, depth, PENALTY * float(np.log(max(n, 2))))
 
-    def reply() -> DataFrame:
-        return spark.read.schema(gather.REPLY).parquet(*paths).where("chunk >= 0")
+    def answered(use, schema: str) -> DataFrame:
+        def run(mine: pa.Table, theirs: pa.Table) -> pa.Table:
+            return use(Walk(mine, theirs, buckets, depth, least, size))
+
+        return docs.groupBy("chunk").cogroup(reply().groupBy("chunk")).applyInArrow(run, schema)
 
     for level in range(1, depth + (3 if depth > 1 else 2)) if n else ():
-        asked = gather.answered(docs, reply(), lambda mine, theirs, level=level: Walk(mine, theirs, buckets, depth, least, size).ask(level), gather.REQUEST)
-        path = work_path(spark, "replies")
-        asked.groupBy("bucket").applyInArrow(reduce, gather.REPLY).write.parquet(path)
-        paths.append(path)
-    kind = dict(docs.dtypes)["id"]
-    schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+        ask(answered(lambda walk, level=level: walk.ask(level), chunks.REQUEST), PENALTY * float(np.log(max(n, 2))))
+        chunks.release(spark)
 
-    def use(table: pa.Table, theirs: pa.Table) -> pa.Table:
-        rows = table.num_rows
-        walk = Walk(table, theirs, buckets, depth, least, size)
-        doc, c = walk.doc, walk.count
-        base = np.log10(walk.p)
+    def use(walk: Walk) -> pa.Table:
+        rows, doc = len(walk.ids), walk.doc
+        base = np.log10(walk.root)
         full = walk.score() if n else base
         return pa.table(
             {
-                "id": table.column("id"),
-                "held_out": table.column("held_out"),
+                "id": walk.ids,
+                "held_out": walk.held,
                 "n_tokens": pa.array(np.bincount(doc, minlength=rows)),
-                "n_known": pa.array(np.bincount(doc[c > 0], minlength=rows)),
+                "n_known": pa.array(np.bincount(doc[walk.count > 0], minlength=rows)),
                 "train_tokens": pa.array(np.full(rows, n)),
                 "base_score": pa.array(np.bincount(doc, base, minlength=rows)),
                 "score": pa.array(np.bincount(doc, full, minlength=rows)),
             }
         )
 
-    return gather.answered(docs, reply(), use, schema).withColumnRenamed("id", id_col)
+    schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return answered(use, schema).withColumnRenamed("id", id_col)

@@ -7,6 +7,7 @@ import re
 import zlib
 
 import awkward
+import suffix_memory
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,12 +195,12 @@ def test_suffix_tree_is_a_distribution():
     from millrace.llm.words import U
 
     rnd = np.random.default_rng(2)
-    symbols = suffix_tree.Symbols(np.array([suffix_tree.END, 5, 9], U))
+    symbols = suffix_memory.Symbols(np.array([suffix_tree.END, 5, 9], U))
     root = np.array([0.2, 0.3, 0.1, 0.4])
     one = [(c, x, int(n)) for c in range(4) for x, n in enumerate(rnd.integers(0, 900, 4)) if n]
     two = [(c, x, int(n)) for c in (0, 5, 15) for x, n in enumerate(rnd.integers(0, 900, 4)) if n]
     columns = lambda t: tuple(np.array(x) for x in zip(*t, strict=True))
-    tree = suffix_tree.Tree(symbols, root, 10_000, columns(one), columns(two))
+    tree = suffix_memory.Tree(symbols, root, 10_000, columns(one), columns(two))
     assert np.allclose((10**tree.table).sum(1), 1) and len(tree.table) > 4
     h = np.array([5, 9, 5, 5, 77, int(suffix_tree.END)], U)
     got, other = tree.score(h, np.zeros(6, int))
@@ -237,9 +238,9 @@ def test_suffix_tree_learns_contexts_of_rare_words(spark):
     h, doc = suffix_tree.tokens(pa.array(texts))
     train = np.array([not held(i) for i in range(len(texts))])[doc]
     found, n = np.unique(h[train], return_counts=True)
-    symbols = suffix_tree.Symbols(found.astype(U))
+    symbols = suffix_memory.Symbols(found.astype(U))
     root = np.append(n + 0.5, 0.5) / (n.sum() + 0.5 * (len(found) + 1))
-    s, one, two = suffix_tree._contexts(h, doc, symbols)
+    s, one, two = suffix_memory._contexts(h, doc, symbols)
     tables = []
     for context in (one, two):
         pairs = collections.Counter((int(c), int(x)) for c, x, t in zip(context, s, train, strict=True) if t and c >= 0)
@@ -247,10 +248,36 @@ def test_suffix_tree_learns_contexts_of_rare_words(spark):
         for (c, _), k in pairs.items():
             total[c] += k
         tables.append(tuple(np.array(x) for x in zip(*[(c, x, k) for (c, x), k in pairs.items() if total[c] >= 2], strict=True)))
-    tree = suffix_tree.Tree(symbols, root, int(n.sum()), *tables)
+    tree = suffix_memory.Tree(symbols, root, int(n.sum()), *tables)
     want = np.bincount(doc, tree.score(h, doc)[0], minlength=len(texts))
     assert len(tree.one) > 30 and len(tree.two) > 0
     assert [got[i].score for i in range(len(texts))] == pytest.approx(want.tolist(), rel=1e-9)
     deep, whole = run(chunk_bytes=3000), run(chunk_bytes=1 << 22)
     assert all(deep[i].score == pytest.approx(whole[i].score, rel=1e-9) for i in deep)
     assert deep[171].score > deep[171].base_score / 4  # no word of it makes up 0.6 % of the tokens
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 4])
+def test_suffix_tree_at_any_depth(spark, depth):
+    """As the same model in dictionaries, with passages that are learnt to the last word of the context."""
+    rnd = random.Random(depth)
+    vocab = [f"w{i}" for i in range(40)]
+    passages = [[rnd.choice(vocab) for _ in range(25)] for _ in range(6)]
+    texts = [[rnd.choice(vocab[: 3 + i % 37]) for _ in range(rnd.randint(0, 40))] for i in range(120)]
+    texts += [[rnd.choice(vocab), *rnd.choice(passages), *rnd.choice(passages)] for _ in range(60)]
+    held = [i % 5 == 1 for i in range(len(texts))]
+    df = spark.createDataFrame([(i, " ".join(t), h) for i, (t, h) in enumerate(zip(texts, held, strict=True))], "doc_id long, text string, h boolean")
+    rows = {r.doc_id: r.score for r in suffix_tree.score(df.repartition(3), F.col("h"), depth=depth, chunk_bytes=2500).collect()}
+    assert [rows[i] for i in range(len(texts))] == pytest.approx(suffix_memory.plain_scores(texts, held, depth), rel=1e-9)
+    if depth > 1:
+        shallow = suffix_memory.plain_scores(texts, held, depth - 1)
+        assert sum(rows[i] > shallow[i] + 1e-6 for i in range(len(texts))) > 20  # the last word of the context counts
+
+
+def test_suffix_tree_query_at_its_depth(spark):
+    """The registered query against dictionaries over the whole table."""
+    docs = [tuple(r) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    held = [zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in docs]
+    want = suffix_memory.plain_scores([words(lower(t)) for _, t in docs], held)
+    got = {r.doc_id: r.score for r in queries()["op10_suffix_tree"](spark, SMALL).collect()}
+    assert [got[i] for i, _ in docs] == pytest.approx(want, rel=1e-9)
