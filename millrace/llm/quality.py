@@ -1,14 +1,16 @@
 """Quality rules with risk-controlled cutoffs, in DataFrame operations only.
 
-Every rule is a score, higher meaning worse, and a fixed sequence of cutoffs from lenient to strict. On labelled rows
-the number of good texts that a cutoff would reject gives an exact binomial test of "the false rejection rate is above
-the rule's share of the risk". Within a stratum and rule the cutoffs are tested in their fixed order up to the first
-that is not certified, which needs no correction; over rules and strata the error level is divided (Bonferroni). With
-probability 1 - ``delta`` no stratum loses more than ``risk`` of its good texts. Strata without enough labelled rows
-get no cutoff and lose nothing.
+Every rule is a score, higher meaning worse. The labelled rows of each stratum are split by a hash of the id. One half plans:
+each rule gets the cutoff with the greatest gain, and the rules are put in the order of their gains. The other half, which
+the plan has not seen, certifies: the combined cutoffs of the first rule, the first two rules, and so on are one fixed
+sequence, in which an exact binomial test of "more than ``risk`` of the good texts would be rejected" is made of each up to
+the first that it does not rule out. A fixed sequence needs no correction; over strata the error level is divided
+(Bonferroni). With probability 1 - ``delta`` no stratum loses more than ``risk`` of its good texts. Strata without enough
+labelled rows get no cutoff and lose nothing.
 
 Nulls: a null text has no words (and fails the base rule), a null stratum is a stratum of its own, null labels are left
-out, several labels of one id count as bad if one of them is.
+out, several labels of one id count as bad if one of them is. Without labels there are no cutoffs. Rows with equal ids are
+judged one by one. Other columns pass through, except that columns with the names of the counts are replaced.
 """
 
 from __future__ import annotations
@@ -85,36 +87,48 @@ def _binomial_tail(k: str, n: str, p: float) -> Column:
     return F.expr(f"CASE WHEN {n} > 0 AND {k} < {p}D * {n} THEN least(1D, exp({log_pmf}) * {ratio}) ELSE 1D END")
 
 
-def cutoffs(featured: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", risk: float = 0.05, delta: float = 0.05, cost: int = 20) -> DataFrame:
-    """Certified cutoffs: stratum, ``cuts`` map of rule -> cutoff.
+def _scores() -> Column:
+    return F.map_from_arrays(F.array(*map(F.lit, RULES)), F.array(*[F.expr(e) for e in RULES.values()]))
+
+
+def _side(df: DataFrame, rows: int = 10_000) -> DataFrame:
+    """A table with a row per stratum as the side of a join: broadcast if it proves to be small."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def plans(scored: DataFrame, cost: int) -> DataFrame:
+    """(stratum, plan): rules with their cutoffs, the one with the greatest gain on the planning half first.
 
-    Of a rule's certified cutoffs the one with the greatest gain is taken: bad texts rejected less ``cost`` times good
-    ones; the most lenient of ties, none without a gain. All certified cutoffs hold together, so the choice is free.
+    The gain of a cutoff is the bad texts that it rejects less ``cost`` times the good ones; a rule takes its most lenient
+    cutoff of greatest gain, and is left out without a gain.
+    """
+    over = lambda r, c, q: F.count_if((F.col("scores")[r] > c) & (F.col("good") == q))
+    counts = scored.where("planning").groupBy("stratum").agg(*[F.array(*[F.struct((over(r, c, False) - cost * over(r, c, True)).alias("gain"), F.lit(c).alias("cut")) for c in STEPS]).alias(r) for r in RULES])
+    # steps go from lenient to strict, so the greater cutoff of equal gains is the more lenient one
+    best = F.array(*[F.struct((-F.array_max(r)["gain"]).alias("loss"), F.lit(r).alias("rule"), F.array_max(r)["cut"].alias("cut")) for r in RULES])
+    return counts.select("stratum", F.sort_array(F.filter(best, lambda x: x["loss"] < 0)).alias("plan"))
+
+
+def cutoffs(featured: DataFrame, labels: DataFrame, stratum: str = "lang", id_col: str = "doc_id", risk: float = 0.05, delta: float = 0.05, cost: int = 20) -> DataFrame:
+    """Certified cutoffs: stratum, ``cuts`` map of rule -> cutoff, for strata with any.
 
-    ``labels`` has the id and ``quality`` (1 good, 0 bad). Good rows are counted per stratum before anything is shuffled,
-    so the size of a stratum does not matter.
+    ``featured`` are texts with their counts, best stored, of which the counts alone are read; ``labels`` has the id and
+    ``quality`` (1 good, 0 bad).
     """
-    truth = labels.where("quality IS NOT NULL").groupBy(id_col).agg(F.min("quality").alias("__q"))
-    held = featured.join(truth, id_col).where("NOT (" + _BASE + ")")
-    names = list(RULES)
-    # a few numbers per labelled text, written so that the counts below do not work them out again
-    scored = cut_lineage(held.select(F.col(stratum).alias("stratum"), "__q", *[F.expr(RULES[r]).alias(r) for r in names]))
-
-    def over(r: str, c: float, q: int) -> Column:
-        return F.count_if((F.col(r) > c) & (F.col("__q") == q))
-
-    # a row per stratum: rejected good and bad texts by rule and step
-    counts = scored.groupBy("stratum").agg(F.count_if(F.col("__q") == 1).alias("n"), *[F.array(*[F.struct(over(r, c, 1).alias("k"), over(r, c, 0).alias("b")) for c in STEPS]).alias(r) for r in names])
-    counts = cut_lineage(counts)
-    strata = counts.count()
-    level = delta / (len(names) * max(1, strata))
-    per_rule = counts.select("stratum", "n", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("steps")) for r in names])).alias("x")).select("stratum", "n", "x.rule", F.posexplode("x.steps").alias("step", "y"))
-    tests = per_rule.select("stratum", "n", "rule", "step", "y.k", "y.b").withColumn("p", _binomial_tail("k", "n", risk / len(names)))
-    cut = F.element_at(F.array(*map(F.lit, STEPS)), F.col("step") + 1)
-    steps = F.sort_array(F.collect_list(F.struct("step", cut.alias("cut"), "k", "b", (F.col("p") > level).alias("fails"))))  # as many as STEPS
-    certified = tests.groupBy("stratum", "rule").agg(steps.alias("steps")).selectExpr("stratum", "rule", "slice(steps, 1, int(coalesce(nullif(array_position(transform(steps, x -> x.fails), true), 0), size(steps) + 1L) - 1)) AS steps")
-    best = certified.selectExpr("stratum", "rule", f"array_max(transform(steps, x -> named_struct('gain', x.b - {cost} * x.k, 'cut', x.cut))) AS best").where("best.gain > 0")
-    return best.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "best.cut"))).alias("cuts"))
+    truth = labels.where("quality IS NOT NULL").groupBy(id_col).agg((F.min("quality") == 1).alias("good"))
+    held = featured.where("NOT (" + _BASE + ")").select(F.col(id_col).alias("id"), F.col(stratum).alias("stratum"), _scores().alias("scores")).join(truth.withColumnRenamed(id_col, "id"), "id")
+    scored = cut_lineage(held.select("stratum", "good", "scores", (F.pmod(F.xxhash64("id"), F.lit(2)) == 0).alias("planning")))
+    plan = cut_lineage(plans(scored, cost).withColumnRenamed("stratum", "of"))
+    strata = scored.select("stratum").distinct().count()
+    rest = scored.where("NOT planning AND good")
+    planned = rest.join(_side(plan), F.col("stratum").eqNullSafe(F.col("of")))
+    first = F.array_position(F.transform("plan", lambda x: F.element_at("scores", x["rule"]) > x["cut"]), True)
+    steps = len(RULES)
+    lost = planned.select("of", "plan", first.alias("first")).groupBy("of").agg(F.any_value("plan").alias("plan"), F.count("*").alias("n"), F.array(*[F.count_if(F.col("first").between(1, m)) for m in range(1, steps + 1)]).alias("lost"))
+    tests = lost.select("of", "plan", "n", F.posexplode("lost").alias("m", "k")).where("m < size(plan)").withColumn("fails", _binomial_tail("k", "n", risk) > delta / max(1, strata))
+    failed = F.min(F.when(F.col("fails"), F.col("m")))
+    certified = tests.groupBy("of").agg(F.any_value("plan").alias("plan"), F.coalesce(failed, F.max("m") + 1).alias("m")).where("m > 0")
+    return certified.select(F.col("of").alias("stratum"), F.map_from_entries(F.transform(F.slice("plan", F.lit(1), F.col("m")), lambda x: F.struct(x["rule"], x["cut"]))).alias("cuts"))
 
 
 _BASE = "n_words < 10 OR 100 * n_repeat_words > 20 * n_words"
@@ -123,7 +137,7 @@ _BASE = "n_words < 10 OR 100 * n_repeat_words > 20 * n_words"
 def judge(featured: DataFrame, cuts: DataFrame, stratum: str = "lang") -> DataFrame:
     """Add ``base_failed``, ``rejected_by`` (array of rules) and ``kept``."""
     over = F.array_compact(F.array(*[F.when(F.expr(e) > F.element_at("__cuts", r), F.lit(r)) for r, e in RULES.items()]))
-    cuts = cuts.select(F.col("stratum").alias("__stratum"), F.col("cuts").alias("__cuts"))
-    df = featured.join(cuts, F.col(stratum).eqNullSafe(F.col("__stratum")), "left")
+    cuts = cut_lineage(cuts.select(F.col("stratum").alias("__stratum"), F.col("cuts").alias("__cuts")))
+    df = featured.join(_side(cuts), F.col(stratum).eqNullSafe(F.col("__stratum")), "left")
     df = df.withColumn("base_failed", base_failed()).withColumn("rejected_by", F.coalesce(over, F.array().cast("array<string>")))
     return df.withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0)).drop("__stratum", "__cuts")

@@ -6,25 +6,33 @@ import awkward
 import corpus_pipeline
 import numpy as np
 from test_corpus import brute_join
-from test_rows import base_counts
+from test_rows import base_rule, plain_cutoffs, planning_ids, rule_scores
 
-from millrace.llm import bpe, quality
+from millrace.llm import bpe
 from millrace.llm.queries import tokenizer_path
 
 SMALL = "/root/testdata/sf0.001"
 
 
+def windows(lines):
+    """(first, number) of the least matches: three lines, or fewer with 50 words."""
+    for n in (1, 2, 3):
+        for p in range(len(lines) - n + 1):
+            if n == 3 or sum(len(y) for _, y in lines[p : p + n]) >= 50:
+                yield p, n
+
+
 def brute_lines(docs):
     first, out = {}, []
     split = {i: [(k, tuple(x.split())) for k, x in enumerate(t.split("\n")) if x.split()] for i, t in docs}
     for i, _ in docs:
         ls = split[i]
-        for p in range(len(ls) - 2):
-            run = tuple(y for _, y in ls[p : p + 3])
+        for p, n in windows(ls):
+            run = tuple(y for _, y in ls[p : p + n])
             first[run] = min((i, p), first.get(run, (i, p)))
     for i, t in docs:
         ls = split[i]
-        gone = {q for p in range(len(ls) - 2) if first[tuple(y for _, y in ls[p : p + 3])] < (i, p) for q in range(p, p + 3)}
+        gone = {q for p, n in windows(ls) if first[tuple(y for _, y in ls[p : p + n])] < (i, p) for q in range(p, p + n)}
         if gone and len(gone) == len(ls):
             continue
         numbers = {ls[q][0] for q in gone}
@@ -51,10 +59,9 @@ def overlaps(a, b):
 def test_pipeline(spark):
     table = lambda name: spark.read.parquet(f"{SMALL}/{name}.parquet")
     docs = [tuple(r) for r in table("documents").select("doc_id", "text", "lang").collect()]
-    # the cutoffs are tested on their own; here the base rule and whatever they certify
-    cuts = {r.stratum: r.cuts for r in quality.cutoffs(quality.features(table("documents")), table("labels")).collect()}
-    assert not cuts  # too few labels at this size
-    left = [(i, t) for i, t, _ in docs if (n := base_counts(t))[0] >= 10 and 100 * n[4] <= 20 * n[0]]
+    labels = [tuple(r) for r in table("labels").select("doc_id", "quality").collect()]
+    cuts = plain_cutoffs(docs, labels, planning_ids(spark, [i for i, _ in labels]))
+    left = [(i, t) for i, t, s in docs if not base_rule(t) and not any(rule_scores(t)[r] > c for r, c in cuts.get(s, {}).items())]
     left = brute_lines(left)
     groups = {i for i, _, c in brute_join(left, k=5, percent=80) if i == c}
     left = [(i, t) for i, t in left if str(i) in groups]
@@ -68,6 +75,22 @@ def test_pipeline(spark):
     assert 0 < len(want) < len(docs)
 
 
+def test_quality_stage_where_cutoffs_are_certified(spark, tmp_path):
+    """Labels enough that every language gets cutoffs; what they reject goes, all else stays as it is."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    texts = [tuple(r) for r in docs.select("doc_id", "text", "lang").collect()]
+    more = [(1000 * (k + 1) + i, t if i % 6 else t.replace(" ", "### "), s) for k in range(5) for i, t, s in texts if len((t or "").split()) > 20]
+    labels = [(i, int(i % 1000 % 6 > 0)) for i, _, _ in more]
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    given = spark.createDataFrame([(*r, "s", len(r[1] or "")) for r in more], "doc_id long, text string, lang string, source string, n_chars long")
+    cuts = plain_cutoffs(more, labels, planning_ids(spark, [i for i, _ in labels]))
+    assert len(cuts) > 1
+    want = sorted(i for i, t, s in more if not base_rule(t) and not any(rule_scores(t)[r] > c for r, c in cuts.get(s, {}).items()))
+    out = corpus_pipeline.quality_rules(spark, given, str(tmp_path))
+    assert out.columns == given.columns
+    assert sorted(r.doc_id for r in out.collect()) == want and len(want) < sum(not base_rule(t) for _, t, _ in more)
+
+
 def test_stages_on_awkward_rows(spark):
     names = ["doc_id", "text", "lang", "source", "n_chars"]
     for data in (awkward.rows(), []):

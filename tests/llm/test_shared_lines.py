@@ -5,10 +5,14 @@ import random
 import re
 
 import awkward
+import pytest
 
 from millrace.llm import decontaminate, lines
+from millrace.llm.queries import queries
 from millrace.llm.words import NULL_ID
 
+SMALL = "/root/testdata/sf0.001"
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -49,6 +53,67 @@ def test_line_dedup(spark):
     assert lines.dedup(lines.dedup(df.limit(0))).count() == 0
 
 
+def brute_dedup(rows, key, words):
+    """rows: (id, text); whole windows of lines as dictionary keys."""
+
+    def split(text):
+        return [(k, tuple(WORD.findall(x))) for k, x in enumerate((text or "").split("\n")) if WORD.search(x)]
+
+    def windows(ls):
+        for n in (1, 2, 3):
+            for p in range(len(ls) - n + 1):
+                if n == 3 or sum(len(y) for _, y in ls[p : p + n]) >= words:
+                    yield p, n, tuple(y for _, y in ls[p : p + n])
+
+    first, out = {}, []
+    place = lambda i, t, p: (NULL_ID if i is None else i, key[t], p)
+    for i, t in rows:
+        for p, _, run in windows(split(t)):
+            first[run] = min(place(i, t, p), first.get(run, place(i, t, p)))
+    for i, t in rows:
+        ls = split(t)
+        gone = {q for p, n, run in windows(ls) if first[run] < place(i, t, p) for q in range(p, p + n)}
+        numbers = {ls[q][0] for q in gone}
+        left = t if not gone else "\n".join(y for k, y in enumerate(t.split("\n")) if k not in numbers)
+        out.append((str(i), str(left), len(gone), len(ls) - len(gone)))
+    return sorted(out)
+
+
+def keys_of(df):
+    return {r.text: r.key_ for r in df.selectExpr("text", "xxhash64(coalesce(text, '')) AS key_").collect()}
+
+
+@pytest.mark.parametrize("words", [5, 12, lines.WORDS])
+def test_dedup_with_any_least_words(spark, words):
+    """Few lines in many contexts, so that places often disagree with the first one of their fingerprint."""
+    rnd = random.Random(words)
+    pool = [" ".join(rnd.choice(awkward.vocabulary()) for _ in range(rnd.randint(1, 9))) for _ in range(9)]
+    more = ["\n".join(rnd.choice(pool + [""]) for _ in range(rnd.randint(1, 9))) for _ in range(150)]
+    data = awkward.rows(more)
+    df = awkward.frame(spark, data)
+    got = [(str(r.doc_id), str(r.text), r.n_lines_deleted, r.n_lines_left) for r in lines.dedup(df.repartition(5), words=words).collect()]
+    assert sorted(got) == brute_dedup([x[:2] for x in data], keys_of(df), words)
+
+
+def test_query_and_how_many_lines_it_writes(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    written = []
+    plain = lines.later
+    monkeypatch.setattr(lines, "later", lambda prints, place: written.append(prints.count()) or plain(prints, place))
+    got = [(str(r.doc_id), str(r.text), r.n_lines_deleted, r.n_lines_left) for r in queries()["op8_line_dedup"](spark, SMALL).collect()]
+    assert sorted(got) == brute_dedup([tuple(r) for r in docs.collect()], keys_of(docs), lines.WORDS)
+    every = sum(1 for r in docs.collect() for x in (r.text or "").split("\n") if WORD.search(x))
+    assert 0 < written[0] < 0.9 * every  # winnowing thins the lines
+
+
+def test_clashing_columns(spark):
+    names = ["id", "key", "at", "print", "own", "windows", "marks", "row", "own_id", "own_key", "__at", "__text_key", "b0", "x.y", "n_lines_left"]
+    df = spark.createDataFrame([(i, "a\nb\nc", *range(len(names))) for i in range(3)], ["doc_id", "text", *names])
+    out = lines.dedup(df)
+    assert out.columns == ["doc_id", "text", *names[:-1], "n_lines_deleted", "n_lines_left"]
+    assert sorted((r.doc_id, r.text, r["x.y"], r.n_lines_deleted) for r in out.collect()) == [(0, "a\nb\nc", 13, 0), (1, "", 13, 3), (2, "", 13, 3)]
+
+
 def test_long_lines_and_pairs(spark):
     """Copies of one or two lines go if they have WORDS words, whatever stands around them."""
     say = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
