@@ -79,7 +79,7 @@ def test_quality_stage_where_cutoffs_are_certified(spark, tmp_path):
     """Labels enough that every language gets cutoffs; what they reject goes, all else stays as it is."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     texts = [tuple(r) for r in docs.select("doc_id", "text", "lang").collect()]
-    more = [(1000 * (k + 1) + i, t if i % 6 else t.replace(" ", "### "), s) for k in range(5) for i, t, s in texts if not base_rule(t) and rule_scores(t)["symbols"] < 0.02]
+    more = [(1000 * (k + 1) + i, t if i % 6 else t.replace(" ", "### "), s) for k in range(16) for i, t, s in texts if not base_rule(t) and rule_scores(t)["symbols"] < 0.02]
     labels = [(i, int(i % 1000 % 6 > 0)) for i, _, _ in more]
     spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
     given = spark.createDataFrame([(*r, "s", len(r[1] or "")) for r in more], "doc_id long, text string, lang string, source string, n_chars long")
