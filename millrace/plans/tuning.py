@@ -7,7 +7,7 @@ import statistics
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from millrace.operators import evaluate, models, sampling, tune
+from millrace.operators import attributions, evaluate, models, pruning, sampling, tune
 from millrace.plans.frames import RISK_FEATURES, risk
 from millrace.plans.registry import query
 
@@ -64,6 +64,15 @@ def _(spark, sf):
     return spark.createDataFrame(rows, "min_info_gain string, train_accuracy double, validation_accuracy double")
 
 
+@query("E10_cost_complexity")
+def _(spark, sf):
+    data = _train(spark, sf).withColumn("part", F.when(sampling.hash_bucket("o_orderkey", 31) < 700, "train").otherwise("validation"))
+    model = models.classifier_stages("tree", RISK_FEATURES, scaling=None, max_depth=12).fit(data.where("part = 'train'"))
+    path = pruning.pruning_path(model.transform(data).select("part", "label", "raw_features"), model.stages[-1], "raw_features", "label", "part", "train")
+    rows = [(a, n, r, s["train"], s["validation"]) for a, n, r, s in pruning.best_alphas(path, "validation")]
+    return spark.createDataFrame(rows, "alpha double, leaves int, risk double, train_accuracy double, validation_accuracy double")
+
+
 @query("E12_sampled_attributions")
 def _(spark, sf):
     df = risk(spark, sf)
@@ -71,6 +80,17 @@ def _(spark, sf):
     return phis.select("o_orderkey", *[F.round(c, 6).alias(c) for c in phis.columns if c != "o_orderkey"])
 
 
+def _phis(df, *keep):
+    return df.select(*keep, *[F.round(c, 6).alias(c) for c in df.columns if c not in keep])
+
+
+@query("E12_tree_attributions")
+def _(spark, sf):
+    model = models.classifier_stages("forest", RISK_FEATURES, scaling=None, n_estimators=20, max_depth=5).fit(_train(spark, sf))
+    df = risk(spark, sf)
+    return _phis(attributions.tree_attributions(df, "o_orderkey", RISK_FEATURES, attributions.spark_boxes(model.stages[-1]), df, rows=100, seed=5), "o_orderkey")
+
+
 @query("E13_permutation_importance")
 def _(spark, sf):
     rows = evaluate.permutation_importance(risk(spark, sf), "o_orderkey", RISK_FEATURES, "label", _scorer(_logit(spark, sf)), seed=5)
