@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.joins import bounded
 from millrace.operators.running import numbered
+from millrace.runtime import cut_lineage
 
 _HOT = 64
 
@@ -43,10 +45,37 @@ def ranked_vocabulary(df: DataFrame, tokens: Column, min_count: int = 1) -> Data
     return numbered(counts, "__neg", ["term"], name="idx").drop("__neg")
 
 
+def rule_lemmas(counts: DataFrame, rules: list[tuple[str, str]], exceptions: DataFrame, shortest: int = 2) -> DataFrame:
+    """(form, lemma) of every term of ``counts`` (term, n) whose lemma is another word.
+
+    ``exceptions`` (form, lemma) decide first. Otherwise the first of the rules (ending, replacement) counts whose result has
+    ``shortest`` letters or more and is a word of the vocabulary that is at least as frequent as the form. The work is per
+    distinct term: a handful of candidates each, joined with the vocabulary.
+    """
+    guess = F.array_compact(
+        F.array(*[F.when(F.col("term").endswith(a) & (F.length("term") - len(a) + len(b) >= shortest), F.struct(F.lit(i).alias("rule"), F.concat(F.substr("term", F.lit(1), F.length("term") - len(a)), F.lit(b)).alias("lemma"))) for i, (a, b) in enumerate(rules)])
+    )
+    listed = counts.join(exceptions.select(F.col("form").alias("term")), "term", "left_anti")
+    tried = listed.select(F.col("term").alias("form"), F.col("n").alias("own"), F.inline(guess))
+    known = tried.join(counts.select(F.col("term").alias("lemma"), "n"), "lemma").where("n >= own AND lemma <> form")
+    ruled = known.groupBy("form").agg(F.min(F.struct("rule", "lemma")).alias("best")).select("form", "best.lemma")
+    return ruled.unionByName(exceptions.select("form", "lemma"))
+
+
+def lemma_counts(df: DataFrame, key: str, tokens: Column, rules: list[tuple[str, str]], exceptions: DataFrame) -> DataFrame:
+    """(key, lemma, n): the bag of words with every form under its lemma; the vocabulary is that of the texts."""
+    terms = cut_lineage(document_terms(df, key, tokens).withColumnRenamed("term", "form"))
+    counts = cut_lineage(terms.groupBy("form").agg(F.sum("n").alias("n"), F.count("*").alias("rows")))
+    lemmas = cut_lineage(rule_lemmas(counts.select(F.col("form").alias("term"), "n"), rules, exceptions))
+    found = lookup(terms, lemmas, "form", counts.select("form", F.col("rows").alias("n")), "left")
+    return found.groupBy(key, F.coalesce("lemma", "form").alias("lemma")).agg(F.sum("n").alias("n"))
+
+
 def lemmatize(df: DataFrame, key: str, tokens: Column, lemmas: DataFrame) -> DataFrame:
     """(key, pos, form, lemma): the table's lemma, or the form itself."""
     long = df.select(key, F.posexplode(tokens).alias("pos", "form"))
-    found = long.join(lemmas, "form", "left")
+    small = bounded(lemmas)
+    found = lookup(long, lemmas, "form", long.groupBy("form").agg(F.count("*").alias("n")), "left") if small is None else long.join(small, "form", "left")
     return found.select(key, "pos", "form", F.coalesce("lemma", "form").alias("lemma"))
 
 
@@ -91,7 +120,8 @@ def document_vectors(df: DataFrame, key: str, tokens: Column, vectors: DataFrame
     are counted before the join; documents without known words get the zero vector.
     """
     terms = document_terms(df, key, tokens)
-    found = terms.join(vectors.select(F.col("word").alias("term"), F.col("vector").alias("v")).hint("shuffle_hash"), "term")
+    terms = cut_lineage(terms)  # read to count the terms and to look them up
+    found = lookup(terms, vectors.select(F.col("word").alias("term"), F.col("vector").alias("v")), "term", terms.groupBy("term").agg(F.count("*").alias("n")))
     sums = found.groupBy(key).agg(
         F.array(*[F.sum(F.get("v", F.lit(i)).cast("double") * F.col("n")) for i in range(size)]).alias("sums"), F.sum("n").alias("known")
     )

@@ -21,6 +21,22 @@ _LEXICON = [
 ]
 
 
+# endings of English nouns, verbs and adjectives in the order in which they are tried, and irregular forms
+_RULES = [
+    ("ies", "y"), ("ches", "ch"), ("shes", "sh"), ("sses", "ss"), ("xes", "x"), ("zes", "z"), ("ves", "f"), ("men", "man"), ("es", "e"), ("s", ""),
+    ("ied", "y"), ("ed", "e"), ("ed", ""), ("ing", "e"), ("ing", ""), ("iest", "y"), ("est", "e"), ("est", ""), ("ier", "y"), ("er", "e"), ("er", ""), ("ly", ""),
+]
+_IRREGULAR = [("was", "be"), ("is", "be"), ("are", "be"), ("were", "be"), ("an", "a"), ("des", "de"), ("les", "le")]
+# (word, polarity, subjectivity, intensity, negates): scored words, words that strengthen or weaken the next one, negations
+_SCOPED = [(w, p, s, None, None) for w, p, s in _LEXICON] + [("in", None, None, 1.3, None), ("to", None, None, 1.5, None), ("on", None, None, 0.6, None), ("a", None, None, None, True), ("that", None, None, 0.8, True)]
+_REACH = 3
+
+
+def _nullable(rows):
+    one = lambda v: "NULL" if v is None else str(v).lower() if isinstance(v, bool) else repr(v)
+    return ", ".join("(" + ", ".join(one(v) for v in r) + ")" for r in rows)
+
+
 def _values(rows):
     return ", ".join("(" + ", ".join(f"CAST({v} AS DOUBLE)" if isinstance(v, float) else f"'{v}'" for v in r) + ")" for r in rows)
 
@@ -86,6 +102,20 @@ def _(spark, sf):
     return long.groupBy("doc_id", "lemma").agg(F.count("*").alias("n"))
 
 
+@query(
+    "N4_lemma_rules",
+    f"""WITH r(rule, a, b) AS (VALUES {", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(_RULES))}), x(form, lemma) AS (VALUES {_values(_IRREGULAR)}),
+        w AS (SELECT doc_id, form, count(*) AS n FROM (SELECT doc_id, unnest({WORDS_SQL}) AS form FROM documents) GROUP BY 1, 2),
+        v AS (SELECT form, sum(n) AS n FROM w GROUP BY 1),
+        g AS (SELECT form, n, rule, left(form, length(form) - length(a)) || b AS lemma FROM v, r WHERE suffix(form, a) AND length(form) - length(a) + length(b) >= 2 AND form NOT IN (SELECT form FROM x)),
+        k AS (SELECT g.form, min_by(g.lemma, rule) AS lemma FROM g JOIN v ON g.lemma = v.form WHERE v.n >= g.n AND g.lemma <> g.form GROUP BY 1 UNION ALL SELECT form, lemma FROM x)
+        SELECT doc_id, coalesce(lemma, w.form) AS lemma, CAST(sum(n) AS BIGINT) AS n FROM w LEFT JOIN k ON w.form = k.form GROUP BY 1, 2""",
+)
+def _(spark, sf):
+    exceptions = spark.createDataFrame(_IRREGULAR, "form string, lemma string")
+    return vocabulary.lemma_counts(docs(spark, sf), "doc_id", T.word_tokens(F.col("text")), _RULES, exceptions)
+
+
 @query("N5_bag_of_words", f"SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest({WORDS_SQL}) AS term FROM documents) GROUP BY 1, 2")
 def _(spark, sf):
     return vocabulary.document_terms(docs(spark, sf), "doc_id", T.word_tokens(F.col("text")))
@@ -175,6 +205,24 @@ def _(spark, sf):
     return scored.withColumns({"polarity": F.round("polarity", 9), "subjectivity": F.round("subjectivity", 9)})
 
 
+@query(
+    "N9_scoped_sentiment",
+    f"""WITH l(word, polarity, subjectivity, intensity, negates) AS (VALUES {_nullable(_SCOPED)}), t AS (SELECT doc_id, {WORDS_SQL} AS t FROM documents),
+        m AS (SELECT doc_id, pos, l.* FROM (SELECT doc_id, unnest(t) AS word, unnest(range(len(t))) AS pos FROM t) JOIN l USING (word)),
+        s AS (SELECT *, coalesce(lag(pos) OVER (PARTITION BY doc_id ORDER BY pos), -1) AS prev FROM m WHERE polarity IS NOT NULL),
+        b AS (SELECT s.doc_id, s.pos, any_value(s.polarity) AS p, any_value(s.subjectivity) AS s, product(coalesce(x.intensity, 1)) AS boost, count_if(x.negates) AS neg
+              FROM s LEFT JOIN m x ON x.doc_id = s.doc_id AND x.polarity IS NULL AND x.pos > s.prev AND x.pos >= s.pos - {_REACH} AND x.pos < s.pos GROUP BY 1, 2),
+        d AS (SELECT doc_id, avg(greatest(-1, least(1, p * boost * CASE WHEN neg % 2 = 1 THEN -0.5 ELSE 1 END))) AS p, avg(greatest(0, least(1, s * boost))) AS s FROM b GROUP BY 1)
+        SELECT doc_id, round(coalesce(p, 0), 9) AS polarity, round(coalesce(s, 0), 9) AS subjectivity,
+          CASE WHEN coalesce(round(p, 9), 0) > 0.5 THEN 'positive' WHEN coalesce(round(p, 9), 0) < -0.5 THEN 'negative' ELSE 'neutral' END AS sentiment
+        FROM documents LEFT JOIN d USING (doc_id)""",
+)
+def _(spark, sf):
+    lexicon = spark.createDataFrame(_SCOPED, "word string, polarity double, subjectivity double, intensity double, negates boolean")
+    scored = phrases.scoped_sentiment(docs(spark, sf), "doc_id", T.word_tokens(F.col("text")), lexicon, reach=_REACH)
+    return scored.withColumns({"polarity": F.round("polarity", 9), "subjectivity": F.round("subjectivity", 9)})
+
+
 _BIGRAM = f"""tok AS (SELECT doc_id, {SIMPLE_SQL} AS t FROM documents), w AS (SELECT unnest(t) AS w FROM tok),
    wc AS (SELECT w, count(*) AS n FROM w GROUP BY 1),
    pc AS (SELECT a, b, count(*) AS n_ab FROM (SELECT t[i] AS a, t[i + 1] AS b FROM (SELECT t, unnest(range(1, len(t))) AS i FROM tok)) GROUP BY 1, 2),

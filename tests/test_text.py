@@ -1,5 +1,7 @@
 """Cleaning, tokens, phrases, collocations and sequences on hand-made rows."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from millrace.functions import scalars as X
@@ -92,3 +94,52 @@ def test_document_vectors_zero_and_skip(spark):
     zero = {r["id"]: r["vector"] for r in vocabulary.document_vectors(df, "id", F.col("t"), vectors, 2, "zero").collect()}
     assert skip == {1: [1.0, 2.0], 2: [0.0, 0.0]}
     assert zero[1] == [2 / 3, 4 / 3]
+
+
+LEXICON = [("good", 0.7, 0.6, None, None), ("bad", -0.6, 0.9, None, None), ("very", None, None, 1.5, None), ("hardly", None, None, 0.5, True), ("not", None, None, None, True)]
+
+
+def plain_sentiment(words, reach=3):
+    table = {w: r for w, *r in LEXICON}
+    scores, open_ = [], []
+    for i, w in enumerate(words):
+        if w not in table:
+            continue
+        polarity, subjectivity, intensity, negates = table[w]
+        open_ = [m for m in open_ if m[0] >= i - reach]
+        if polarity is None:
+            open_.append((i, intensity or 1, bool(negates)))
+            continue
+        boost = 1.0
+        for m in open_:
+            boost *= m[1]
+        turn = -0.5 if sum(m[2] for m in open_) % 2 else 1
+        scores.append((max(-1, min(1, polarity * boost * turn)), min(1, subjectivity * boost)))
+        open_ = []
+    n = max(len(scores), 1)
+    return round(sum(p for p, _ in scores) / n, 9), round(sum(s for _, s in scores) / n, 9)
+
+
+def test_scoped_sentiment(spark, monkeypatch):
+    rnd = random.Random(3)
+    texts = ["not very good", "very very very good", "not not bad", "not a b c good", "not a b good", "hardly bad not", "", "plain words", None]
+    texts += [" ".join(rnd.choice(["good", "bad", "very", "hardly", "not", "x", "y"]) for _ in range(rnd.randint(0, 40))) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    lexicon = spark.createDataFrame(LEXICON, "word string, polarity double, subjectivity double, intensity double, negates boolean")
+    want = {i: plain_sentiment((t or "").split()) for i, t in enumerate(texts)}
+    for large in (False, True):
+        if large:
+            monkeypatch.setattr(phrases, "bounded", lambda f: None)
+        got = phrases.scoped_sentiment(df, "id", T.word_tokens(F.col("text")), lexicon).collect()
+        assert {r.id: (round(r.polarity, 9), round(r.subjectivity, 9)) for r in got} == want
+    assert want[0][0] == round(0.7 * 1.5 * -0.5, 9) and want[1][0] == 1
+
+
+def test_lemmas_by_rule(spark):
+    texts = ["cats cat cat running run run", "studies study flies buses bus", "was sing thing cats s"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    rules = [("ies", "y"), ("es", ""), ("s", ""), ("ning", ""), ("ing", "")]
+    exceptions = spark.createDataFrame([("was", "be"), ("absent", "x")], "form string, lemma string")
+    got = {(r.id, r.lemma): r.n for r in vocabulary.lemma_counts(df, "id", T.word_tokens(F.col("text")), rules, exceptions).collect()}
+    # cats is as frequent as cat, flies has no fly, sing and thing have no shorter word, s is too short
+    assert got == {(0, "cat"): 3, (0, "run"): 3, (1, "study"): 2, (1, "flies"): 1, (1, "bus"): 2, (2, "be"): 1, (2, "sing"): 1, (2, "thing"): 1, (2, "cat"): 1, (2, "s"): 1}
