@@ -1,13 +1,18 @@
 """BPE encoding and decoding of long texts by tree concatenation.
 
-Short texts go through the tokenizer as they are. A longer text is cut after white space, where no token can span, and
-its pieces are encoded in separate tasks. A run without white space that is still too long is cut anywhere; its pieces
-are encoded as word fragments and joined pairwise up a tree. At each join a window around the seam is encoded anew and
-doubled until it agrees with both sides: the tokens beside the window's edges must be what BPE makes of the two of them
-together. A sequence of which every adjacent pair passes this test is the encoding of the whole text, so the ids are
-exactly those of the tokenizer.
-
-Nulls count as empty texts, empty texts give no ids, equal rows stay separate rows, further columns are dropped.
+A text of up to ``piece`` characters is encoded as it is. A longer one is cut anywhere, also within a word, into equal pieces
+that are encoded in separate tasks and then joined in pairs up a tree. At a join the text around the cut is encoded anew
+in a window that grows until both sides agree: its first word is the one that the left side has there, and from some word
+on, behind the cut, it has the words of the right side. Pre-tokenizers read from left to right and start afresh at each
+word, so the joined tokens are those of the joined text; a window that has grown to both whole sides is that text.
+
+A run without white space that is longer than ``piece`` would make such windows as long as itself. If the tokenizer
+drops white space (which is tested, not assumed), such a run is a text of its own, whose words are cut anywhere and joined
+as fragments: the window around the cut is doubled until the tokens beside its edges are what BPE makes of the two of them
+together. A sequence of which every adjacent pair passes this test is the encoding of the word.
+
+So the ids are exactly those of the tokenizer. Nulls count as empty texts, empty texts give no ids, equal rows stay
+separate rows, further columns are dropped and may have any name, an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -17,16 +22,13 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SPACE = re.compile(r"[\x20\x09-\x0D]")
-
-
 @lru_cache(maxsize=2)
 def load(path: str):
     import os
@@ -93,6 +95,74 @@ def fragments(path: str) -> Fragments:
     return Fragments(path)
 
 
+class Piece:
+    """Tokens of a part of a text: ids, places (in the whole text) where they begin and end, and which of them begin a word."""
+
+    def __init__(self, begin: int, end: int, ids, starts, ends, words):
+        self.begin, self.end = begin, end
+        self.ids, self.starts, self.ends, self.words = (np.asarray(x) for x in (ids, starts, ends, words))
+
+    @staticmethod
+    def of(tok, text: str, begin: int) -> "Piece":
+        e = tok.encode(text, add_special_tokens=False)
+        spans = np.array(e.offsets, np.int64).reshape(-1, 2) + begin
+        number = np.array([-1 - k if w is None else w for k, w in enumerate(e.word_ids)], np.int64)
+        return Piece(begin, begin + len(text), np.array(e.ids, np.int32), spans[:, 0], spans[:, 1], np.diff(number, prepend=number[:1] - 1) != 0)
+
+    def word(self, i: int) -> tuple:
+        """Tokens and places of the word that begins with token i."""
+        later = np.flatnonzero(self.words[i + 1 :])
+        j = i + 1 + int(later[0]) if len(later) else len(self.ids)
+        return self.ids[i:j].tolist(), int(self.starts[i]), int(self.ends[j - 1])
+
+
+def join(tok, text: str, a: Piece, b: Piece, width: int = 64) -> Piece:
+    """The encoding of the text of both pieces. ``width`` (characters beside the cut that a window has at first) is to be more
+    than special tokens have."""
+    cut = a.end
+    while True:
+        # from the end of a word of the left side to the end of a word of the right one
+        firsts = np.flatnonzero(a.words & (a.starts <= cut - width))
+        i = int(firsts[-1]) if len(firsts) else 0
+        left = int(a.ends[i - 1]) if i else a.begin
+        lasts = np.flatnonzero(np.append(b.words[1:], True) & (b.ends >= cut + width)) if len(b.ids) else ()
+        right = int(b.ends[lasts[0]]) if len(lasts) else b.end
+        whole_left, whole_right = i == 0, not len(lasts) or lasts[0] == len(b.ids) - 1
+        if whole_right:
+            right = b.end
+        w = Piece.of(tok, text[left:right], left)
+        settled = whole_left or (len(w.ids) > 0 and w.word(0) == a.word(i))
+        if settled and whole_right:
+            parts = [(a, 0, i), (w, 0, len(w.ids))]
+        elif settled:
+            # a word behind the cut that both have, and that the end of the window has not cut off
+            mine = np.flatnonzero(w.words & (w.starts >= cut))[:-1]
+            theirs = {int(b.starts[k]): k for k in np.flatnonzero(b.words & (b.starts < right)).tolist()}
+            same = next(((k, theirs[s]) for k in mine.tolist() if (s := int(w.starts[k])) in theirs and w.word(k) == b.word(theirs[s])), None)
+            parts = [(a, 0, i), (w, 0, same[0]), (b, same[1], len(b.ids))] if same else None
+        else:
+            parts = None
+        if parts:
+            glue = lambda f: np.concatenate([getattr(p, f)[x:y] for p, x, y in parts])  # noqa: B023, E731
+            return Piece(a.begin, b.end, glue("ids"), glue("starts"), glue("ends"), glue("words"))
+        width *= 2
+
+
+def tree(tok, text: str, parts: list[Piece]) -> Piece:
+    while len(parts) > 1:
+        parts = [join(tok, text, *parts[i : i + 2]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
+@lru_cache(maxsize=2)
+def drops_space(path: str) -> bool:
+    """Does white space only part words, so that words can be encoded one by one? Decided by trying every kind of it."""
+    tok = load(path)
+    ids = lambda t: tok.encode(t, add_special_tokens=False).ids
+    one, two = ids("ab"), ids("cd")
+    return all(ids(f"ab{c}cd") == one + two and ids(f"{c}ab{c}{c}") == one and ids(f"ab{c} {c}cd") == one + two for c in " \t\n\v\f\r")
+
+
 class WordCache:
     """Ids and decoded text of words between ASCII white space, where no token can span; each new word is encoded once."""
 
@@ -133,29 +203,26 @@ class WordCache:
         return offsets, ids, [" ".join([y for k in x if (y := text[k])]) for x in at]
 
 
-def cut(text: str, piece: int, tok) -> Iterator[tuple[int, bool, str | None, list[int] | None]]:
-    """(run, last, piece, ids): run 0 is ordinary text, a higher number a fragment of that over-long word; or finished ids."""
-    i, run, n = 0, 0, len(text)
-    while i < n:
-        j = min(n, i + piece)
-        if j < n:
-            back = max(text.rfind(c, i, j) for c in " \t\n\v\f\r")
-            if back >= 0:
-                j = back + 1
-            else:
-                m = SPACE.search(text, j)
-                j = m.end() if m else n
-        if j - i <= piece:
-            yield 0, True, text[i:j], None
-        else:
-            for part in unsplit(text[i:j], piece, tok):
-                run += part[0]
-                yield (run if part[0] >= 0 and part[3] is None else 0), *part[1:]
-        i = j
+def cut(text: str, piece: int, tok, alone: bool) -> Iterator[tuple[int, int, bool, str | None, list[int] | None]]:
+    """(segment, run, last, piece, ids). Run 0: the next piece of a segment of the text. A higher number: a fragment of that
+    over-long word. Or finished ids. ``alone``: white space parts words."""
+    begin, segment, run = 0, 0, 0
+    for m in re.finditer(rf"[^\x20\x09-\x0D]{{{piece + 1},}}", text) if alone else ():
+        yield from ((segment, 0, True, x, None) for x in equal_parts(text[begin : m.start()], piece))
+        for new, last, x, ids in unsplit(m.group(), piece, tok):
+            run += new
+            yield segment + 1, 0 if ids is not None else run, last, x, ids
+        begin, segment = m.end(), segment + 2
+    yield from ((segment, 0, True, x, None) for x in equal_parts(text[begin:], piece))
+
+
+def equal_parts(text: str, piece: int) -> list[str]:
+    n = -(-len(text) // piece)
+    return [text[len(text) * k // n : len(text) * (k + 1) // n] for k in range(n)]
 
 
 def unsplit(text: str, piece: int, tok) -> Iterator[tuple[int, bool, str | None, list[int] | None]]:
-    """As ``cut`` for text without white space to cut at; the first value is 1 where a new over-long word begins."""
+    """(1 where a new over-long word begins, last, piece, ids) of text without white space."""
     special = {t.content: i for i, t in tok.get_added_tokens_decoder().items()}
     pattern = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
     for part in pattern.split(text) if pattern else [text]:
@@ -177,14 +244,15 @@ def unsplit(text: str, piece: int, tok) -> Iterator[tuple[int, bool, str | None,
             yield 0, True, None, done
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", piece: int = 32_768, decode: bool = True) -> DataFrame:
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", piece: int = 16_384, decode: bool = True) -> DataFrame:
     """One row per input row: the id column, ``ids`` array<int>, and ``decoded`` (decode(ids, skip_special_tokens=False)).
 
     ``piece``: characters that one task encodes at once. Texts up to it are encoded where they are read; pieces of longer
     ones are spread over all tasks.
     """
+    key_type = dict(df.dtypes)[id_col]
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    schema = f"id {dict(df.dtypes)[id_col]}, ids array<int>, decoded string"
+    schema = f"id {key_type}, ids array<int>, decoded string"
     long = F.length("text") > piece
 
     def done(tok, keys, ids) -> pa.RecordBatch:
@@ -192,10 +260,14 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         return pa.RecordBatch.from_arrays([keys, pa.array(ids, pa.list_(pa.int32())), pa.array(texts, pa.string())], ["id", "ids", "decoded"])
 
     def whole(batches):
-        cache = WordCache(load(path))
+        tok = load(path)
+        cache = WordCache(tok) if drops_space(path) else None
         for batch in batches:
             for i in range(0, batch.num_rows, 1000):
                 part = batch.slice(i, 1000)
+                if cache is None:
+                    yield done(tok, part.column(0), [e.ids for e in tok.encode_batch_fast(part.column(1).to_pylist(), add_special_tokens=False)])
+                    continue
                 offsets, ids, texts = cache.code(part.column(1).cast(pa.binary()).to_pylist(), decode)
                 coded = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(0), coded, pa.array(texts, pa.string())], ["id", "ids", "decoded"])
@@ -204,48 +276,62 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         tok = load(path)
         for batch in batches:
             for r in range(batch.num_rows):
-                rows = [(k, *x) for k, x in enumerate(cut(batch.column(1)[r].as_py(), piece, tok))]
+                rows = [(k, *x) for k, x in enumerate(cut(batch.column(1)[r].as_py(), piece, tok, drops_space(path)))]
                 for i in range(0, len(rows), 64):
-                    part, run, last, text, ids = map(list, zip(*rows[i : i + 64], strict=True))
+                    part, segment, run, last, text, ids = map(list, zip(*rows[i : i + 64], strict=True))
                     n = len(part)
                     repeat = lambda c: pa.concat_arrays([batch.column(c).slice(r, 1)] * n)  # noqa: B023, E731
-                    yield pa.RecordBatch.from_arrays([repeat(0), repeat(2), repeat(3), pa.array(part, pa.int64()), pa.array(run, pa.int32()), pa.array(last, pa.bool_()), pa.array(text, pa.string()), pa.array(ids, pa.list_(pa.int32()))], ["id", "key", "copies", "part", "run", "last", "text", "ids"])
+                    columns = [pa.array(part, pa.int64()), pa.array(segment, pa.int32()), pa.array(run, pa.int32()), pa.array(last, pa.bool_()), pa.array(text, pa.string()), pa.array(ids, lists)]
+                    yield pa.RecordBatch.from_arrays([repeat(0), repeat(2), repeat(3), *columns, *[pa.nulls(n, lists)] * 3], names)
 
     def pieces(batches):
         tok = load(path)
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
+                rows = batch.slice(i, 64)
                 out = []
-                for x in (rows := batch.slice(i, 64)).to_pylist():
+                for x in rows.select(["run", "last", "text", "ids"]).to_pylist():
                     if x["ids"] is not None:
-                        out.append(x["ids"])
+                        out.append((x["ids"], None, None, None))
                     elif x["run"] == 0:
-                        out.append(tok.encode(x["text"], add_special_tokens=False).ids)
+                        p = Piece.of(tok, x["text"], 0)
+                        out.append((p.ids, p.starts, p.ends, np.flatnonzero(p.words)))
                     else:
-                        out.append(fragments(path).encode(x["text"], x["last"])[0])
-                yield rows.set_column(7, "ids", pa.array(out, pa.list_(pa.int32())))
+                        out.append((fragments(path).encode(x["text"], x["last"])[0], None, None, None))
+                columns = list(rows.columns[:8]) + [pa.array(c, lists) for c in zip(*out, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     def merge(table: pa.Table) -> pa.Table:
-        tok, ids, open_ = load(path), [], []
-        for x in sorted(table.to_pylist(), key=lambda x: x["part"]):
-            if x["run"] == 0:
-                ids += x["ids"]
-                continue
-            f = fragments(path)
-            values = [len(tok.id_to_token(i)) for i in x["ids"]]
-            if x["last"] and values:
-                values[-1] -= f.cut
-            open_.append((x["ids"], values, x["text"], x["last"]))
-            if x["last"]:
+        tok, ids = load(path), []
+        rows = sorted(table.to_pylist(), key=lambda x: x["part"])
+        for _, same in groupby(rows, lambda x: (x["segment"], x["run"], x["ids"] is not None and x["starts"] is None)):
+            same = list(same)
+            if same[0]["run"]:
+                f, open_ = fragments(path), []
+                for x in same:
+                    values = [len(tok.id_to_token(i)) for i in x["ids"]]
+                    if x["last"] and values:
+                        values[-1] -= f.cut
+                    open_.append((x["ids"], values, x["text"], x["last"]))
                 ids += f.tree(open_)
-                open_ = []
+            elif same[0]["starts"] is None:
+                ids += [i for x in same for i in x["ids"]]
+            else:
+                text, parts = "".join(x["text"] for x in same), []
+                for x in same:
+                    at = parts[-1].end if parts else 0
+                    begins = np.zeros(len(x["ids"]), bool)
+                    begins[x["words"]] = True
+                    parts.append(Piece(at, at + len(x["text"]), np.array(x["ids"], np.int32), np.array(x["starts"], np.int64) + at, np.array(x["ends"], np.int64) + at, begins))
+                ids += tree(tok, text, parts).ids.tolist()
         copies = table.column("copies")[0].as_py()
         return pa.Table.from_batches([done(tok, pa.concat_arrays([table.column("id").combine_chunks().slice(0, 1)] * copies), [ids] * copies)])
 
-    key_type = dict(df.dtypes)[id_col]
     # equal rows are counted, so that the pieces of one are never mixed up with those of the other
     longs = docs.where(long).groupBy("id", F.sha2("text", 256).alias("key")).agg(F.first("text").alias("text"), F.count("*").alias("copies")).select("id", "text", "key", "copies")
-    parts = "id {}, key string, copies long, part long, run int, last boolean, text string, ids array<int>".format(key_type)
+    names = ["id", "key", "copies", "part", "segment", "run", "last", "text", "ids", "starts", "ends", "words"]
+    lists = pa.list_(pa.int32())
+    parts = f"id {key_type}, key string, copies long, part long, segment int, run int, last boolean, text string, ids array<int>, starts array<int>, ends array<int>, words array<int>"
     spread = longs.mapInArrow(cutting, parts).repartition("id", "key", "part")
     joined = spread.mapInArrow(pieces, parts).groupBy("id", "key").applyInArrow(merge, schema)
     out = docs.where(~long).mapInArrow(whole, schema).unionByName(joined)

@@ -201,9 +201,74 @@ def test_added_kinds_need_checksum_or_context(spark):
         assert [e.kind for e in r.entities] == cases[r.text], r.text
 
 
-def test_bpe_equals_the_tokenizer(spark):
+TOKENIZERS = ["word_bpe_49k.json", "byte_bpe_50k.json"]
+
+
+@pytest.mark.parametrize("name", TOKENIZERS)
+def test_pieces_cut_anywhere_join_exactly(name):
+    """Every cut of awkward texts, and trees of small pieces."""
+    path = tokenizer_path(name)
+    tok = bpe.load(path)
+    assert bpe.drops_space(path) == name.startswith("word")
+    rnd = random.Random(7)
+    bits = ["the", " ", "  ", "\n", "\t", "don't", "'s", "'", "ß", "é", "e\u0301", "\u0301", "漢字", "😀", "👩\u200d👩", "12", "3.5", "<|endoftext|>", "<|end", "oftext|>", "Σς", "a" * 40, "\x00", "...", "\u2028", "\xa0", "   \n \n", "hello world "]
+    for size in (1, 2, 3, 5, 30, 120, 400):
+        for _ in range(12):
+            text = "".join(rnd.choice(bits) for _ in range(size))
+            want = tok.encode(text, add_special_tokens=False).ids
+            for piece in (3, 17, 100):
+                parts, at = [], 0
+                for x in bpe.equal_parts(text, piece):
+                    parts.append(bpe.Piece.of(tok, x, at))
+                    at += len(x)
+                got = bpe.tree(tok, text, parts)
+                assert got.ids.tolist() == want and (got.begin, got.end) == (0, len(text))
+    text = "".join(rnd.choice(bits) for _ in range(60))
+    whole = bpe.Piece.of(tok, text, 0)
+    for c in range(len(text) + 1):
+        got = bpe.join(tok, text, bpe.Piece.of(tok, text[:c], 0), bpe.Piece.of(tok, text[c:], c))
+        for f in ("ids", "starts", "ends", "words"):
+            assert getattr(got, f).tolist() == getattr(whole, f).tolist()
+
+
+def test_windows_stay_small():
+    """A join encodes a short window of a long text anew, not the text."""
+    tok = bpe.load(tokenizer_path("word_bpe_49k.json"))
+    rnd = random.Random(1)
+    text = " ".join(rnd.choice(awkward.vocabulary(200)) for _ in range(20000))
+    a, b = text[: len(text) // 2], text[len(text) // 2 :]
+    parts = [bpe.Piece.of(tok, a, 0), bpe.Piece.of(tok, b, len(a))]
+    seen = []
+
+    class Watched:
+        def encode(self, t, **k):
+            seen.append(len(t))
+            return tok.encode(t, **k)
+
+    assert bpe.join(Watched(), text, *parts).ids.tolist() == tok.encode(text, add_special_tokens=False).ids
+    assert 0 < sum(seen) < 1000
+
+
+def test_bpe_query_and_its_long_documents(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
     path = tokenizer_path("word_bpe_49k.json")
     tok = bpe.load(path)
+    got = {r.doc_id: r for r in queries()["op9_bpe"](spark, SMALL).collect()}
+    long = 0
+    for i, t in docs:
+        ids = tok.encode(t or "", add_special_tokens=False).ids
+        digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
+        assert tuple(got[i])[1:] == (len(ids), digest(" ".join(map(str, ids))), digest(tok.decode(ids, skip_special_tokens=False)))
+        # more than one piece of one segment: these are joined up the tree
+        rows = list(bpe.cut(t or "", 16_384, tok, True))
+        long += len(rows) > 1 and {(r[0], r[1]) for r in rows} == {(0, 0)}
+    assert len(got) == len(docs) and long > 0
+
+
+@pytest.mark.parametrize("name", TOKENIZERS)
+def test_bpe_equals_the_tokenizer(spark, name):
+    path = tokenizer_path(name)
+    tok = bpe.load(path)
     rnd = random.Random(2)
     pool = "aaaabcdefghinrstéßñ漢字😀12'’#.Éá ſΣς"
     more = ["".join(rnd.choice(pool) for _ in range(n)) for n in (40, 99, 400, 3000, 9000)]
