@@ -1,4 +1,7 @@
-"""Personal data: regular expressions propose spans, checksums confirm them, nearby words adjust the score.
+"""Personal data and secrets: regular expressions propose spans, checks confirm them, nearby words adjust the score.
+
+Checks are the Luhn and modulo-97 sums, the parts of an address, numbers of digits, and for values that are assigned to a
+name such as token or password the entropy of their characters.
 
 DataFrame functions only. Positions come from splitting the text at the matches: the lengths of gaps and matches add up
 to offsets in code points. Patterns are written so that the engine never looks at a run of characters twice: a match may
@@ -12,7 +15,9 @@ from pyspark.sql import functions as F
 
 BASE = ("email", "ip", "card", "phone")
 
-#: kind -> (pattern, characters without which it cannot match)
+_NAME = r"(?:token|key|secret|passw(?:or)?d|passwd|pwd|passphrase|credentials?)"
+
+#: kind -> (pattern, characters without which it cannot match; an expression if it begins with a slash)
 PATTERNS = {
     "email": (r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@"),
     "ip": (r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", "."),
@@ -21,6 +26,11 @@ PATTERNS = {
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])", None),
     "ssn": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-"),
     "local_phone": (r"(?<![0-9+(.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![0-9])", None),
+    "assigned": (rf"""(?i)(?<=["'])(?<={_NAME}["']?[\x20\t]{{0,4}}[=:]{{1,2}}>?[\x20\t]{{0,4}}["'])[^"'\s]{{6,}}+(?=["'])""", rf"/(?i){_NAME}"),
+    "bare_value": (rf"(?i)(?<=[=:\x20\t])(?<={_NAME}[\x20\t]{{0,4}}[=:][\x20\t]{{0,4}})(?![=:\x20\t])[A-Za-z0-9+/_.~-]{{16,}}+", rf"/(?i){_NAME}"),
+    "key_format": (r"(?<![A-Za-z0-9])(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,255}+|xox[abprs]-[A-Za-z0-9-]{10,}+|sk_(?:live|test)_[A-Za-z0-9]{16,}+|AIza[A-Za-z0-9_-]{35})(?![A-Za-z0-9])", r"/AKIA|gh[pousr]_|xox[abprs]-|sk_|AIza"),
+    "private_key": (r"-----BEGIN (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----(?:[A-Za-z0-9+/=\s]*+-----END (?:[A-Z0-9]+ ){0,3}PRIVATE KEY-----)?", "PRIVATE KEY-----"),
+    "signed_token": (r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+", "eyJ"),
 }
 
 #: kind -> (score of a confirmed span, words that raise it, words that lower it)
@@ -33,6 +43,8 @@ SCORES = {
     "ssn": (0.4, r"ssn|social|security|sozial", r"part|serial|order"),
     "local_phone": (0.4, r"phone|call|tel\b|mobile|fax|ruf", r"serial|order|isbn"),
 }
+SECRETS = ("assigned", "bare_value", "key_format", "private_key", "signed_token")
+SCORES |= dict.fromkeys(SECRETS, (0.9, None, r"example|placeholder|changeme"))
 RAISE, NEEDED, NEAR, BLOCK = 0.3, 0.6, 40, 512
 
 
@@ -72,13 +84,24 @@ def _phone(match: Column) -> Column:
     return F.length(F.translate(match, "+ ().-", "")).between(9, 15)
 
 
-CHECKS = {"ip": _ip, "card": _luhn, "phone": _phone, "iban": _mod97}
+def _entropy(match: Column) -> Column:
+    """Bits per character."""
+    size = F.length(match)
+    share = lambda c: (size - F.length(F.replace(match, c, F.lit("")))) / size
+    return F.aggregate(F.array_distinct(F.split(match, "")), F.lit(0.0), lambda a, c: a - F.when(c != "", share(c) * F.log2(share(c))).otherwise(0.0))
+
+
+def _bare(match: Column) -> Column:
+    return match.rlike("[0-9]") & match.rlike("[A-Za-z]") & (_entropy(match) >= 3)
+
+
+CHECKS = {"assigned": lambda match: _entropy(match) >= 2.5, "bare_value": _bare, "ip": _ip, "card": _luhn, "phone": _phone, "iban": _mod97}
 
 
 def _spans(df: DataFrame, kind: str) -> DataFrame:
     """Add column ``__kind``: confirmed spans as structs (s, e, m), e exclusive, m the matched text."""
     pattern, needs = PATTERNS[kind]
-    there = F.contains("__t", F.lit(needs)) if needs else F.col("__t").rlike("[0-9]")
+    there = F.col("__t").rlike(needs[1:]) if needs and needs[0] == "/" else F.contains("__t", F.lit(needs)) if needs else F.col("__t").rlike("[0-9]")
     lit = F.lit(pattern)
     df = df.withColumn("__m", F.when(there, F.regexp_extract_all("__t", lit, F.lit(0))).otherwise(F.array().cast("array<string>")))
     df = df.withColumn("__g", F.when(F.size("__m") > 0, F.split("__t", pattern, -1)))
@@ -115,7 +138,7 @@ def _apart(base: str):
 
 def _entities(kind: str) -> Column:
     spans, score = F.col(f"__{kind}"), _score(kind)
-    if kind not in BASE:
+    if kind not in BASE + SECRETS:
         for base in BASE:
             spans = F.filter(spans, _apart(base))
     out = F.transform(spans, lambda x: F.struct(F.lit(kind).alias("kind"), x["s"].alias("start"), x["e"].alias("end"), score(x).alias("score")))
@@ -127,7 +150,7 @@ def find(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Add ``entities``: array of (kind, start, end, score) by kind, then start; offsets in code points, end exclusive.
 
     Confirmed spans of the kinds in BASE always stay. Spans of other kinds stay if their score, with the words within
-    NEAR characters, reaches NEEDED and they overlap no base span. A null text has none. Equal rows are treated alike.
+    NEAR characters, reaches NEEDED and, but for secrets, they overlap no base span. A null text has none. Equal rows are treated alike.
     """
     df = df.withColumn("__t", F.coalesce(F.col(text_col), F.lit("")))
     for kind in PATTERNS:

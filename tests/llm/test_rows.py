@@ -187,6 +187,70 @@ def test_personal_data(spark):
         assert base == base_spans(r.text), (r.text or "")[:200]
 
 
+def planted(rnd):
+    """{kind: a function that writes one}."""
+    pick = lambda chars, n: "".join(rnd.choice(chars) for _ in range(n))
+    digits, hexes, letters = "0123456789", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz"
+    both = letters + letters.upper() + digits
+
+    def card():
+        body = pick(digits, 15)
+        last = next(d for d in digits if luhn(body + d))
+        return rnd.choice([body + last, "-".join((body + last)[i : i + 4] for i in range(0, 16, 4))])
+
+    def iban():
+        country, body = rnd.choice(["DE", "FR", "GB"]), pick(digits, 18)
+        for check in range(2, 99):
+            plain = f"{country}{check:02d}{body}"
+            if int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1:
+                return plain
+
+    name = lambda: rnd.choice(["token", "api_key", "SECRET", "client_secret", "password", "db_passwd", "access-token"])
+    return {
+        "email": lambda: f"{pick(letters, 6)}.{pick(letters, 4)}@{pick(letters, 7)}.{rnd.choice(['com', 'co.uk', 'de'])}",
+        "ip": lambda: ".".join(str(rnd.randint(0, 255)) for _ in range(4)),
+        "card": card,
+        "phone": lambda: f"+{rnd.randint(1, 99)} {pick('123456789', 3)} {pick(digits, 3)} {pick(digits, 4)}",
+        "iban": lambda: "account " + iban(),
+        "ssn": lambda: f"social security {pick(digits, 3)}-{pick(digits, 2)}-{pick(digits, 4)}",
+        "local_phone": lambda: f"call ({pick('23456789', 3)}) {pick('23456789', 3)}-{pick(digits, 4)}",
+        "assigned": lambda: name() + rnd.choice([" = ", "=", ": ", '": ']) + '"' + rnd.choice([pick(hexes, 40), pick(both, 16), pick(both + "!$%*-_", 20)]) + '"',
+        "bare_value": lambda: name() + rnd.choice(["=", ": ", " = "]) + pick(both, 12) + pick(digits, 8) + pick(letters, 8),
+        "key_format": lambda: rnd.choice(["AKIA" + pick(letters.upper() + digits, 16), "ghp_" + pick(both, 36), "sk_live_" + pick(both, 24), "xoxb-" + pick(digits, 11) + "-" + pick(both, 24)]),
+        "private_key": lambda: "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(pick(both + "+/", 64) for _ in range(3)) + "\n-----END RSA PRIVATE KEY-----",
+        "signed_token": lambda: "eyJ" + pick(both, 20) + ".eyJ" + pick(both + "-_", 40) + "." + pick(both + "-_", 43),
+    }
+
+
+def test_recall_of_every_kind(spark):
+    rnd = random.Random(12)
+    kinds = planted(rnd)
+    assert set(kinds) == set(pii.PATTERNS)
+    words = awkward.vocabulary(300)
+    say = lambda: " ".join(rnd.choice(words) for _ in range(rnd.randint(3, 30)))
+    rows = [(f"{kind}:{i}", f"{say()}{rnd.choice([' ', chr(10)])}{write()}{rnd.choice([' ', '.', ',', chr(10)])} {say()}") for kind, write in kinds.items() for i in range(60)]
+    clean = [(f"clean:{i}", f"{say()} the token is a key: {say()}") for i in range(200)]
+    found = {r.id: {x.kind for x in r.entities} for r in pii.find(spark.createDataFrame(rows + clean, "id string, text string")).collect()}
+    for kind in kinds:
+        caught = sum(kind in found[f"{kind}:{i}"] for i in range(60))
+        assert caught >= 54, (kind, caught)
+    assert sum(bool(found[f"clean:{i}"]) for i in range(200)) <= 2
+    for i, t in rows:
+        base = [x for x in pii.BASE if any(s.startswith(x + ":") for s in base_spans(t))]
+        assert set(base) == found[i] & set(pii.BASE)
+
+
+def test_secrets_of_the_table_are_found(spark):
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    planted_in = {i for i, t in docs if re.search('token = "[0-9a-f]{40}"', t or "")}
+    got = {r.doc_id: r.spans for r in queries()["op5_personal_data"](spark, "/root/testdata/sf0.01").collect()}
+    assert len(planted_in) > 5 and all("assigned:" in got[i] for i in planted_in)
+    for i, t in docs:
+        for x in filter(lambda x: x.startswith("assigned:"), got[i].split(",")):
+            a, b = map(int, x.split(":")[1:])
+            assert t[a - 1] + t[b] in ("''", '""') and not re.search(r"\s", t[a:b])
+
+
 def test_added_kinds_need_checksum_or_context(spark):
     cases = {
         "iban DE89 3704 0044 0532 0130 00 x": ["iban"],
