@@ -74,16 +74,7 @@ def chat_tree(spark, sf):
     added = spark.createDataFrame([(-1, 0, "user", OK), (-1, 1, "assistant", OK)], rows.schema)
     path = tokenizer_path("byte_bpe_50k.json")
     packs = stored(chat.pack(chat.conversations(rows.unionByName(added)), path), "packs")
-    back = chat.read(packs, path)
-    digest = F.sha2(F.concat_ws("", F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))), 256)
-    return back.select(
-        "conv_id",
-        F.size("turns").cast("long").alias("n_turns"),
-        digest.alias("turns_sha256"),
-        F.length("loss").cast("long").alias("loss_chars"),
-        F.sha2("loss", 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
-    )
+    return chat.digests(packs, path)
 
 
 @query("op4_repeated_phrases")

@@ -461,6 +461,46 @@ def test_chat_round_trip(spark):
     assert chat.pack(chat.conversations(df.limit(0)), path).count() == 0
 
 
+def test_very_long_conversation(spark, monkeypatch):
+    """20,000 turns in segments: intervals stay few, positions run on, all comes back."""
+    monkeypatch.setattr(chat, "SEGMENT_TURNS", 256)
+    path = tokenizer_path("byte_bpe_50k.json")
+    n = 20_000
+    data = [(5, t, ["user", "assistant"][t % 2], f"turn {t} says") for t in range(n)] + [(6, t, ["user", "assistant"][t % 2], f"turn {t} says") for t in range(300)]
+    df = spark.createDataFrame(data, "conv_id short, turn int, role string, text string").repartition(4)
+    packs = chat.pack(chat.conversations(df), path).cache()
+    assert packs.select(F.explode("nodes").alias("x")).agg(F.max(F.size("x.ancestors"))).first()[0] <= 2
+    got = {r.conv_id: r for r in chat.digests(packs, path).collect()}
+    for c, m in ((5, n), (6, 300)):
+        turns = [(r, t) for i, _, r, t in data if i == c]
+        assert got[c].n_turns == m and got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+    rows = packs.collect()
+    assert sorted(x for p in rows for x in p.positions)[-1] == max(x for p in rows for x in p.positions) > 100_000
+    # the 300 shared turns stand once: those of the longer conversation plus no more than the other's own last segment
+    assert sum(len(p.nodes) for p in rows) <= n + 300 - 256 + 256
+
+
+def test_long_shared_first_turn_is_emitted_once_per_pack(spark):
+    path = tokenizer_path("byte_bpe_50k.json")
+    first = " ".join(f"word{i}" for i in range(6000))
+    data = [(c, t, "user" if t == 0 else "assistant", first if t == 0 else f"answer {c} " * 20) for c in range(200) for t in range(2)]
+    df = spark.createDataFrame(data, "conv_id string, turn long, role string, text string")
+    packs = chat.pack(chat.conversations(df), path, partitions=1).collect()
+    shared = max(x.end - x.start for p in packs for x in p.nodes)
+    assert shared > 10_000 and len(packs) < 6
+    assert sum(x.end - x.start == shared for p in packs for x in p.nodes) == len(packs)
+    assert sum(len(p.leaves) for p in packs) == 200
+
+
+def test_ids_of_any_type(spark):
+    path = tokenizer_path("byte_bpe_50k.json")
+    for kind, ids in (("short", [1, 2]), ("int", [1, 2]), ("string", ["a", "b"]), ("double", [0.5, 1.5]), ("date", ["2020-01-01", "2021-01-01"])):
+        df = spark.createDataFrame([(str(i), "user", f"of {i}") for i in ids], "c string, role string, text string").selectExpr(f"CAST(c AS {kind}) AS conv_id", "1 AS turn", "role", "text", "1 AS path", "2 AS segment")
+        packs = chat.pack(chat.conversations(df), path)
+        back = chat.read(packs, path)
+        assert dict(back.dtypes)["conv_id"] == dict(df.dtypes)["conv_id"] and back.count() == 2 and chat.digests(packs, path).count() == 2
+
+
 def test_chat_query(spark):
     import duckdb
 
