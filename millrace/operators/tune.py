@@ -10,7 +10,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators import models
+from millrace.operators import models, search
 from millrace.operators.linear import LogisticGrid, fold_aurocs
 from millrace.operators.sampling import hash_bucket
 from millrace.runtime import cut_lineage
@@ -42,13 +42,13 @@ def cross_validate(
     """[(settings, mean AUROC, deviation)] and the fitted search, for the last stage's settings."""
     last = stages.getStages()[-1]
     maps = grid(last, values or {})
-    search = CrossValidator(
+    validator = CrossValidator(
         estimator=stages, estimatorParamMaps=maps, evaluator=rank_evaluator(label), numFolds=folds, foldCol="fold", parallelism=parallelism,
         collectSubModels=False,
     )
     data = with_folds(df, key, folds, seed).persist()
     try:
-        fitted = search.fit(data)
+        fitted = validator.fit(data)
     finally:
         data.unpersist()
     names = [", ".join(f"{p.name}={v}" for p, v in m.items()) or "defaults" for m in maps]
@@ -72,8 +72,8 @@ def logistic_grid(
 ) -> list[tuple[float, float, list[float]]]:
     """[(regularisation, elastic-net mixture, exact AUROC of every held-out fold)]; all models are fitted and judged together."""
     data = cut_lineage(with_folds(df, key, folds, seed).select(label, "fold", *columns))
-    search = LogisticGrid(columns, label, settings, folds).fit(data)
-    found = fold_aurocs(search.scores(data, [label, "fold"]), label, len(settings))
+    fits = LogisticGrid(columns, label, settings, folds).fit(data)
+    found = fold_aurocs(fits.scores(data, [label, "fold"]), label, len(settings))
     return [(r, a, [f[i] for i in sorted(f)]) for (r, a), f in zip(settings, found, strict=True)]
 
 
@@ -116,6 +116,23 @@ def halving_search(
     return out
 
 
+def learning_search(
+    df: DataFrame, key: str, family: str, columns: Sequence[str], space: search.Space, n: int = 30, label: str = "label", seed: int = 31, parallel: int = 4, **fixed
+) -> list[tuple[int, dict, float, float]]:
+    """[(trial, settings, share of the training rows, AUROC on a validation part)] of a Parzen search in brackets."""
+    data = df.withColumn("__b", hash_bucket(key, seed, 1000)).persist()
+    check = data.where("__b >= 800")
+
+    def score(params: dict, share: float) -> float:
+        model = models.classifier_stages(family, columns, label, seed=seed, **fixed, **params).fit(data.where(F.col("__b") < int(800 * share)))
+        return rank_evaluator(label).evaluate(model.transform(check))
+
+    try:
+        return search.parzen_search(score, space, n, budgets=(0.2, 1.0), seed=seed, parallel=parallel)
+    finally:
+        data.unpersist()
+
+
 def validation_curve(
     df: DataFrame, key: str, family: str, columns: Sequence[str], param: str, values: Sequence, label: str = "label", seed: int = 31, top: int = 5, **fixed
 ) -> list[tuple[str, float, float]]:

@@ -131,17 +131,8 @@ _GRAMS = f"""tok AS (SELECT doc_id, {WORDS_SQL} AS t FROM documents),
 _MATCH = "SELECT doc_id, gram.phrase AS phrase, CAST(start AS INT) AS start, CAST(start + n AS INT) AS end FROM gram JOIN ph ON gram.phrase = ph.phrase"
 
 
-def _sized(n):
-    return F.transform(T.ngrams(F.col("t"), n), lambda g: F.struct(F.lit(n).alias("n"), g["gram"].alias("phrase")))
-
-
 def frequent_phrases(spark, sf, per_length=10):
-    tokens = docs(spark, sf).select(T.word_tokens(F.col("text")).alias("t"))
-    grams = F.flatten(F.array(*[_sized(n) for n in (1, 2, 3)]))
-    counts = (
-        tokens.select(F.inline(grams)).where("n > 1 OR length(phrase) >= 5").groupBy("n", "phrase").agg(F.count("*").alias("c"))
-    )
-    return ordering.first_per_group(counts.withColumn("neg", -F.col("c")), "n", ["neg", "phrase"], per_length).select("phrase")
+    return phrases.most_frequent(docs(spark, sf), T.word_tokens(F.col("text")), [1, 2, 3], per_length, shortest=5).select("phrase")
 
 
 @query("N6_phrase_match", f"WITH {_GRAMS} {_MATCH}")

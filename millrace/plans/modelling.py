@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as T
 from millrace.operators import bayes, boosting, models, sampling, vocabulary
+from millrace.operators.kernel import KernelMachine
+from millrace.operators.linear import LogisticGrid
 from millrace.operators.second_order import SecondOrderBoosting
 from millrace.plans.frames import RISK_FEATURES, RISK_SQL, bucket_sql, risk
 from millrace.plans.language import WORDS_SQL, docs
@@ -137,6 +139,17 @@ def _(spark, sf):
     return models.score_batch(models.fit_svm_probability(["x"], train, regParam=0.001), test, ["vec_id"])
 
 
+@query("M8_kernel_machine")
+def _(spark, sf):
+    df = _two_class(spark, sf)
+    train, test = sampling.split_by_key(df, "vec_id", 0.7, seed=1)
+    machine = KernelMachine("embedding", gamma=1.0, landmarks=128, reg=0.001, seed=3).fit(train)
+    # a logistic fit on the margin gives the probability
+    platt = LogisticGrid(["margin"], "label", [(0.0, 0.0)]).fit(machine.transform(train).withColumn("fold", F.lit(0)))
+    scored = machine.transform(test).withColumn("pd", 1 / (1 + F.exp(-(F.col("margin") * float(platt.fits[0].coefficients[0]) + platt.fits[0].intercept))))
+    return scored.select("vec_id", (F.col("pd") > 0.5).cast("int").alias("prediction"), F.round("pd", 6).alias("pd"))
+
+
 @query("M8_kernel_svm_poly")
 def _(spark, sf):
     train, test = _parts(spark, sf)

@@ -7,7 +7,7 @@ import statistics
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from millrace.operators import attributions, evaluate, models, pruning, sampling, tune
+from millrace.operators import attributions, evaluate, models, pruning, sampling, search, tune
 from millrace.plans.frames import RISK_FEATURES, risk
 from millrace.plans.registry import query
 
@@ -50,6 +50,14 @@ def _(spark, sf):
     return spark.createDataFrame(rows, "round int, settings string, auroc double")
 
 
+@query("E8_parzen_search")
+def _(spark, sf):
+    space = {"max_depth": search.Between(2, 10, whole=True), "minInfoGain": search.Between(1e-5, 0.05, log=True), "minInstancesPerNode": search.Between(1, 50, log=True, whole=True), "impurity": ["gini", "entropy"]}
+    rows = tune.learning_search(_train(spark, sf), "o_orderkey", "tree", RISK_FEATURES, space, n=30)
+    named = [(t, ", ".join(f"{k}={v}" for k, v in p.items()), b, s) for t, p, b, s in rows]
+    return spark.createDataFrame(named, "trial int, settings string, share double, auroc double")
+
+
 @query("E9_validation_curve")
 def _(spark, sf):
     rows = tune.validation_curve(_train(spark, sf), "o_orderkey", "boosted", RISK_FEATURES, "max_depth", [1, 2, 3, 4], n_estimators=20)

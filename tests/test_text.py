@@ -143,3 +143,32 @@ def test_lemmas_by_rule(spark):
     got = {(r.id, r.lemma): r.n for r in vocabulary.lemma_counts(df, "id", T.word_tokens(F.col("text")), rules, exceptions).collect()}
     # cats is as frequent as cat, flies has no fly, sing and thing have no shorter word, s is too short
     assert got == {(0, "cat"): 3, (0, "run"): 3, (1, "study"): 2, (1, "flies"): 1, (1, "bus"): 2, (2, "be"): 1, (2, "sing"): 1, (2, "thing"): 1, (2, "cat"): 1, (2, "s"): 1}
+
+
+def test_most_frequent_runs(spark, monkeypatch):
+    rnd = random.Random(9)
+    texts = [" ".join(rnd.choice(["ab", "cd", "longer", "words", "x"]) for _ in range(rnd.randint(0, 25))) for _ in range(60)] + [None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    counts = {}
+    for t in texts:
+        ws = (t or "").split()
+        for n in (1, 2, 3):
+            for i in range(len(ws) - n + 1):
+                if n > 1 or len(ws[i]) >= 5:
+                    counts[n, " ".join(ws[i : i + n])] = counts.get((n, " ".join(ws[i : i + n])), 0) + 1
+    for k in (1, 4, 500):
+        want = [(n, p, c) for n in (1, 2, 3) for c, p in sorted((-c, p) for (m, p), c in counts.items() if m == n)[:k]]
+        want = sorted((n, p, -c) for n, p, c in want)
+        for few in (1000, 2):
+            monkeypatch.setattr(phrases, "_FEW", few)
+            assert sorted(map(tuple, phrases.most_frequent(df, T.word_tokens(F.col("text")), [1, 2, 3], k, 5).select("n", "phrase", "c").collect())) == want
+
+
+def test_phrases_with_and_without_a_join(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "the cat sat, the CAT sat on the cat"), (2, "a cat"), (3, None), (4, "")], "id long, text string")
+    sought = spark.createDataFrame([("the cat", "A"), ("cat", "B"), ("cat sat on", "A"), ("absent", "C")], "phrase string, label string")
+    want = sorted([(1, "the cat", 0, 2), (1, "the cat", 3, 5), (1, "the cat", 7, 9), (1, "cat", 1, 2), (1, "cat", 4, 5), (1, "cat", 8, 9), (1, "cat sat on", 4, 7), (2, "cat", 1, 2)])
+    for few in (1000, 2):
+        monkeypatch.setattr(phrases, "_FEW", few)
+        assert sorted(map(tuple, phrases.phrase_match(df, "id", "text", sought, [1, 2, 3]).collect())) == want
+        assert {(r.phrase, r.label) for r in phrases.phrase_match(df, "id", "text", sought, [1, 2, 3], "label").collect()} == {("the cat", "A"), ("cat", "B"), ("cat sat on", "A")}
