@@ -9,7 +9,7 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from millrace.operators import components, encode, impute, joins, robust, sampling, scaling
+from millrace.operators import components, decompose, encode, impute, joins, robust, sampling, scaling
 from millrace.plans.frames import GAPS_SQL, gaps, risk, bucket_sql
 from millrace.plans.registry import query, table
 
@@ -171,6 +171,24 @@ def _(spark, sf):
     return spark.createDataFrame(rows, "component int, column_name string, loading double, explained double")
 
 
+@query("FE12_wide_components")
+def _(spark, sf):
+    found = decompose.wide(table(spark, sf, "embeddings"), "embedding", 4)
+    rows = [(j + 1, float(v), float(s)) for j, (v, s) in enumerate(zip(found.variances, found.shares, strict=True))]
+    return spark.createDataFrame(rows, "component int, variance double, share double")
+
+
+@query("FE12_tall_components")
+def _(spark, sf):
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    df = table(spark, sf, "lineitem").select(*cols)
+    spread = df.agg(*[F.stddev_samp(c).alias(c) for c in cols]).first()
+    scaled = df.select(F.array(*[F.col(c) / (spread[c] or 1.0) for c in cols]).alias("x"))
+    found = decompose.tall(scaled, "x", 3)
+    rows = [(j + 1, c, float(found.loadings[i, j]), float(found.shares[j])) for j in range(3) for i, c in enumerate(cols)]
+    return spark.createDataFrame(rows, "component int, column_name string, loading double, explained double")
+
+
 @query(
     "FE13_yeo_johnson",
     """SELECT c_custkey, round(CASE WHEN x >= 0 THEN (pow(x + 1, CAST(0.5 AS DOUBLE)) - 1) / 0.5
