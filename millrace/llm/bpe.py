@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.chunks import packed, unpacked
+
 @lru_cache(maxsize=2)
 def load(path: str):
     import os
@@ -109,6 +111,22 @@ class Piece:
         number = np.array([-1 - k if w is None else w for k, w in enumerate(e.word_ids)], np.int64)
         return Piece(begin, begin + len(text), np.array(e.ids, np.int32), spans[:, 0], spans[:, 1], np.diff(number, prepend=number[:1] - 1) != 0)
 
+    def packed(self) -> bytes:
+        """All but the text and its place, in few bytes."""
+        parts = [packed(x) for x in (self.ids, np.diff(self.starts, prepend=self.begin), self.ends - self.starts, self.words)]
+        return b"".join(len(x).to_bytes(4, "little") + x for x in parts)
+
+    @staticmethod
+    def unpacked(data: bytes, begin: int, end: int) -> "Piece":
+        arrays = []
+        while data:
+            n = int.from_bytes(data[:4], "little")
+            arrays.append(unpacked(data[4 : 4 + n]))
+            data = data[4 + n :]
+        ids, gaps, sizes, words = arrays
+        starts = begin + np.cumsum(gaps)
+        return Piece(begin, end, ids.astype(np.int32), starts, starts + sizes, words.astype(bool))
+
     def word(self, i: int) -> tuple:
         """Tokens and places of the word that begins with token i."""
         later = np.flatnonzero(self.words[i + 1 :])
@@ -244,7 +262,7 @@ def unsplit(text: str, piece: int, tok) -> Iterator[tuple[int, bool, str | None,
             yield 0, True, None, done
 
 
-def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", piece: int = 16_384, decode: bool = True) -> DataFrame:
+def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", piece: int = 32_768, decode: bool = True) -> DataFrame:
     """One row per input row: the id column, ``ids`` array<int>, and ``decoded`` (decode(ids, skip_special_tokens=False)).
 
     ``piece``: characters that one task encodes at once. Texts up to it are encoded where they are read; pieces of longer
@@ -281,8 +299,9 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                     part, segment, run, last, text, ids = map(list, zip(*rows[i : i + 64], strict=True))
                     n = len(part)
                     repeat = lambda c: pa.concat_arrays([batch.column(c).slice(r, 1)] * n)  # noqa: B023, E731
-                    columns = [pa.array(part, pa.int64()), pa.array(segment, pa.int32()), pa.array(run, pa.int32()), pa.array(last, pa.bool_()), pa.array(text, pa.string()), pa.array(ids, lists)]
-                    yield pa.RecordBatch.from_arrays([repeat(0), repeat(2), repeat(3), *columns, *[pa.nulls(n, lists)] * 3], names)
+                    done_ids = [None if x is None else packed(np.array(x, np.int32)) for x in ids]
+                    columns = [pa.array(part, pa.int64()), pa.array(segment, pa.int32()), pa.array(run, pa.int32()), pa.array(last, pa.bool_()), pa.array(text, pa.string()), pa.array(done_ids, pa.binary())]
+                    yield pa.RecordBatch.from_arrays([repeat(0), repeat(2), repeat(3), *columns], names)
 
     def pieces(batches):
         tok = load(path)
@@ -290,48 +309,46 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             for i in range(0, batch.num_rows, 64):
                 rows = batch.slice(i, 64)
                 out = []
-                for x in rows.select(["run", "last", "text", "ids"]).to_pylist():
-                    if x["ids"] is not None:
-                        out.append((x["ids"], None, None, None))
+                for x in rows.select(["run", "last", "text", "data"]).to_pylist():
+                    if x["data"] is not None:
+                        out.append(x["data"])
                     elif x["run"] == 0:
-                        p = Piece.of(tok, x["text"], 0)
-                        out.append((p.ids, p.starts, p.ends, np.flatnonzero(p.words)))
+                        out.append(Piece.of(tok, x["text"], 0).packed())
                     else:
-                        out.append((fragments(path).encode(x["text"], x["last"])[0], None, None, None))
-                columns = list(rows.columns[:8]) + [pa.array(c, lists) for c in zip(*out, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                        out.append(packed(np.array(fragments(path).encode(x["text"], x["last"])[0], np.int32)))
+                yield pa.RecordBatch.from_arrays([*rows.columns[:8], pa.array(out, pa.binary())], names)
 
     def merge(table: pa.Table) -> pa.Table:
         tok, ids = load(path), []
-        rows = sorted(table.to_pylist(), key=lambda x: x["part"])
-        for _, same in groupby(rows, lambda x: (x["segment"], x["run"], x["ids"] is not None and x["starts"] is None)):
+        rows = sorted(table.select(["part", "segment", "run", "last", "text", "data"]).to_pylist(), key=lambda x: x["part"])
+        for _, same in groupby(rows, lambda x: (x["segment"], x["run"], x["text"] is None)):
             same = list(same)
-            if same[0]["run"]:
+            if same[0]["text"] is None:
+                ids += [unpacked(x["data"]).astype(np.int32) for x in same]
+            elif same[0]["run"]:
                 f, open_ = fragments(path), []
                 for x in same:
-                    values = [len(tok.id_to_token(i)) for i in x["ids"]]
+                    own = unpacked(x["data"]).tolist()
+                    values = [len(tok.id_to_token(i)) for i in own]
                     if x["last"] and values:
                         values[-1] -= f.cut
-                    open_.append((x["ids"], values, x["text"], x["last"]))
-                ids += f.tree(open_)
-            elif same[0]["starts"] is None:
-                ids += [i for x in same for i in x["ids"]]
+                    open_.append((own, values, x["text"], x["last"]))
+                ids.append(np.array(f.tree(open_), np.int32))
             else:
                 text, parts = "".join(x["text"] for x in same), []
                 for x in same:
                     at = parts[-1].end if parts else 0
-                    begins = np.zeros(len(x["ids"]), bool)
-                    begins[x["words"]] = True
-                    parts.append(Piece(at, at + len(x["text"]), np.array(x["ids"], np.int32), np.array(x["starts"], np.int64) + at, np.array(x["ends"], np.int64) + at, begins))
-                ids += tree(tok, text, parts).ids.tolist()
+                    p = Piece.unpacked(x["data"], 0, len(x["text"]))
+                    parts.append(Piece(at, at + len(x["text"]), p.ids, p.starts + at, p.ends + at, p.words))
+                ids.append(tree(tok, text, parts).ids)
+        whole_ids = np.concatenate(ids).tolist() if ids else []
         copies = table.column("copies")[0].as_py()
-        return pa.Table.from_batches([done(tok, pa.concat_arrays([table.column("id").combine_chunks().slice(0, 1)] * copies), [ids] * copies)])
+        return pa.Table.from_batches([done(tok, pa.concat_arrays([table.column("id").combine_chunks().slice(0, 1)] * copies), [whole_ids] * copies)])
 
     # equal rows are counted, so that the pieces of one are never mixed up with those of the other
     longs = docs.where(long).groupBy("id", F.sha2("text", 256).alias("key")).agg(F.first("text").alias("text"), F.count("*").alias("copies")).select("id", "text", "key", "copies")
-    names = ["id", "key", "copies", "part", "segment", "run", "last", "text", "ids", "starts", "ends", "words"]
-    lists = pa.list_(pa.int32())
-    parts = f"id {key_type}, key string, copies long, part long, segment int, run int, last boolean, text string, ids array<int>, starts array<int>, ends array<int>, words array<int>"
+    names = ["id", "key", "copies", "part", "segment", "run", "last", "text", "data"]
+    parts = f"id {key_type}, key string, copies long, part long, segment int, run int, last boolean, text string, data binary"
     spread = longs.mapInArrow(cutting, parts).repartition("id", "key", "part")
     joined = spread.mapInArrow(pieces, parts).groupBy("id", "key").applyInArrow(merge, schema)
     out = docs.where(~long).mapInArrow(whole, schema).unionByName(joined)

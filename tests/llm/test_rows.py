@@ -314,17 +314,18 @@ def test_windows_stay_small():
 
 
 def test_bpe_query_and_its_long_documents(spark):
-    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
     path = tokenizer_path("word_bpe_49k.json")
     tok = bpe.load(path)
-    got = {r.doc_id: r for r in queries()["op9_bpe"](spark, SMALL).collect()}
+    got = {r.doc_id: r for r in queries()["op9_bpe"](spark, folder).collect()}
     long = 0
     for i, t in docs:
         ids = tok.encode(t or "", add_special_tokens=False).ids
         digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
         assert tuple(got[i])[1:] == (len(ids), digest(" ".join(map(str, ids))), digest(tok.decode(ids, skip_special_tokens=False)))
         # more than one piece of one segment: these are joined up the tree
-        rows = list(bpe.cut(t or "", 16_384, tok, True))
+        rows = list(bpe.cut(t or "", 32_768, tok, True))
         long += len(rows) > 1 and {(r[0], r[1]) for r in rows} == {(0, 0)}
     assert len(got) == len(docs) and long > 0
 
