@@ -32,9 +32,15 @@ def hash_order(keys: Sequence[str], seed: int) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
 
 
+def digest_order(keys: Sequence[str], seed: int) -> Column:
+    """As ``hash_order``, by digits of an MD5 digest that SQL engines can compute as well."""
+    digest = F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
+
+
 def shuffled(df: DataFrame, keys: Sequence[str], seed: int) -> DataFrame:
     """All rows with a distinct ``position`` 1..n in a reproducible random order."""
-    keyed = df.withColumn("__h", hash_order(keys, seed))
+    keyed = df.withColumn("__h", digest_order(keys, seed))
     return numbered(keyed, "__h", list(keys), name="position").drop("__h")
 
 

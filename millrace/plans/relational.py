@@ -453,7 +453,10 @@ def _(spark, sf):
     )
 
 
-@query("T5_shuffle")
+@query(
+    "T5_shuffle",
+    "SELECT event_id, event_type, value, row_number() OVER (ORDER BY CAST('0x' || substr(md5(CAST(event_id AS VARCHAR) || ':7'), 1, 15) AS BIGINT), event_id) AS position FROM events",
+)
 def _(spark, sf):
     return ordering.shuffled(table(spark, sf, "events").select("event_id", "event_type", "value"), ["event_id"], seed=7)
 

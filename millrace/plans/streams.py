@@ -32,3 +32,15 @@ def _(spark, sf):
     out, marks = work_path(spark, "scored"), work_path(spark, "scored_checkpoint")
     scoring.score_stream(prepared(stream), model, ["event_id"], out, marks)
     return spark.read.parquet(out).withColumn("pd", F.round("pd", 6))
+
+
+@query("M17_stream_is_batch", "SELECT event_id, TRUE AS same FROM events")
+def _(spark, sf):
+    """Of every event whether the stream's score is that of the same model in one batch, and whether it came once."""
+    model = event_model(spark, sf)
+    stream = scoring.read_file_stream(spark, f"{sf}/events.parquet", table(spark, sf, "events").schema)
+    out, marks = work_path(spark, "scored"), work_path(spark, "scored_checkpoint")
+    scoring.score_stream(prepared(stream), model, ["event_id"], out, marks)
+    batch = models.score_batch(model, prepared(table(spark, sf, "events")), ["event_id"]).select("event_id", F.col("pd").alias("b"))
+    both = spark.read.parquet(out).select("event_id", F.col("pd").alias("s")).join(batch, "event_id", "full")
+    return both.select("event_id", (F.col("s") == F.col("b")).alias("same"))
