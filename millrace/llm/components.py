@@ -8,14 +8,26 @@ from pyspark.sql import functions as F
 from millrace.runtime import cut_lineage
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """Every node's larger (or, with itself, smaller) neighbours are tied to its least neighbour."""
+HUB = 10_000  # neighbours of a node that are not to meet in one task, a thousandth of all edges if that is more
+
+
+def _star(edges: DataFrame, large: bool, total: int) -> DataFrame:
+    """Every node's larger (or, with itself, smaller) neighbours are tied to its least neighbour.
+
+    The least neighbours of hubs, of which there are two thousand at most, are broadcast; the others are joined by node.
+    """
     both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     if not large:
         both = both.where("b < a")
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    least = both.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("n")).select("a", F.least("a", "m").alias("m"), "n")
     near = both.where("b > a") if large else both.unionByName(least.select("a", F.col("a").alias("b")))
-    return near.join(least, "a").where("b <> m").select(F.col("m").alias("a"), "b").distinct()
+    many = max(HUB, total // 1000)
+    hubs = least.where(F.col("n") > many).select("a", "m").collect() if total > many else []
+    tied = near.join(least.select("a", "m"), "a")
+    if hubs:
+        known = F.broadcast(edges.sparkSession.createDataFrame(hubs, least.select("a", "m").schema))
+        tied = near.join(known.select("a"), "a", "left_anti").join(least.select("a", "m"), "a").unionByName(near.join(known, "a"))
+    return tied.where("b <> m").select(F.col("m").alias("a"), "b").distinct()
 
 
 ROWS = 200_000  # edges in a partition of what is kept between rounds
@@ -39,5 +51,5 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
-        edges = _kept(_star(_kept(_star(edges, True), now[0]), False), now[0])
+        edges = _kept(_star(_kept(_star(edges, True, now[0]), now[0]), False, now[0]), now[0])
     return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())

@@ -149,9 +149,11 @@ def test_group_keys_lose_no_link(percent):
                     assert len(np.intersect1d(levels.keys(a, common), levels.keys(b, common)))
 
 
-def test_components(spark):
+@pytest.mark.parametrize("hub", [10_000, 4])
+def test_components(spark, hub, monkeypatch):
+    monkeypatch.setattr("millrace.llm.components.HUB", hub)
     rnd = random.Random(1)
-    edges = [(i, i + 1) for i in range(0, 60)] + [(rnd.randint(100, 300), rnd.randint(100, 300)) for _ in range(120)] + [(500, 500), (-5, 7)]
+    edges = [(i, i + 1) for i in range(0, 60)] + [(1000, i) for i in range(1001, 1030)] + [(i, 2000) for i in range(1020, 1060)] + [(rnd.randint(100, 300), rnd.randint(100, 300)) for _ in range(120)] + [(500, 500), (-5, 7)]
     up = {}
 
     def find(x):
