@@ -204,14 +204,17 @@ def _(spark, sf):
         b AS (SELECT s.doc_id, s.pos, any_value(s.polarity) AS p, any_value(s.subjectivity) AS s, product(coalesce(x.intensity, 1)) AS boost, count_if(x.negates) AS neg
               FROM s LEFT JOIN m x ON x.doc_id = s.doc_id AND x.polarity IS NULL AND x.pos > s.prev AND x.pos >= s.pos - {_REACH} AND x.pos < s.pos GROUP BY 1, 2),
         d AS (SELECT doc_id, avg(greatest(-1, least(1, p * boost * CASE WHEN neg % 2 = 1 THEN -0.5 ELSE 1 END))) AS p, avg(greatest(0, least(1, s * boost))) AS s FROM b GROUP BY 1)
-        SELECT doc_id, round(coalesce(p, 0), 9) AS polarity, round(coalesce(s, 0), 9) AS subjectivity,
-          CASE WHEN coalesce(round(p, 9), 0) > 0.5 THEN 'positive' WHEN coalesce(round(p, 9), 0) < -0.5 THEN 'negative' ELSE 'neutral' END AS sentiment
+        SELECT doc_id, round(coalesce(p, 0) + 1e-12, 9) AS polarity, round(coalesce(s, 0) + 1e-12, 9) AS subjectivity,
+          CASE WHEN coalesce(round(p + 1e-12, 9), 0) > 0.5 THEN 'positive' WHEN coalesce(round(p + 1e-12, 9), 0) < -0.5 THEN 'negative' ELSE 'neutral' END AS sentiment
         FROM documents LEFT JOIN d USING (doc_id)""",
 )
 def _(spark, sf):
     lexicon = spark.createDataFrame(_SCOPED, "word string, polarity double, subjectivity double, intensity double, negates boolean")
     scored = phrases.scoped_sentiment(docs(spark, sf), "doc_id", T.word_tokens(F.col("text")), lexicon, reach=_REACH)
-    return scored.withColumns({"polarity": F.round("polarity", 9), "subjectivity": F.round("subjectivity", 9)})
+    # means of few decimals often end in a half; a little more settles them alike however the sums were rounded
+    rounded = scored.withColumns({c: F.round(F.col(c) + 1e-12, 9) for c in ("polarity", "subjectivity")})
+    side = F.when(F.col("polarity") > 0.5, "positive").when(F.col("polarity") < -0.5, "negative").otherwise("neutral")
+    return rounded.withColumn("sentiment", side)
 
 
 _BIGRAM = f"""tok AS (SELECT doc_id, {SIMPLE_SQL} AS t FROM documents), w AS (SELECT unnest(t) AS w FROM tok),
