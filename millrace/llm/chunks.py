@@ -46,6 +46,28 @@ def unpacked(data: bytes) -> np.ndarray:
     return (x >> U(1)).view(np.int64) ^ -(x & U(1)).view(np.int64)
 
 
+def distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct hashes, and the place of each hash among them.
+
+    Hashes are sorted with their own number in the low bits, which is several times faster than an indirect sort. Two
+    hashes that differ in these bits only could then stand mixed; they are very rare and take the plain way.
+    """
+    n = len(h)
+    low = U((1 << max(n - 1, 1).bit_length()) - 1)
+    order = h & ~low
+    order |= np.arange(n, dtype=U)
+    order.sort()
+    order = (order & low).view(np.int64)
+    ranked = h[order]
+    new = np.ones(n, bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    if np.any(new[1:] & ((ranked[1:] ^ ranked[:-1]) <= low)):
+        return np.unique(h, return_inverse=True)
+    at = np.empty(n, np.int64)
+    at[order] = np.cumsum(new) - 1
+    return ranked[new], at
+
+
 def packed_keys(keys: np.ndarray) -> bytes:
     """Sorted distinct hashes as their differences."""
     return packed(np.diff(keys, prepend=U(0)).view(np.int64))
@@ -113,7 +135,7 @@ def stored(df: DataFrame, id_col: str, text_col: str, held_out: Column, tokens,
     def rows(held: list[pa.RecordBatch], chunk: int) -> pa.RecordBatch:
         table = pa.Table.from_batches(held)
         h, doc = tokens(table.column(1))
-        words, at = np.unique(h, return_inverse=True)
+        words, at = distinct(h)
         sizes = np.bincount(doc, minlength=table.num_rows)
         piece = np.cumsum(sizes) // PIECE
         begin = np.flatnonzero(np.diff(piece, prepend=-1))

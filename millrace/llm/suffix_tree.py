@@ -73,8 +73,8 @@ class Walk:
     def ask_words(self) -> pa.Table:
         return self.requests(0, self.words, np.bincount(self.at[self.train], minlength=len(self.words)))
 
-    def ask(self, level: int) -> pa.Table:
-        """Requests of round ``level``: 1 to depth + 1, and depth + 2 for the states."""
+    def ask(self, level: int, send: bool = True) -> pa.Table | None:
+        """Requests of round ``level``: 1 to depth + 1, and depth + 2 for the states; nothing if only to know all levels."""
         keys, index, n, out = self.words, self.at, self.count, []  # of the pairs that end at each token, one level below
         inside = self.doc[1:] == self.doc[:-1]
         for k in range(1, min(level, self.depth) + 1):
@@ -85,7 +85,7 @@ class Walk:
             used = np.zeros(len(keys), bool)
             used[before] = True
             contexts, of = keys[used], (np.cumsum(used) - 1)[before]
-            pairs, pair = np.unique(mix(keys[before] * STEPS[0] + self.h[at] * STEPS[1]), return_inverse=True)
+            pairs, pair = chunks.distinct(mix(keys[before] * STEPS[0] + self.h[at] * STEPS[1]))
             keys, index = pairs, np.full(len(n), -1)
             index[at] = pair
             if k == level:
@@ -110,6 +110,8 @@ class Walk:
             p = (n[at] + kinds * self.p[at]) / (seen[at] + kinds)
             self.p[at] = p
             self.levels.append((at, contexts, of, (sums & 1).astype(bool), p))
+        if not send:
+            return None
         if level > self.depth + 1:
             held = np.zeros(len(self.h), bool)  # a state's suffix is a state
             for k, (at, contexts, of, passes, _) in reversed(list(enumerate(self.levels, 1))):
@@ -120,7 +122,7 @@ class Walk:
 
     def score(self) -> np.ndarray:
         """log10 P(token | longest suffix of its history that is a state)."""
-        self.ask(self.depth + 2)
+        self.ask(self.depth + 2, send=False)
         p = self.root
         for k, (at, _, of, passes, deeper) in enumerate(self.levels, 1):
             if k < self.depth:
@@ -140,7 +142,7 @@ def _reduce(buckets: int, depth: int, cost: float):
         slot = table.column("bucket")[0].as_py() // buckets
         sums = depth < slot <= 2 * depth
         keys, vals, sizes = chunks.opened(table, 2 if sums else 1)
-        found, at = np.unique(keys, return_inverse=True)
+        found, at = chunks.distinct(keys)
         total = np.zeros(len(found), np.int64)
         np.add.at(total, at, vals[0])
         if sums:
