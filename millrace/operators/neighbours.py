@@ -1,10 +1,10 @@
-"""Exact nearest neighbours without comparing every pair.
+"""Exact nearest neighbours, block against block.
 
-Points are assigned to the nearest of a few pivots. For a query, the distance to a pivot and the
-cell's radius bound the distance to every point of the cell (triangle inequality), so only cells
-that can hold one of the k nearest are visited. Large cells are cut into blocks and queries into
-chunks, so that one task holds a bounded piece whatever the shape of the data. Each task keeps k
-candidates per query; a last top-k merges them.
+Points and queries are assigned to the nearest of a few pivots, and the rows of a cell are packed into matrices of bounded
+size. The distance of two pivots and the radii of their cells bound the distance of everything in them (triangle
+inequality), so only cells that can hold one of the k nearest meet. A task holds one matrix of queries and one of points:
+products of the two find the candidates, whose distances are then taken exactly. It keeps k candidates per query; a last
+top-k merges them.
 """
 
 from __future__ import annotations
@@ -14,11 +14,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _SLACK = 1e-9
-_QUERY_BLOCKS = 16  # queries pass one by one, so a chunk of them may be larger than a block of points
+_TILE = 1 << 21  # distances that are held at once
+_CELL = 4  # blocks of points that a cell or a matrix holds
 
 
 def _distances(block: np.ndarray, q: np.ndarray, p: int) -> np.ndarray:
@@ -26,10 +28,71 @@ def _distances(block: np.ndarray, q: np.ndarray, p: int) -> np.ndarray:
     return np.abs(diff).sum(axis=1) if p == 1 else np.sqrt((diff * diff).sum(axis=1))
 
 
-def _per_cell(numbers: dict[tuple[str, int], int]) -> Column:
-    """A small number per (group, cell) as a literal map lookup."""
-    pairs = F.create_map(*[x for (g, c), n in numbers.items() for x in (F.lit(f"{g}\u0000{c}"), F.lit(n))])
-    return F.element_at(pairs, F.concat_ws("\u0000", "g", F.col("cell").cast("string")))
+def _rough(queries: np.ndarray, points: np.ndarray, p: int) -> tuple[np.ndarray, float]:
+    """All distances (squares of them for ``p`` = 2) of two matrices, and a bound of their rounding errors."""
+    if p == 1:
+        out, one = np.zeros((len(queries), len(points))), np.empty((len(queries), len(points)))
+        for a, b in zip(queries.T, points.T, strict=True):
+            np.subtract(a[:, None], b[None, :], out=one)
+            out += np.abs(one, out=one)
+        size = np.abs(queries).max(initial=0) + np.abs(points).max(initial=0)
+        return out, 1e-14 * size * queries.shape[1] ** 2
+    a, b = (queries * queries).sum(1), (points * points).sum(1)
+    out = queries @ points.T
+    out *= -2
+    out += a[:, None]
+    out += b[None, :]
+    return out, 1e-14 * (a.max(initial=0) + b.max(initial=0)) * max(1, queries.shape[1])
+
+
+def _likely(rough: np.ndarray, error: float, need: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (row, column) of a superset of the ``need`` least of every row."""
+    n = rough.shape[1]
+    if need >= n:
+        return np.nonzero(np.ones(rough.shape, bool))
+    # the need-th least of the minima of parts is no less than the need-th least of all
+    width = max(1, min(64, n // (4 * need)))
+    parts = np.minimum.reduceat(rough, np.arange(0, n, width), axis=1) if width > 1 else rough
+    limit = np.partition(parts, need - 1, axis=1)[:, need - 1 : need]
+    return np.nonzero(~(rough > limit + 2 * error))  # what cannot be compared is looked at exactly
+
+
+def _closest(qids: np.ndarray, queries: np.ndarray, pids: np.ndarray, points: np.ndarray, k: int, p: int, exclude_self: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query id, point id, distance) of the ``k`` nearest points of every query, ties by point id."""
+    need = k + int(np.unique(pids, return_counts=True)[1].max()) if exclude_self else k
+    rows = max(1, _TILE // len(points))
+    # distances of one by one are added up where they stay in the cache
+    rows = max(1, min(rows, 32)) if p == 1 else rows
+    for lo in range(0, len(queries), rows):
+        mine = queries[lo : lo + rows]
+        at, to = _likely(*_rough(mine, points, p), need)
+        d = np.empty(len(at))
+        for i in range(0, len(at), 1 << 15):
+            part = slice(i, i + (1 << 15))
+            d[part] = _distances(points[to[part]], mine[at[part]], p)
+        keep = ~np.isnan(d)
+        if exclude_self:
+            keep &= pids[to] != qids[lo + at]
+        at, to, d = at[keep], to[keep], d[keep]
+        order = np.lexsort((pids[to], d, at))
+        at, to, d = at[order], to[order], d[order]
+        first = np.searchsorted(at, at, "left")
+        top = np.arange(len(at)) - first < k
+        yield qids[lo + at[top]], pids[to[top]], d[top]
+
+
+def _packed(rows: DataFrame, by: list[str]) -> DataFrame:
+    """One row per key: the ids and the vectors as bytes."""
+    schema = ", ".join([f"{c} {dict(rows.dtypes)[c]}" for c in by])
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        ids = table.column("id").to_numpy().astype(np.int64)
+        vectors = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in table.column("v").chunks]).astype(float)
+        keys = {c: table.column(c).slice(0, 1) for c in by}
+        return pa.table({**keys, "ids": pa.array([ids.tobytes()], pa.binary()), "data": pa.array([vectors.tobytes()], pa.binary())})
+
+    return rows.select(*by, "id", "v").groupBy(*by).applyInArrow(pack, f"{schema}, ids binary, data binary")
 
 
 def nearest(
@@ -50,13 +113,14 @@ def nearest(
     ``by`` restricts candidates to points of the query's own group. ``exclude_self`` skips the point
     whose id equals the query's.
     """
+    spark = points.sparkSession
     as_double = F.col(vector).cast("array<double>").alias("v")
     group = F.col(by).cast("string").alias("g") if by else F.lit("").alias("g")
-    pts = points.select(F.col(point_id).cast("long").alias("pid"), group, as_double)
-    qs = queries.select(F.col(query_id).cast("long").alias("qid"), group, as_double)
-    n_points, n_queries = points.count(), queries.count()
-    n_pivots = max(1, min(max_pivots, math.isqrt(max(1, n_points // 64))))
-    chosen = pts.orderBy(F.xxhash64("pid"), "pid").limit(n_pivots).select("v").collect()
+    pts = points.select(F.col(point_id).cast("long").alias("id"), group, as_double)
+    qs = queries.select(F.col(query_id).cast("long").alias("id"), group, as_double)
+    most = _CELL * block
+    n_pivots = max(1, min(max_pivots, points.count() // most))
+    chosen = pts.orderBy(F.xxhash64("id"), "id").limit(n_pivots).select("v").collect()
     pivots = np.array([r["v"] for r in chosen], dtype=float)
     if not len(pivots):
         raise ValueError("no points to search")
@@ -68,70 +132,50 @@ def nearest(
                 d = np.stack([_distances(vs, c, p) for c in pivots], axis=1)
                 yield pdf.assign(cell=d.argmin(axis=1).astype(np.int32), d=d.min(axis=1))
 
-    celled = pts.mapInPandas(to_cell, "pid long, g string, v array<double>, cell int, d double")
-    stats = celled.groupBy("g", "cell").agg(F.count("*").alias("n"), F.max("d").alias("radius")).collect()
-    cells: dict[str, list[tuple[int, int, float]]] = {}
-    for r in stats:
-        cells.setdefault(r["g"], []).append((r["cell"], r["n"], r["radius"]))
-    blocks = {(r["g"], r["cell"]): max(1, math.ceil(r["n"] / block)) for r in stats}
-    need = k + 1 if exclude_self else k
-
-    def to_visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = {"qid": [], "g": [], "v": [], "cell": [], "block": []}
-            for qid, g, v in zip(pdf.qid, pdf.g, pdf.v):
-                mine = cells.get(g, [])
-                if not mine:
-                    continue
-                ids = np.array([c[0] for c in mine])
-                sizes = np.array([c[1] for c in mine])
-                radii = np.array([c[2] for c in mine])
-                d = _distances(pivots[ids], np.asarray(v, dtype=float), p)
-                far = np.argsort(d + radii)
-                enough = np.searchsorted(np.cumsum(sizes[far]), min(need, sizes.sum()))
-                limit = (d + radii)[far[enough]] * (1 + _SLACK) + _SLACK
-                for cell in ids[d - radii <= limit]:
-                    for b in range(blocks[(g, int(cell))]):
-                        out["qid"].append(qid)
-                        out["g"].append(g)
-                        out["v"].append(v)
-                        out["cell"].append(cell)
-                        out["block"].append(b)
-            yield pd.DataFrame(out)
-
-    visits = qs.mapInPandas(to_visits, "qid long, g string, v array<double>, cell int, block int")
-    chunks = {c: 1 for c in blocks}
-    if n_queries > _QUERY_BLOCKS * block:
-        # points are repeated only for the query chunks that visit their own cell
-        seen = visits.where("block = 0").groupBy("g", "cell").agg(F.count("*").alias("n")).collect()
-        chunks.update({(r["g"], r["cell"]): max(1, math.ceil(r["n"] / (_QUERY_BLOCKS * block))) for r in seen})
-    visits = visits.withColumn("chunk", F.pmod(F.xxhash64("qid"), _per_cell(chunks)).cast("int"))
-    targets = celled.drop("d").withColumns(
-        {
-            "block": F.pmod(F.xxhash64("pid"), _per_cell(blocks)).cast("int"),
-            "chunk": F.explode(F.sequence(F.lit(0), _per_cell(chunks) - 1)),
-        }
-    )
-    key = ["g", "cell", "block", "chunk"]
-
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"qid": [], "pid": [], "distance": []})
-        right = right.sort_values("pid")
-        ids, vs = right.pid.to_numpy(), np.stack(right.v.to_numpy())
-        out_q, out_p, out_d = [], [], []
-        for qid, v in zip(left.qid, left.v):
-            d = _distances(vs, np.asarray(v, dtype=float), p)
-            keep = np.argsort(d, kind="stable")[:need]
-            if exclude_self:
-                keep = keep[ids[keep] != qid]
-            keep = keep[:k]
-            out_q.append(np.full(len(keep), qid))
-            out_p.append(ids[keep])
-            out_d.append(d[keep])
-        return pd.DataFrame({"qid": np.concatenate(out_q), "pid": np.concatenate(out_p), "distance": np.concatenate(out_d)})
-
-    found = visits.groupBy(*key).cogroup(targets.groupBy(*key)).applyInPandas(search, "qid long, pid long, distance double")
+    celled = [x.mapInPandas(to_cell, "id long, g string, v array<double>, cell int, d double") for x in (qs, pts)]
+    sizes = [x.groupBy("g", "cell").agg(F.count("*").alias("n"), F.max(F.nanvl("d", F.lit(0.0))).alias("radius")).collect() for x in celled]
+    # queries of small tables are cut finer, so that all cores search
+    least = math.ceil(sum(r["n"] for r in sizes[0]) / (2 * spark.sparkContext.defaultParallelism))
+    pieces = [[max(1, math.ceil(r["n"] / size)) for r in found] for found, size in zip(sizes, (min(most, max(256, least)), most), strict=True)]
+    here: dict[str, list[int]] = {}
+    for i, r in enumerate(sizes[1]):
+        here.setdefault(r["g"], []).append(i)
+    apart = np.stack([_distances(pivots, c, p) for c in pivots])
+    meet = []
+    for r, n_query in zip(sizes[0], pieces[0], strict=True):
+        mine = np.array(here.get(r["g"], []), int)
+        if not len(mine):
+            continue
+        n, radius = (np.array([sizes[1][i][c] for i in mine], float) for c in ("n", "radius"))
+        middle, reach = apart[r["cell"]][[sizes[1][i]["cell"] for i in mine]], radius + r["radius"]
+        need = k + 1 if exclude_self else k
+        far = np.argsort(middle + reach)
+        enough = np.searchsorted(np.cumsum(n[far]), min(need, n.sum()))
+        limit = (middle + reach)[far[enough]] * (1 + _SLACK) + _SLACK
+        meet += [(r["g"], r["cell"], int(sizes[1][i]["cell"]), n_query, pieces[1][i]) for i in mine[middle - reach <= limit]]
+    number = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    sides = []
+    for x, found, cut, name in zip(celled, sizes, pieces, "qp", strict=True):
+        cuts = F.broadcast(spark.createDataFrame([(r["g"], r["cell"], m) for r, m in zip(found, cut, strict=True)], "cut_g string, cut_cell int, m int"))
+        dealt = x.join(cuts, F.col("g").eqNullSafe(F.col("cut_g")) & (F.col("cell") == F.col("cut_cell")))
+        piece = F.pmod(F.xxhash64("id"), F.col("m")).cast("int").alias("own_piece")
+        rows = _packed(dealt.select(F.col("g").alias("own_g"), F.col("cell").alias("own_cell"), piece, "id", "v"), ["own_g", "own_cell", "own_piece"])
+        met = F.broadcast(spark.createDataFrame(meet, "g string, qcell int, pcell int, qpieces int, ppieces int"))
+        paired = rows.join(met, F.col("own_g").eqNullSafe(F.col("g")) & (F.col("own_cell") == F.col(f"{name}cell")))
+        other = "p" if name == "q" else "q"
+        sides.append(paired.select("g", "qcell", "pcell", F.col("own_piece").alias(f"{name}piece"), number(f"{other}pieces").alias(f"{other}piece"), "ids", "data"))
+    left, right = sides
+    key = ["g", "qcell", "qpiece", "pcell", "ppiece"]
+
+    def search(mine: pa.Table, theirs: pa.Table) -> pa.Table:
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        if mine.num_rows and theirs.num_rows:
+            qids, pids = (np.frombuffer(t.column("ids")[0].as_py(), np.int64) for t in (mine, theirs))
+            q, x = (np.frombuffer(t.column("data")[0].as_py()).reshape(len(ids), -1) for t, ids in ((mine, qids), (theirs, pids)))
+            found += _closest(qids, q, pids, x, k, p, exclude_self)
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], ["qid", "pid", "distance"])
+
+    found = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(search, "qid long, pid long, distance double")
     rank = F.row_number().over(Window.partitionBy("qid").orderBy("distance", "pid"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select(
         F.col("qid").alias(query_id), F.col("pid").alias(point_id), "distance", "rank"

@@ -72,3 +72,25 @@ def test_zero_vector_has_no_cosine(spark):
     got = {(r["a"], r["b"]): r["cosine"] for r in similarity.pair_cosine(pairs, df, "id", "v", "a", "b").collect()}
     assert got[(1, 2)] is None and got[(2, 3)] == pytest.approx(2**-0.5)
     assert {r["a"] for r in similarity.cosine_neighbours(df, "id", "v", 1).collect()} == {2, 3}
+
+
+def test_candidates_do_not_grow_with_cells(spark):
+    """A few hundred queries of 64 columns: every query is packed once per matrix that it meets, not repeated per cell and block."""
+    x = np.random.default_rng(4).normal(size=(600, 64)).round(4)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, vector array<double>")
+    out = nearest(df.withColumnRenamed("id", "q"), df.withColumnRenamed("id", "t"), 3, "q", "t", exclude_self=True, block=50)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "data" in plan
+    got = {}
+    for r in out.orderBy("q", "rank").collect():
+        got.setdefault(r["q"], []).append(r["t"])
+    assert all(got[i] == _brute(x[i], x, 3, 2, skip=i) for i in range(len(x)))
+
+
+def test_copies_keep_the_order_of_ids(spark):
+    """Equal vectors, far from the origin: rounding in products must not decide between them."""
+    x = np.repeat(np.array([[1e6, 1e6 + 1e-3], [1e6, 1e6]]), 40, axis=0)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, vector array<double>")
+    out = nearest(df.withColumnRenamed("id", "q"), df.withColumnRenamed("id", "t"), 4, "q", "t", exclude_self=True, block=7).collect()
+    for i in (0, 1, 39, 40, 79):
+        assert [r["t"] for r in sorted((r for r in out if r["q"] == i), key=lambda r: r["rank"])] == _brute(x[i], x, 4, 2, skip=i)
