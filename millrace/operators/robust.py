@@ -7,13 +7,14 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.scalars import clip
 from millrace.operators.quantiles import exact_quantiles
-from millrace.operators.running import range_edges, running_totals
-from millrace.runtime import shuffle_width
+from millrace.operators.running import range_edges
+from millrace.runtime import cut_lineage, shuffle_width
 
 # fixed values: skew-adjusted fence
 FENCE = 1.5
@@ -22,6 +23,7 @@ HIGH_EXPONENT = 4.0
 # end of fixed values
 
 _STEPS = 32
+_BLOCK, _BLOCKS = 512, 4096  # values of a block, and blocks of a side at most
 
 
 def _kernel_order_statistics(values: np.ndarray, counts: np.ndarray, median: float) -> float:
@@ -81,7 +83,7 @@ def medcouple(df: DataFrame, col: str, limit: int = 200_000) -> float | None:
     """Median over pairs x_i >= m >= x_j of ((x_i-m)-(m-x_j))/(x_i-x_j); ties at m use the sign kernel.
 
     Values are reduced to distinct values with counts. Up to ``limit`` of them are searched in one
-    bounded task; above it every search step counts pairs for 32 candidates with one running total.
+    bounded task; above it ranges of values meet, and only the pairs of ranges that may hold the median are counted again.
     """
     x = F.col(col).cast("double")
     clean = df.select(x.alias("v")).where(x.isNotNull() & ~F.isnan(x))
@@ -110,36 +112,109 @@ def _medcouple_distributed(clean: DataFrame, counts: DataFrame, median: float) -
             F.sum(F.when(F.col("v") == median, F.col("n")).otherwise(0)).alias("ties"),
         ).first()
         n_up, n_down, ties = int(sizes["up"]), int(sizes["down"]), int(sizes["ties"])
-        edge_frame = lower.select("y")
-        ranges = shuffle_width(clean.sparkSession)
-        edges = range_edges(edge_frame, F.col("y"), ranges)
-
-        def count_many(ts: list[float]) -> list[int]:
-            factors = F.array(*[F.lit((1.0 - t) / (1.0 + t)) for t in ts])
-            asked = upper.select("n", "a", F.posexplode(factors).alias("j", "c")).select(
-                "j", (F.col("a") * F.col("c")).alias("y"), F.col("n").alias("na"), F.lit(0).cast("long").alias("nb")
-            )
-            every = F.explode(F.sequence(F.lit(0), F.lit(len(ts) - 1))).alias("j")
-            known = lower.select(every, "y", F.lit(0).cast("long").alias("na"), "nb")
-            merged = asked.unionByName(known).groupBy("j", "y").agg(F.sum("na").alias("na"), F.sum("nb").alias("nb"))
-            run = running_totals(merged, "y", ["nb"], by=["j"], edges=edges)
-            # values of b at or above the threshold: all minus those strictly below it
-            rows = run.groupBy("j").agg(F.sum(F.col("na").cast("decimal(19,0)") * (F.lit(n_down) - F.col("nb_run") + F.col("nb")).cast("decimal(19,0)")).alias("p"))
-            got = {r["j"]: int(r["p"]) for r in rows.collect()}
-            return [got[j] + _tie_pairs(t, ties, n_down) for j, t in enumerate(ts)]
-
+        up, down = (_blocks(x.toDF("x", "n")) for x in (upper, lower))
         total = (n_up + ties) * (n_down + ties)
-        found = []
-        for rank in sorted({(total - 1) // 2, total // 2}):
-            known = _ends(rank, total, ties, n_down, n_up)
-            found.append(_narrow(count_many, rank) if known is None else known)
-        return sum(found) / len(found)
+        ranks = {r: _ends(r, total, ties, n_down, n_up) for r in sorted({(total - 1) // 2, total // 2})}
+        asked = [r for r, known in ranks.items() if known is None]
+        if asked:
+            ends = [_summary(x) for x in (up, down)]
+            lo, hi = _bracket(*ends, min(asked), max(asked), ties, n_down)
+            count_many, base = _pairs_between(up, down, *ends, lo, hi)
+            whole = lambda ts: [n + base + _tie_pairs(t, ties, n_down) for t, n in zip(ts, count_many(ts), strict=True)]
+            for r in asked:
+                ranks[r] = _narrow(whole, r, lo, hi)
+        return sum(ranks.values()) / len(ranks)
     finally:
         counts.unpersist()
 
 
-def _narrow(count_many, rank: int) -> float:
-    lo, hi = -1.0, 1.0
+def _blocks(values: DataFrame) -> DataFrame:
+    """(block, lo, hi, total, x, w): ranges of the values (x, n), sorted, with their counts, as bytes."""
+    number = min(_BLOCKS, -(-values.count() // _BLOCK))
+    edges = np.array(range_edges(values, F.col("x"), number))
+
+    def part(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(edges, batch.column(0).to_numpy(), "right")), *batch.columns], ["block", "x", "n"])
+
+    def pack(table: pa.Table) -> pa.Table:
+        table = table.sort_by("x")
+        x, n = table.column("x").to_numpy(), table.column("n").to_numpy()
+        return pa.table({"block": table.column("block").slice(0, 1), "lo": [x[0]], "hi": [x[-1]], "total": [int(n.sum())], "x": pa.array([x.tobytes()], pa.binary()), "w": pa.array([n.tobytes()], pa.binary())})
+
+    parts = values.mapInArrow(part, "block long, x double, n long")
+    return cut_lineage(parts.groupBy("block").applyInArrow(pack, "block long, lo double, hi double, total long, x binary, w binary"))
+
+
+def _summary(blocks: DataFrame) -> dict[str, np.ndarray]:
+    rows = blocks.select("block", "lo", "hi", "total").orderBy("block").collect()
+    out = {c: np.array([r[c] for r in rows]) for c in ("block", "lo", "hi")}
+    return out | {"total": np.array([r["total"] for r in rows], object)}  # products of counts may pass 64 bits
+
+
+def _factor(t: float) -> float:
+    return (1.0 - t) / (1.0 + t) if t > -1 else math.inf
+
+
+def _from(down: dict[str, np.ndarray], first: np.ndarray) -> np.ndarray:
+    """Number of values of the blocks from each of ``first`` on."""
+    below = np.concatenate([[0], np.cumsum(down["total"])])
+    return below[-1] - below[first]
+
+
+def _bracket(up, down, first: int, last: int, ties: int, n_down: int) -> tuple[float, float]:
+    """An interval that holds the kernels of both ranks, by what the ends of the blocks tell."""
+
+    def least(t: float) -> int:
+        return int((up["total"] * _from(down, np.searchsorted(down["lo"], up["hi"] * _factor(t), "left"))).sum()) + _tie_pairs(t, ties, n_down)
+
+    def most(t: float) -> int:
+        return int((up["total"] * _from(down, np.searchsorted(down["hi"], up["lo"] * _factor(t), "left"))).sum()) + _tie_pairs(t, ties, n_down)
+
+    found = []
+    for below in (lambda t: most(t) <= first, lambda t: least(t) <= last):
+        lo, hi = -1.0, 1.0
+        for _ in range(60):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if below(mid) else (lo, mid)
+        found.append((lo, hi))
+    return found[0][0], found[1][1]
+
+
+def _pairs_between(up_blocks: DataFrame, down_blocks: DataFrame, up, down, lo: float, hi: float):
+    """A function that counts the pairs with kernels up to each candidate in [lo, hi] among blocks that may hold some above
+    ``lo`` and some up to ``hi``, and the number of pairs that are at most ``lo`` in all other blocks."""
+    begin = np.searchsorted(down["hi"], up["lo"] * _factor(hi) * (1 - 1e-12), "left")
+    end = np.maximum(begin, np.searchsorted(down["lo"], up["hi"] * _factor(lo) * (1 + 1e-12), "left"))
+    base = int((up["total"] * _from(down, end)).sum())
+    spark = up_blocks.sparkSession
+    spans = spark.createDataFrame([(int(b), [int(x) for x in down["block"][i:j]]) for b, i, j in zip(up["block"], begin, end, strict=True)], "block long, others array<long>")
+    pairs = spans.select("block", F.explode("others").alias("other"))
+    left = up_blocks.select("block", F.col("x").alias("a"), F.col("w").alias("na"))
+    right = down_blocks.select(F.col("block").alias("other"), F.col("x").alias("b"), F.col("w").alias("nb"))
+    met = cut_lineage(pairs.join(left, "block").join(right, "other").select("a", "na", "b", "nb").repartition(shuffle_width(spark)))
+
+    def count_many(ts: list[float]) -> list[int]:
+        factors = [_factor(t) for t in ts]
+
+        def run(batches):
+            total = [0] * len(factors)
+            for batch in batches:
+                for r in range(batch.num_rows):
+                    a, na, b, nb = (np.frombuffer(c[r].as_py(), kind) for c, kind in zip(batch.columns, (float, np.int64, float, np.int64), strict=True))
+                    above = np.concatenate([np.cumsum(nb[::-1])[::-1], [0]])
+                    for j, c in enumerate(factors):
+                        total[j] += int((na * above[np.searchsorted(b, a * c, "left")]).sum())
+            yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array([str(x) for x in total])], ["j", "p"])
+
+        rows = met.mapInArrow(run, "j int, p string").groupBy("j").agg(F.sum(F.col("p").cast("decimal(38,0)")).alias("p")).collect()
+        got = {r["j"]: int(r["p"]) for r in rows}
+        return [got.get(j, 0) for j in range(len(ts))]
+
+    return count_many, base
+
+
+def _narrow(count_many, rank: int, lo: float = -1.0, hi: float = 1.0) -> float:
     while hi - lo > 1e-13:
         ts = [lo + (hi - lo) * i / (_STEPS + 1) for i in range(1, _STEPS + 1)]
         above = [i for i, n in enumerate(count_many(ts)) if rank < n]

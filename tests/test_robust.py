@@ -77,3 +77,10 @@ def test_fitted_power_is_the_maximum(spark):
 
     fine = np.linspace(lam - 0.5, lam + 0.5, 2001)
     assert abs(lam - fine[np.argmax([ll(p) for p in fine])]) < 2e-3
+
+
+def test_medcouple_of_many_blocks(spark):
+    """More values than a block holds: the same as the search in one task, in few passes."""
+    x = np.random.default_rng(5).lognormal(size=9000).round(4)
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    assert robust.medcouple(df, "x", limit=0) == pytest.approx(robust.medcouple(df, "x"), abs=1e-12)
