@@ -1,6 +1,7 @@
 """Cleaning, tokens, phrases, collocations and sequences on hand-made rows."""
 
 import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -172,3 +173,52 @@ def test_phrases_with_and_without_a_join(spark, monkeypatch):
         monkeypatch.setattr(phrases, "_FEW", few)
         assert sorted(map(tuple, phrases.phrase_match(df, "id", "text", sought, [1, 2, 3]).collect())) == want
         assert {(r.phrase, r.label) for r in phrases.phrase_match(df, "id", "text", sought, [1, 2, 3], "label").collect()} == {("the cat", "A"), ("cat", "B"), ("cat sat on", "A")}
+
+
+def test_phrases_over_many_slices(spark, monkeypatch):
+    """Pieces of few tokens, empty and null texts: the same as by hand, and no run crosses a text."""
+    monkeypatch.setattr(vocabulary, "_SLICE", 3)
+    texts = ["a b c a b", "", None, "b c", "a b a b a b c", "c", "c a b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, text string").coalesce(1)
+    words = [(t or "").split() for t in texts]
+    got = phrases.most_frequent(df, F.split("text", " "), [1, 2], 2).collect()
+    for n in (1, 2):
+        runs = Counter(" ".join(w[i : i + n]) for w in words for i in range(len(w) - n + 1))
+        assert {(r["phrase"], r["c"]) for r in got if r["n"] == n and r["phrase"]} == set(sorted(runs.items(), key=lambda x: (-x[1], x[0]))[:2])
+    sought = spark.createDataFrame([("a b",), ("c",), ("b c a",)], "phrase string")
+    found = phrases.phrase_match(df, "k", "text", sought, [1, 2, 3]).collect()
+    want = {(k, " ".join(w[i : i + n]), i, i + n) for k, w in enumerate(words) for n in (1, 2, 3) for i in range(len(w) - n + 1) if " ".join(w[i : i + n]) in ("a b", "c", "b c a")}
+    assert {tuple(r) for r in found} == want and len(found) == len(want)
+
+
+def test_join_bigrams_here_and_by_join(spark):
+    """Overlapping pairs, repeated and null keys: both ways give the same."""
+    rows = [(1, "a b a b c"), (2, "b a"), (3, ""), (4, None), (5, "x y"), (5, "a b"), (None, "a b"), (6, "c a b a")]
+    df = spark.createDataFrame(rows, "k long, text string")
+    tokens = F.filter(F.split("text", " "), lambda t: t != "")
+    accepted = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "a")], "a string, b string")
+    here = phrases.join_bigrams(df, "k", tokens, accepted)
+    there = phrases._join_pairs(df, "k", tokens, accepted)
+    key = lambda r: str((r["k"], r["tokens"]))
+    assert sorted(map(key, here.collect())) == sorted(map(key, there.collect()))
+    assert {r["k"]: r["tokens"] for r in here.collect()}[1] == ["a_b", "a_b", "c"]
+
+
+def test_document_vectors_with_gaps_and_copies(spark, monkeypatch):
+    """Several blocks of vectors, a word with two vectors, missing components, repeated and unknown words."""
+    monkeypatch.setattr(vocabulary, "_VECTORS", 2)
+    df = spark.createDataFrame([(1, "a b a"), (2, "c d"), (3, "zz"), (4, None), (1, "b")], "k long, text string")
+    vectors = spark.createDataFrame([("a", [1.0, 2.0]), ("b", [3.0, None]), ("c", [1.0, 1.0]), ("c", [5.0, 1.0]), ("d", [0.0, None])], "word string, vector array<float>")
+    out = vocabulary.document_vectors(df, "k", F.split("text", " "), vectors, 2)
+    got = {r["k"]: r["vector"] for r in out.collect()}
+    assert got[1] == [2.0, 1.0] and got[2] == [2.0, 2 / 3] and got[3] == [0.0, 0.0] and got[4] == [0.0, 0.0]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan  # vectors meet words in blocks, none is sent on per word
+
+
+def test_lemma_counts_send_words_once(spark):
+    df = spark.createDataFrame([(1, "cats cat cat dogs"), (2, "cat cats"), (1, "cats"), (3, None)], "k long, text string")
+    none = spark.createDataFrame([], "form string, lemma string")
+    out = vocabulary.lemma_counts(df, "k", F.split("text", " "), [("s", "")], none)
+    assert {(r["k"], r["lemma"], r["n"]) for r in out.collect()} == {(1, "cat", 4), (1, "dogs", 1), (2, "cat", 2)}
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2  # once, listed twice
