@@ -15,6 +15,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.runtime import cut_lineage
+
+_PIECE = 1 << 16  # values that are sorted and added up together
 
 @dataclass
 class Model:
@@ -81,8 +84,34 @@ def slot_sums(values: DataFrame, slots: int, columns: int, add) -> np.ndarray:
     return out
 
 
-def cluster_sums(values: DataFrame, models: Sequence[Model], subsets: int, shift: float) -> np.ndarray:
-    """[cluster of all models, (weight, sum, sum of squares)] of the values less ``shift``, in one aggregate."""
+def running_sums(values: DataFrame, subsets: int, shift: float) -> DataFrame:
+    """(x, sums): pieces of sorted values, and running sums of (weight, value, square) per subset of the values less ``shift``,
+    as bytes. Stored, so that a round neither sorts nor adds up values again."""
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            held, size = [*held, batch], size + batch.num_rows
+            if size >= _PIECE:
+                yield packed(held)
+                held, size = [], 0
+        if size:
+            yield packed(held)
+
+    def packed(held):
+        parts = [matrix(b, subsets) for b in held]
+        x, w = (np.concatenate([p[c] for p in parts]) for c in (0, 1))
+        order = np.argsort(x, kind="stable")
+        x, w = x[order], w[order]
+        y = (x - shift)[:, None]
+        sums = np.stack([np.concatenate([np.zeros((1, subsets)), np.cumsum(p, axis=0)]) for p in (w, w * y, w * (y * y))])
+        return pa.RecordBatch.from_arrays([pa.array([b.tobytes()], pa.binary()) for b in (x, sums)], ["x", "sums"])
+
+    return cut_lineage(values.mapInArrow(run, "x binary, sums binary"))
+
+
+def cluster_sums(pieces: DataFrame, models: Sequence[Model], subsets: int) -> np.ndarray:
+    """[cluster of all models, (weight, sum, sum of squares)] of the pieces' values, in one aggregate."""
     ks = np.array([m.k for m in models])
     cuts = np.concatenate([m.cuts for m in models])
     number = int(ks.sum())
@@ -92,31 +121,31 @@ def cluster_sums(values: DataFrame, models: Sequence[Model], subsets: int, shift
     subset = np.repeat([m.subset for m in models], ks)
 
     def add(batch, total):
-        x, w = matrix(batch, subsets)
-        y = x - shift
-        begin, end = np.zeros(number, np.int64), np.zeros(number, np.int64)
-        begin[at_cut] = np.searchsorted(x, cuts, "left")  # a value on a cut belongs above it
-        end[:-1] = begin[1:]
-        end[last] = len(x)
-        for c, power in enumerate((w, w * y[:, None], w * (y * y)[:, None])):
-            run = np.concatenate([np.zeros((1, subsets)), np.cumsum(power, axis=0)])
-            total[:, c] += run[end, subset] - run[begin, subset]
+        for r in range(batch.num_rows):
+            x = np.frombuffer(batch.column(0)[r].as_buffer())
+            sums = np.frombuffer(batch.column(1)[r].as_buffer()).reshape(3, len(x) + 1, subsets)
+            begin, end = np.zeros(number, np.int64), np.zeros(number, np.int64)
+            begin[at_cut] = np.searchsorted(x, cuts, "left")  # a value on a cut belongs above it
+            end[:-1] = begin[1:]
+            end[last] = len(x)
+            total += (sums[:, end, subset] - sums[:, begin, subset]).T
 
-    return slot_sums(values, number, 3, add)
+    return slot_sums(pieces, number, 3, add)
 
 
 def settle(values: DataFrame, models: Sequence[Model], subsets: int, max_iter: int) -> None:
     """Moves every centre to the mean of its values, all models together, until they stay.
 
     A model that stays is left out of the rounds that follow. Clusters that lose all values keep their centre. ``values``
-    should be stored: every round reads it.
+    are added up once; a round reads their running sums at the cuts.
     """
     shift = float(np.mean([m.centres.mean() for m in models]))
+    pieces = running_sums(values, subsets, shift)
     for _ in range(max_iter + 1):
         moving = [m for m in models if m.moving]
         if not moving:
             return
-        sums = cluster_sums(values, moving, subsets, shift)
+        sums = cluster_sums(pieces, moving, subsets)
         at = 0
         for m in moving:
             n, s, q = sums[at : at + m.k].T
@@ -215,7 +244,7 @@ def optimum(values: DataFrame, ks: Sequence[int], limit: int = 200_000) -> dict[
     optimum over their means then is the start of rounds over all values.
     """
     used = values.select("x", F.get("w", F.lit(0)).alias("w")).where("w > 0")
-    exact = len(used.select("x").limit(limit + 1).collect()) <= limit
+    exact = used.count() <= limit
     if not exact:
         edges = used.agg(F.percentile_approx("x", [i / limit for i in range(1, limit)], 10 * limit).alias("e")).first()["e"]
         edges = np.unique(np.array(edges))
