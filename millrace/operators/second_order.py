@@ -1,9 +1,10 @@
 """Gradient boosting with second derivatives: histograms of gradients and curvatures, regularised leaf weights.
 
-Columns become bins once; rows are kept in blocks of a stored table with their margin. A level of a tree is one pass and
-one aggregate over (node, column, bin), only for the smaller child of each split: its sibling is the parent less it. Sums
-are of whole numbers (gradients in steps of 2^-30), so trees do not depend on how the rows are partitioned. The driver gets
-at most 2^depth x columns x bins sums per level, whatever the number of rows.
+Columns become bins once; rows with equal bins become one row with their number, kept in blocks of a stored table with their
+margin: no more rows than there are combinations of bins. A level of a tree is one pass, only over the smaller child of each
+split: its sibling is the parent less it, and the sums of the last leaves are those of the split. Sums are of whole numbers
+(gradients in steps of 2^-30), so trees do not depend on how the rows are partitioned. The driver gets at most 2^depth x
+columns x bins sums per level and task, from at most ``TASKS`` tasks, whatever the number of rows.
 """
 
 from __future__ import annotations
@@ -23,6 +24,11 @@ from millrace.runtime import work_path
 
 FINE = 1 << 30
 BLOCK = 1 << 16  # rows
+TASKS = 64  # whose sums the driver adds up; those of more tasks are added in a shuffle
+_NAMES = ["n", "y", "bins", "margin"]
+_SCHEMA = ", ".join(f"{x} binary" for x in _NAMES)
+_HALVES = ["g_high", "g_low", "h_high", "h_low"]
+_SUMS = ", ".join(f"{x} binary" for x in ["at", *_HALVES])
 
 
 @dataclass
@@ -60,6 +66,39 @@ class Tree:
         return at
 
 
+class Finder:
+    """The node in which each row ends, by sets of leaves as bits: those a column's bin allows, met over all columns."""
+
+    def __init__(self, tree: Tree, columns: int, missing: int):
+        self.tree, self.missing = tree, missing
+        self.ends = np.flatnonzero(np.array(tree.column) < 0)
+        if len(self.ends) > 64:
+            return
+        self.allowed = np.zeros((columns, missing + 1), np.uint64)
+        path = {0: np.ones((columns, missing + 1), bool)}
+        for node, (c, cut, side) in enumerate(zip(tree.column, tree.cut, tree.missing_left, strict=True)):
+            if c < 0:
+                continue
+            left = np.arange(missing + 1) <= cut
+            left[missing] = side
+            for child, may in ((tree.left[node], left), (tree.right[node], ~left)):
+                path[child] = path[node].copy()
+                path[child][c] &= may
+        for bit, end in enumerate(self.ends):
+            self.allowed |= path[end].astype(np.uint64) << np.uint64(bit)
+        self.asked = sorted({c for c in tree.column if c >= 0})
+
+    def __call__(self, bins: np.ndarray) -> np.ndarray:
+        if len(self.ends) > 64:
+            return self.tree.leaves(bins, self.missing)
+        if not self.asked:
+            return np.zeros(bins.shape[1], np.int64)
+        left = self.allowed[self.asked[0]][bins[self.asked[0]]]
+        for c in self.asked[1:]:
+            left &= self.allowed[c][bins[c]]
+        return self.ends[np.bitwise_count(left - np.uint64(1))]
+
+
 class SecondOrderBoosting:
     """Binary classifier. ``columns`` may have nulls and NaN: each split learns the side they go to. Rows without a label
     are left out of the fit."""
@@ -84,17 +123,26 @@ class SecondOrderBoosting:
         edges, missing = self.edges, self.missing
         narrow = np.uint8 if missing < 256 else np.uint16
 
+        def binned_rows(batches: Iterator[pa.RecordBatch]):
+            for batch in batches:
+                bins = binned([batch.column(c + 1).to_numpy(zero_copy_only=False) for c in range(len(edges))], edges, missing).astype(narrow)
+                rows = np.ascontiguousarray(bins.T)
+                ends = np.arange(len(rows) + 1, dtype=np.int32) * len(edges) * rows.itemsize
+                packed = pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows)])
+                yield pa.RecordBatch.from_arrays([batch.column(0), packed], ["y", "bins"])
+
         def block(batches: Iterator[pa.RecordBatch]):
             for batch in batches:
                 for i in range(0, batch.num_rows, BLOCK):
                     part = batch.slice(i, BLOCK)
-                    bins = binned([part.column(c + 1).to_numpy(zero_copy_only=False) for c in range(len(edges))], edges, missing).astype(narrow)
-                    y = part.column(0).to_numpy().astype(np.int8)
-                    yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (y.tobytes(), bins.tobytes(), np.zeros(len(y)).tobytes())], ["y", "bins", "margin"])
+                    bins = np.frombuffer(b"".join(part.column(0).to_pylist()), narrow).reshape(part.num_rows, len(edges)).T
+                    n, y = (part.column(c).to_numpy().astype(np.int64) for c in (1, 2))
+                    yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (n.tobytes(), y.tobytes(), bins.tobytes(), np.zeros(len(y)).tobytes())], _NAMES)
 
         self.trees: list[Tree] = []
         self._narrow, self._pending = narrow, []
-        blocks = self._stored(data.mapInArrow(block, "y binary, bins binary, margin binary"))
+        alike = data.mapInArrow(binned_rows, "y int, bins binary").groupBy("bins").agg(F.count("*").alias("n"), F.sum(F.col("y").cast("long")).alias("y"))
+        blocks = self._stored(alike.mapInArrow(block, _SCHEMA))
         rng = np.random.default_rng(self.seed)
         d = len(self.columns)
         for t in range(self.number):
@@ -110,19 +158,22 @@ class SecondOrderBoosting:
     def _stored(self, blocks: DataFrame) -> DataFrame:
         path = work_path(blocks.sparkSession, "boosting_blocks")
         blocks.write.option("compression", "none").parquet(path)
-        return blocks.sparkSession.read.parquet(path)
+        out = blocks.sparkSession.read.schema(_SCHEMA).parquet(path)
+        self._tasks = out.rdd.getNumPartitions()
+        return out
 
     def _opened(self):
-        """A function from a row of the table to labels, bins and margins with all trees so far."""
-        d, narrow, pending, missing = len(self.columns), self._narrow, list(self._pending), self.missing
-
-        def opened(row) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            y = np.frombuffer(row[0], np.int8)
-            bins = np.frombuffer(row[1], narrow).reshape(d, len(y))
-            margin = np.frombuffer(row[2], float).copy()
-            for tree in pending:
-                margin += np.array(tree.weight)[tree.leaves(bins, missing)]
-            return y, bins, margin
+        """A function from a row of the table to numbers of rows, labels summed up, bins and margins with all trees so far."""
+        d, narrow, missing = len(self.columns), self._narrow, self.missing
+        pending = [(np.array(tree.weight), Finder(tree, d, missing)) for tree in self._pending]
+
+        def opened(row) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+            n, y = (np.frombuffer(x, np.int64) for x in row[:2])
+            bins = np.frombuffer(row[2], narrow).reshape(d, len(y))
+            margin = np.frombuffer(row[3], float).copy()
+            for weight, finder in pending:
+                margin += weight[finder(bins)]
+            return n, y, bins, margin
 
         return opened
 
@@ -134,43 +185,69 @@ class SecondOrderBoosting:
             for batch in batches:
                 rows = [[c[r].as_py() for c in batch.columns] for r in range(batch.num_rows)]
                 for row in rows:
-                    yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (row[0], row[1], opened(row)[2].tobytes())], ["y", "bins", "margin"])
+                    yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (*row[:3], opened(row)[3].tobytes())], _NAMES)
 
-        out = self._stored(blocks.mapInArrow(run, "y binary, bins binary, margin binary"))
+        out = self._stored(blocks.mapInArrow(run, _SCHEMA))
         self._pending = []
         return out
 
     def _histograms(self, blocks: DataFrame, tree: Tree, nodes: list[int], used: np.ndarray) -> np.ndarray:
         """[node, column, bin, (gradient, curvature)] of the given nodes of a tree that is being grown."""
-        opened, missing = self._opened(), self.missing
+        opened, finder = self._opened(), Finder(tree, len(self.columns), self.missing)
         slot = np.full(len(tree.column), -1)
         slot[nodes] = np.arange(len(nodes))
-        shape = (len(nodes), len(used), missing + 1)
+        shape = (len(nodes), len(used), self.missing + 1)
         size = int(np.prod(shape))
 
         def run(batches):
             total = np.zeros((2, size), np.int64)
             for batch in batches:
                 for r in range(batch.num_rows):
-                    y, bins, margin = opened([c[r].as_py() for c in batch.columns])
-                    at = slot[tree.leaves(bins, missing)]
+                    n, y, bins, margin = opened([c[r].as_py() for c in batch.columns])
+                    at = slot[finder(bins)]
                     rows = np.flatnonzero(at >= 0)
                     p = 1 / (1 + np.exp(-margin[rows]))
-                    g, h = np.rint((p - y[rows]) * FINE), np.rint(p * (1 - p) * FINE)
+                    n = n[rows]
+                    g = n * np.rint(p * FINE).astype(np.int64) - y[rows] * FINE
+                    h = n * np.rint(p * (1 - p) * FINE).astype(np.int64)
+                    few = n.sum() < 1 << 22
                     for k, c in enumerate(used):
                         cell = (at[rows] * shape[1] + k) * shape[2] + bins[c, rows]
-                        total[0] += np.bincount(cell, g, size).astype(np.int64)  # exact: below 2^53 in a block
-                        total[1] += np.bincount(cell, h, size).astype(np.int64)
+                        for sums, v in zip(total, (g, h), strict=True):
+                            if few:
+                                sums += np.bincount(cell, v, size).astype(np.int64)  # exact: below 2^53 in a block
+                            else:
+                                sums += (np.bincount(cell, v >> 26, size).astype(np.int64) << 26) + np.bincount(cell, v & (1 << 26) - 1, size).astype(np.int64)
             some = np.flatnonzero(total[1])
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[0, some]), pa.array(total[1, some])], ["at", "g", "h"])
-
-        # sums of up to 2^33 rows' curvatures fit into a long, more into a decimal
-        whole = lambda c: F.sum(F.col(c).cast("decimal(38,0)"))
-        out = np.zeros((size, 2))
-        for at, g, h in blocks.mapInArrow(run, "at long, g long, h long").groupBy("at").agg(whole("g"), whole("h")).collect():
-            out[at] = int(g) / FINE, int(h) / FINE
+            # sums of up to 2^33 rows fit into a long; their halves are added up, so that more rows do not matter
+            halves = [half for v in total[:, some] for half in (v >> 32, v & (1 << 32) - 1)]
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (some, *halves)], ["at", *_HALVES])
+
+        sums = np.zeros((4, size), np.int64)
+        for part in self._added(blocks.mapInArrow(run, _SUMS), size).collect():
+            at, *halves = (np.frombuffer(x, np.int64) for x in part)
+            for total, half in zip(sums, halves, strict=True):
+                total[at] += half
+        out = np.stack([sums[0] * 2.0**32 + sums[1], sums[2] * 2.0**32 + sums[3]], 1) / FINE
         return out.reshape(*shape, 2)
 
+    def _added(self, sums: DataFrame, size: int) -> DataFrame:
+        """Sums of more than ``TASKS`` tasks are added up for groups of tasks."""
+        if self._tasks <= TASKS:
+            return sums
+
+        def add(batches):
+            total = np.zeros((4, size), np.int64)
+            for batch in batches:
+                for r in range(batch.num_rows):
+                    at, *halves = (np.frombuffer(c[r].as_py(), np.int64) for c in batch.columns)
+                    for one, half in zip(total, halves, strict=True):
+                        one[at] += half
+            some = np.flatnonzero(total.any(0))
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (some, *total[:, some])], ["at", *_HALVES])
+
+        return sums.repartition(max(1, math.isqrt(self._tasks))).mapInArrow(add, _SUMS)
+
     def _grow(self, blocks: DataFrame, used: np.ndarray) -> Tree:
         tree = Tree()
         known = {0: self._histograms(blocks, tree, [0], used)[0]}
@@ -183,9 +260,12 @@ class SecondOrderBoosting:
                 tree.weight[node] = -self.eta * g / (h + self.reg)
                 best = self._best(sums, g, h) if level < self.depth else None
                 if best is not None:
-                    gain, k, cut, side, lighter = best
-                    split.append((tree.split(node, gain, int(used[k]), cut, side), sums, lighter))
-            if not split:
+                    gain, k, cut, side, lighter, left = best
+                    pair = tree.split(node, gain, int(used[k]), cut, side)
+                    split.append((pair, sums, lighter))
+                    for child, (cg, ch) in zip(pair, (left, np.array([g, h]) - left), strict=True):
+                        tree.weight[child] = -self.eta * cg / (ch + self.reg)
+            if not split or level == self.depth - 1:
                 break
             asked = [pair[lighter] for pair, _, lighter in split]
             found = self._histograms(blocks, tree, asked, used)
@@ -195,8 +275,8 @@ class SecondOrderBoosting:
                 open_ += pair
         return tree
 
-    def _best(self, sums: np.ndarray, g: float, h: float) -> tuple[float, int, int, bool, int] | None:
-        """(gain, column, cut, missing to the left, side with less curvature) of the best split, or None."""
+    def _best(self, sums: np.ndarray, g: float, h: float) -> tuple[float, int, int, bool, int, np.ndarray] | None:
+        """(gain, column, cut, missing to the left, side with less curvature, sums of the left) of the best split, or None."""
         known, lost = sums[:, : self.missing], sums[:, self.missing]
         below = np.cumsum(known, axis=1)
         score = lambda a, b: a * a / (b + self.reg)
@@ -208,7 +288,7 @@ class SecondOrderBoosting:
             gain[(left[..., 1] < self.min_weight) | (right[..., 1] < self.min_weight)] = -np.inf
             k, cut = np.unravel_index(int(gain.argmax()), gain.shape)
             if gain[k, cut] > 1e-9 and (best is None or gain[k, cut] > best[0] + 1e-12):
-                best = (float(gain[k, cut]), int(k), int(cut), side, int(left[k, cut, 1] > right[k, cut, 1]))
+                best = (float(gain[k, cut]), int(k), int(cut), side, int(left[k, cut, 1] > right[k, cut, 1]), left[k, cut])
         return best
 
     def margins(self, values: Sequence[np.ndarray]) -> np.ndarray:

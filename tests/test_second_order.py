@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from given import SMALL
-from millrace.operators import evaluate
+from millrace.operators import evaluate, second_order
 from millrace.operators.second_order import SecondOrderBoosting
 from millrace.plans import catalog
 
@@ -104,3 +104,34 @@ def test_registered_query(spark):
 
     assert evaluate.auroc(got.join(risk(spark, SMALL), "o_orderkey"), "pd", "label").first()["auroc"] > 0.85
     assert got.where(~F.col("pd").between(0, 1)).count() == 0
+
+
+def test_passes_and_rows(spark, monkeypatch):
+    """A pass per level, none for the last leaves; equal rows are one, however many; sums of many tasks are added in a shuffle."""
+    many = spark.range(0, 6_300_000, 1, 8).select((F.col("id") % 3).cast("double").alias("a"), ((F.col("id") % 7 + F.col("id") % 3) > 4).cast("int").alias("label"))
+    fit = lambda: SecondOrderBoosting(["a"], trees=3, depth=2).fit(many)
+    rows = []
+    kept = SecondOrderBoosting._histograms
+    monkeypatch.setattr(SecondOrderBoosting, "_histograms", lambda self, blocks, *args: rows.append(blocks) or kept(self, blocks, *args))
+    model = fit()
+    assert len(rows) == 3 * 2
+    assert sum(len(r.n) // 8 for r in rows[0].collect()) == 3
+    y = np.array([[(i % 7 + i % 3) > 4 for i in range(v, 42, 3)] for v in range(3)]).mean(1)
+    gradient = (0.5 - y) * 2_100_000
+    weights = np.array(model.trees[0].weight)
+    assert weights[0] == pytest.approx(-0.3 * gradient.sum() / (1_575_000 + 1), rel=1e-9) and len(weights) == 5
+    ends = model.trees[0].leaves(np.array([[0, 1, 2]]), model.missing)
+    assert weights[ends] == pytest.approx(-0.3 * gradient / (525_000 + 1), rel=1e-9)
+    monkeypatch.setattr(second_order, "TASKS", 0)
+    assert fit().trees == model.trees
+
+
+def test_leaves_by_bits():
+    rng = np.random.default_rng(3)
+    for splits in (0, 1, 20, 63, 90):
+        tree = second_order.Tree()
+        for _ in range(splits):
+            ends = [i for i, c in enumerate(tree.column) if c < 0]
+            tree.split(int(rng.choice(ends)), 1.0, int(rng.integers(3)), int(rng.integers(9)), bool(rng.integers(2)))
+        bins = rng.integers(0, 11, (3, 500)).astype(np.uint8)
+        assert (second_order.Finder(tree, 3, 10)(bins) == tree.leaves(bins, 10)).all()
