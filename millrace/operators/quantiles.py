@@ -5,10 +5,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.running import running_totals
+
 _ACCURACY = 10_000
+_MANY = 64  # more order statistics are read from running counts: an expression for each would make plans too large
 
 
 def _valid(name: str):
@@ -40,7 +45,7 @@ def exact_quantiles(
     if big:
         position = {(c, p): p * (sizes[c] - 1) for c in big for p in probs}
         targets = {(c, math.floor(pos), math.ceil(pos)) for (c, _), pos in position.items()}
-        found = _order_statistics(df, targets, sizes, limit)
+        found = _order_statistics(df, targets, sizes, limit) if len(targets) <= _MANY else _by_running_counts(df, targets)
         for c in big:
             for j, p in enumerate(probs):
                 pos = position[(c, p)]
@@ -49,6 +54,28 @@ def exact_quantiles(
     return out
 
 
+def _by_running_counts(df, targets):
+    """Values at 0-based ranks, all in one go: equal values are counted once, their running counts say which ranks they hold."""
+    columns = sorted({t[0] for t in targets})
+    ranks = [np.array(sorted({r for t in targets if t[0] == c for r in t[1:]})) for c in columns]
+    long = df.select(F.posexplode(F.array(*[_valid(c) for c in columns])).alias("c", "v")).where(F.col("v").isNotNull())
+    run = running_totals(long.groupBy("c", "v").agg(F.count("*").alias("n")), "v", ["n"], by=["c"])
+
+    def held(batches):
+        for batch in batches:
+            which, v, n, upto = (x.to_numpy() for x in batch.columns)
+            for c in np.unique(which):
+                at = np.flatnonzero(which == c)
+                first, last = (np.searchsorted(ranks[c], x[at]) for x in (upto - n, upto))
+                some = last > first
+                out = np.concatenate([np.arange(a, b) for a, b in zip(first[some], last[some])] or [np.zeros(0, int)])
+                value = np.repeat(v[at[some]], (last - first)[some])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(out), c, np.int32)), pa.array(ranks[c][out].astype(np.int64)), pa.array(value)], ["c", "r", "v"])
+
+    counts = run.select("c", "v", "n", F.col("n_run").cast("long").alias("upto"))
+    return {(columns[c], r): v for c, r, v in counts.mapInArrow(held, "c int, r long, v double").collect()}
+
+
 def _order_statistics(df, targets, sizes, limit):
     """Values at 0-based ranks; a target (column, rank, rank or next) keeps one bracket for both."""
     found: dict = {}

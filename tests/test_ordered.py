@@ -83,3 +83,18 @@ def test_exact_quantiles_empty(spark):
 def test_exact_quantiles_property(spark, xs):
     df = spark.createDataFrame([(float(x),) for x in xs], "a double")
     np.testing.assert_allclose(exact_quantiles(df, ["a"], [0.3, 0.5], limit=3)["a"], np.quantile(xs, [0.3, 0.5]), atol=1e-9)
+
+
+def test_many_exact_quantiles_from_running_counts(spark, monkeypatch):
+    """Hundreds of order statistics are read in one go; an expression for each is no longer planned."""
+    from millrace.operators import quantiles
+
+    monkeypatch.setattr(quantiles, "_order_statistics", None)
+    rng = np.random.default_rng(6)
+    x = {"a": rng.normal(size=4000), "b": rng.integers(0, 9, 4000).astype(float)}
+    rows = [(*map(float, v),) for v in zip(*x.values(), strict=True)]
+    df = spark.createDataFrame([*rows, (None, float("nan"))], "a double, b double")
+    probs = [i / 256 for i in range(257)]
+    got = exact_quantiles(df, ["a", "b"], probs, limit=1000)
+    for c, v in x.items():
+        np.testing.assert_allclose(got[c], np.quantile(v, probs), atol=1e-12)
