@@ -145,8 +145,9 @@ class LogisticGrid:
                         rows_, use = at[lo : lo + 8192], np.flatnonzero(outs != f)
                         u, t = x[rows_], y[rows_][:, None]
                         margin = u @ raw[use].T
-                        p = 1 / (1 + np.exp(-np.clip(margin, -700, 700)))
-                        total[use, 0] += (np.logaddexp(0, margin) - t * margin).sum(0)
+                        small = np.exp(-np.abs(margin))  # one exponential and one logarithm for chances and losses
+                        p = np.where(margin < 0, small, 1.0) / (1 + small)
+                        total[use, 0] += np.log(1 + small).sum(0) + np.maximum(margin, 0).sum(0) - (t.T @ margin)[0]
                         total[use, 1 : d + 2] += (p - t).T @ u
                         total[use, d + 2 :] += (p * (1 - p)).T @ (u[:, pairs[:, 0]] * u[:, pairs[:, 1]])
             at = np.arange(total.size)
