@@ -185,47 +185,51 @@ def lloyd(values: DataFrame, subsets: int, ks: Sequence[int], wanted: Sequence[i
     return best
 
 
-def optimal_ranges(x: np.ndarray, w: np.ndarray, k: int) -> list[np.ndarray]:
-    """For 1..k clusters where each begins among the sorted distinct values ``x`` of weights ``w``, at least total cost.
+def _least(best: np.ndarray, cost, first: int, last: int, begin: int, most) -> tuple[np.ndarray, np.ndarray]:
+    """For the places ``first``..``last`` the least ``best[i] + cost(i, place)`` and its i, from ``begin`` up to ``most(place)``.
 
-    The best last cluster of a longer prefix never begins earlier, so a stage halves the prefixes level by level, and the
-    candidates of a level add up to about the number of values.
+    The best i of a later place is never an earlier one, so the places are halved level by level, and the candidates of a
+    level add up to about the number of places.
     """
-    n = len(x)
+    now, found = np.full(len(best), np.inf), np.zeros(len(best), int)
+    spans = [(first, last, begin, most(last))] if first <= last else []  # places lo..hi whose best is in a..b
+    while spans:
+        mid = np.array([(lo + hi) // 2 for lo, hi, _, _ in spans])
+        a = np.array([s[2] for s in spans])
+        b = np.minimum(np.array([s[3] for s in spans]), most(mid))
+        size = b - a + 1
+        start = np.cumsum(size) - size
+        i = np.arange(size.sum()) + np.repeat(a - start, size)
+        total = best[i] + cost(i, np.repeat(mid, size))
+        least = np.minimum.reduceat(total, start)
+        where = np.flatnonzero(total == np.repeat(least, size))
+        found[mid] = i[where[np.searchsorted(where, start)]]
+        now[mid] = least
+        spans = [
+            s
+            for (lo, hi, a, b), m in zip(spans, mid.tolist(), strict=True)
+            for s in ((lo, m - 1, a, int(found[m])), (m + 1, hi, int(found[m]), b))
+            if s[0] <= s[1]
+        ]
+    return now, found
+
+
+def _spread_of(sums: np.ndarray, i, j) -> np.ndarray:
+    """Sum of squared deviations of what lies in i..j-1 of running sums of (weight, value, square); 0 of nothing."""
+    n, s, q = (c[np.maximum(i, j)] - c[i] for c in sums)
+    return np.where(n > 0, q - s * s / np.where(n > 0, n, 1), 0.0)
+
+
+def _best_begins(sums: np.ndarray, k: int) -> list[np.ndarray]:
+    """For 1..k clusters where each begins, at least total cost, from running sums over what is not divided."""
+    n = sums.shape[1] - 1
     k = min(k, n)
-    y = x - np.average(x, weights=w)
-    sw, sy, sq = (np.concatenate([[0.0], np.cumsum(a)]) for a in (w, w * y, w * y * y))
-
-    def cost(i, j):
-        """Of one cluster of the values i..j-1."""
-        m = sw[j] - sw[i]
-        return sq[j] - sq[i] - (sy[j] - sy[i]) ** 2 / m
-
+    cost = lambda i, j: _spread_of(sums, i, j)
     best = np.full(n + 1, np.inf)
     best[1:] = cost(np.zeros(n, int), np.arange(1, n + 1))
     begins = [np.zeros(n + 1, int)]
     for stage in range(2, k + 1):
-        now, begin = np.full(n + 1, np.inf), np.zeros(n + 1, int)
-        spans = [(stage, n, stage - 1, n - 1)]  # prefixes lo..hi whose last cluster begins in a..b
-        while spans:
-            mid = np.array([(lo + hi) // 2 for lo, hi, _, _ in spans])
-            a = np.array([s[2] for s in spans])
-            b = np.minimum(np.array([s[3] for s in spans]), mid - 1)
-            size = b - a + 1
-            start = np.cumsum(size) - size
-            i = np.arange(size.sum()) + np.repeat(a - start, size)
-            total = best[i] + cost(i, np.repeat(mid, size))
-            least = np.minimum.reduceat(total, start)
-            where = np.flatnonzero(total == np.repeat(least, size))
-            begin[mid] = i[where[np.searchsorted(where, start)]]
-            now[mid] = least
-            spans = [
-                s
-                for (lo, hi, a, b), m in zip(spans, mid.tolist(), strict=True)
-                for s in ((lo, m - 1, a, int(begin[m])), (m + 1, hi, int(begin[m]), b))
-                if s[0] <= s[1]
-            ]
-        best = now
+        best, begin = _least(best, cost, stage, n, stage - 1, lambda mid: mid - 1)
         begins.append(begin)
     out = []
     for clusters in range(1, k + 1):
@@ -237,25 +241,50 @@ def optimal_ranges(x: np.ndarray, w: np.ndarray, k: int) -> list[np.ndarray]:
     return out
 
 
+def _running(*columns: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros((len(columns), 1)), np.cumsum(np.stack(columns), axis=1)], 1)
+
+
+def optimal_ranges(x: np.ndarray, w: np.ndarray, k: int) -> list[np.ndarray]:
+    """For 1..k clusters where each begins among the sorted distinct values ``x`` of weights ``w``, at least total cost."""
+    y = x - np.average(x, weights=w)
+    return _best_begins(_running(w, w * y, w * y * y), k)
+
+
+def cut_bounds(sums: np.ndarray, places: np.ndarray, single: np.ndarray, k: int) -> np.ndarray:
+    """At each of the ``places`` a bound that the cost of ``k`` clusters does not fall below if one of them ends there.
+
+    ``sums`` are running sums over ranges of values. A range of a ``single`` value ends a cluster as a whole. Of another one
+    it is not known which values belong to the cluster; it is left out of both, which never costs more.
+    """
+    n, begin, end = sums.shape[1] - 1, places + 1, places + single
+    between = lambda i, j: _spread_of(sums, begin[i], end[j])
+    last = len(places) - 1
+    left = [_spread_of(sums, np.zeros(len(places), int), end)]
+    right = [_spread_of(sums, begin, np.full(len(places), n))]
+    for _ in range(k - 2):
+        left.append(_least(left[-1], between, 0, last, 0, lambda mid: mid)[0])
+        back = lambda i, j: between(last - j, last - i)
+        right.append(_least(right[-1][::-1], back, 0, last, 0, lambda mid: mid)[0][::-1])
+    return np.min([a + b for a, b in zip(left, right[::-1], strict=True)], axis=0)
+
+
+_RANGES = 20_000  # ranges that a round of bounds begins with
+
+
 def optimum(values: DataFrame, ks: Sequence[int], limit: int = 200_000) -> dict[int, Model]:
-    """The model of least cost per k, over the rows of the first subset.
+    """The model of least cost per k, over the rows of the first subset; exact at any number of values.
 
-    Up to ``limit`` distinct values the optimum is exact. More are first merged into ``limit`` ranges of similar weight; the
-    optimum over their means then is the start of rounds over all values.
+    Up to ``limit`` distinct values are solved at once. More are first cut into ranges. The best clusters that end with a
+    range cost no less than the optimum, and ``cut_bounds`` tells in which ranges a cluster of the optimum may end; only
+    those are cut further, until each of them is a single value.
     """
     used = values.select("x", F.get("w", F.lit(0)).alias("w")).where("w > 0")
-    exact = used.count() <= limit
-    if not exact:
-        edges = used.agg(F.percentile_approx("x", [i / limit for i in range(1, limit)], 10 * limit).alias("e")).first()["e"]
-        edges = np.unique(np.array(edges))
+    total = used.agg(F.count("*"), F.sum("w"), F.sum(F.col("x") * F.col("w"))).first()
+    return _optimum_at_once(used, ks) if total[0] <= limit else _optimum_by_bounds(used, ks, limit, total[0], total[2] / total[1])
 
-        def part(batches):
-            for batch in batches:
-                yield pa.RecordBatch.from_arrays([pa.array(np.searchsorted(edges, batch.column(0).to_numpy(), "right")), *batch.columns], ["part", "x", "w"])
-
-        ranges = used.mapInArrow(part, "part long, x double, w double").groupBy("part")
-        used = ranges.agg((F.sum(F.col("x") * F.col("w")) / F.sum("w")).alias("x"), F.sum("w").alias("w")).drop("part")
 
+def _optimum_at_once(used: DataFrame, ks: Sequence[int]) -> dict[int, Model]:
     schema = pa.schema([("k", pa.int64()), ("centres", pa.list_(pa.float64())), ("cost", pa.float64())])
 
     def solve(table: pa.Table) -> pa.Table:
@@ -271,7 +300,93 @@ def optimum(values: DataFrame, ks: Sequence[int], limit: int = 200_000) -> dict[
         return pa.Table.from_pylist([dict(zip(("k", "centres", "cost"), r, strict=True)) for r in rows], schema)
 
     found = used.withColumn("all", F.lit("all")).groupBy("all").applyInArrow(solve, "k long, centres array<double>, cost double").collect()
-    models = {r["k"]: Model(0, np.array(r["centres"]), r["cost"]) for r in found}
-    if not exact:
-        settle(values, list(models.values()), 1, 100)
-    return models
+    return {r["k"]: Model(0, np.array(r["centres"]), r["cost"]) for r in found}
+
+
+def _after(x: np.ndarray) -> np.ndarray:
+    return np.nextafter(x, np.inf)
+
+
+def _optimum_by_bounds(used: DataFrame, ks: Sequence[int], limit: int, count: int, shift: float) -> dict[int, Model]:
+    ranges, lo, hi = min(limit, _RANGES), np.array([-np.inf]), np.array([np.inf])  # lo..hi: where a cluster may end
+    while True:
+        inner = used.mapInArrow(_inside(lo, _after(hi)), "x double, w double")
+        if count <= max(limit, ranges):
+            x = inner.select("x").toArrow().column("x").to_numpy()
+            edges = np.unique(np.concatenate([lo, _after(hi), x, _after(x)]))
+        else:
+            x = inner.agg(F.percentile_approx("x", [i / ranges for i in range(1, ranges)], 10 * ranges).alias("e")).first()["e"]
+            edges = np.unique(np.concatenate([lo, _after(hi), x]))
+        at = np.searchsorted(lo, edges, "right") - 1
+        may_end = np.r_[False, (at >= 0) & (edges < _after(hi)[np.maximum(at, 0)])]  # by range; range i lies below edge i
+        parts = used.mapInArrow(_range_sums(edges, shift), "part long, n double, s double, q double, c long, low double, high double").groupBy("part")
+        parts = parts.agg(*[F.sum(x).alias(x) for x in "nsqc"], F.min("low").alias("low"), F.max("high").alias("high"))
+        solved = parts.select(F.lit("all").alias("all"), "*").groupBy("all").applyInArrow(_bounded(may_end, ks, shift), "k long, data array<double>, more array<double>, left long")
+        found = {r["k"]: r for r in solved.collect()}
+        rest = found.pop(0)
+        if not rest["left"]:
+            return {k: Model(0, np.array(r["data"]), r["more"][0]) for k, r in found.items()}
+        if rest["left"] > count / 2:
+            ranges *= 4  # too many ranges of this width are left
+        count, lo, hi = rest["left"], np.array(rest["data"]), np.array(rest["more"])
+
+
+def _range_sums(edges: np.ndarray, shift: float):
+    """A function for mapInArrow: per range between edges the running columns, the number of values, the least and the greatest."""
+
+    def run(batches):
+        for batch in batches:
+            x, w = (batch.column(c).to_numpy() for c in (0, 1))
+            part, own = np.unique(np.searchsorted(edges, x, "right"), return_inverse=True)
+            y = x - shift
+            low, high = np.full(len(part), np.inf), np.full(len(part), -np.inf)
+            np.minimum.at(low, own, x)
+            np.maximum.at(high, own, x)
+            sums = [np.bincount(own, c, len(part)) for c in (w, w * y, w * y * y)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (part, *sums, np.bincount(own, minlength=len(part)), low, high)], ["part", "n", "s", "q", "c", "low", "high"])
+
+    return run
+
+
+def _bounded(may_end: np.ndarray, ks: Sequence[int], shift: float):
+    """A function for applyInArrow over all ranges: the best clusters that end with a range, per k their centres and cost; at
+    k 0 least and greatest value of the ranges in which a cluster may yet end, and how many values these have, 0 if the
+    clusters are the optimum."""
+    schema = pa.schema([("k", pa.int64()), ("data", pa.list_(pa.float64())), ("more", pa.list_(pa.float64())), ("left", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("part")
+        part, n, s, q, c, low, high = (table.column(x).to_numpy() for x in ("part", "n", "s", "q", "c", "low", "high"))
+        may = may_end[part]
+        together = np.cumsum(may) - may  # ranges up to one in which a cluster may end
+        joined, sums, places = _running(*(np.bincount(together, x) for x in (n, s, q))), _running(n, s, q), np.flatnonzero(may)
+        slack = 1e-10 * float(_spread_of(sums, np.array([0]), np.array([len(n)]))[0])
+        rows, kept = [], np.zeros(len(places), bool)
+        for k, begin in enumerate(_best_begins(joined, max(ks)), 1):
+            if k in ks:
+                end = np.r_[begin[1:], joined.shape[1] - 1]
+                weight, total, _ = joined[:, end] - joined[:, begin]
+                cost = float(_spread_of(joined, begin, end).sum())
+                rows.append((k, (total / weight + shift).tolist(), [cost], 0))
+                if k > 1:
+                    kept |= cut_bounds(sums, places, c[places] == 1, k) <= cost + slack
+        if len(rows) < len(set(ks)):
+            kept[:] = True  # fewer ranges than clusters
+        kept = places[kept]
+        left = int(c[kept].sum()) if (c[kept] > 1).any() else 0
+        rows.append((0, low[kept].tolist(), high[kept].tolist(), left))
+        return pa.Table.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows], schema)
+
+    return run
+
+
+def _inside(lo: np.ndarray, end: np.ndarray):
+    """A function for mapInArrow that keeps the rows whose first column lies in one of the ranges from ``lo`` to before ``end``."""
+
+    def run(batches):
+        for batch in batches:
+            x = batch.column(0).to_numpy()
+            at = np.searchsorted(lo, x, "right") - 1
+            yield batch.filter(pa.array((at >= 0) & (x < end[np.maximum(at, 0)])))
+
+    return run

@@ -104,3 +104,27 @@ def test_exact_groups_need_enough_values(spark):
 def test_registered_search_runs_its_whole_settings(spark):
     rows = catalog.queries()["C2_best_k"](spark, SMALL).collect()
     assert [r.k for r in rows] == [2, 3, 4, 5, 6, 7] and sum(r.chosen for r in rows) == 1
+
+
+def test_optimum_of_more_values_than_the_limit(spark):
+    """Gamma values with a heavy end: clusters of merged ranges lead to a model that costs up to a fifth more (k 3)."""
+    x = np.unique(np.round(np.random.default_rng(1).gamma(0.3, 50, 400), 3))
+    values = lloyd.value_table(spark.createDataFrame([(float(v),) for v in x], "x double").repartition(3), F.col("x"), [F.lit(1)]).persist()
+    exact = lloyd.optimum(values, [1, 2, 3, 5])
+    for limit in (2, 12, 100):
+        found = lloyd.optimum(values, [1, 2, 3, 5], limit=limit)
+        for k, want in exact.items():
+            assert found[k].cost == pytest.approx(want.cost, rel=1e-9) and found[k].centres == pytest.approx(want.centres)
+
+
+def test_bounds_of_cuts_are_no_more_than_any_cost():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        n, k = int(rng.integers(6, 12)), int(rng.integers(2, 5))
+        x, w = np.sort(rng.choice(300, n, replace=False)).astype(float), rng.integers(1, 5, n).astype(float)
+        own = np.unique(np.sort(rng.integers(0, n, n)), return_inverse=True)[1]
+        sums, size = lloyd._running(*(np.bincount(own, c) for c in (w, w * x, w * x * x))), np.bincount(own)
+        got = lloyd.cut_bounds(sums, np.arange(len(size)), size == 1, k)
+        for cuts in combinations(range(1, n), k - 1):
+            total = sum(cost(x[a:b], w[a:b]) for a, b in zip((0, *cuts), (*cuts, n), strict=True))
+            assert all(got[own[c - 1]] <= total + 1e-6 for c in cuts)
