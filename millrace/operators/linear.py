@@ -16,8 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.operators.running import running_totals
-
 
 @dataclass
 class Fit:
@@ -145,9 +143,9 @@ class LogisticGrid:
                         rows_, use = at[lo : lo + 8192], np.flatnonzero(outs != f)
                         u, t = x[rows_], y[rows_][:, None]
                         margin = u @ raw[use].T
-                        small = np.exp(-np.abs(margin))  # one exponential and one logarithm for chances and losses
+                        small = np.exp(-np.abs(margin))  # one exponential for chances and losses
                         p = np.where(margin < 0, small, 1.0) / (1 + small)
-                        total[use, 0] += np.log(1 + small).sum(0) + np.maximum(margin, 0).sum(0) - (t.T @ margin)[0]
+                        total[use, 0] += _log_sums(1 + small) + np.maximum(margin, 0).sum(0) - (t.T @ margin)[0]
                         total[use, 1 : d + 2] += (p - t).T @ u
                         total[use, d + 2 :] += (p * (1 - p)).T @ (u[:, pairs[:, 0]] * u[:, pairs[:, 1]])
             at = np.arange(total.size)
@@ -190,6 +188,13 @@ class LogisticGrid:
         return rows.mapInArrow(run, schema)
 
 
+def _log_sums(x: np.ndarray) -> np.ndarray:
+    """Column sums of the logarithms of numbers from 1 to 2; products of 512 of them are far from the largest double."""
+    whole = len(x) // 512 * 512
+    parts = np.multiply.reduce(x[:whole].reshape(-1, 512, x.shape[1]), axis=1)
+    return np.log(parts).sum(0) + np.log(x[whole:]).sum(0)
+
+
 def _newton_step(g: np.ndarray, h: np.ndarray, b: np.ndarray, lasso: float) -> np.ndarray:
     """Least point of the quadratic model plus ``lasso`` |b| (not of the intercept, which is last), less ``b``."""
     d = len(b) - 1
@@ -215,16 +220,80 @@ def _newton_step(g: np.ndarray, h: np.ndarray, b: np.ndarray, lasso: float) -> n
     return step
 
 
-def fold_aurocs(scored: DataFrame, label: str, models: int) -> list[dict[int, float]]:
-    """Per setting the exact AUROC of every fold, all in one go; ``scored`` has ``fold``, the label and ``scores``."""
-    y = F.col(label).cast("int")
-    long = scored.select("fold", y.alias("y"), F.posexplode("scores").alias("m", "s"))
-    counts = long.groupBy("fold", "m", "s").agg(F.sum("y").alias("pos"), F.sum(1 - F.col("y")).alias("neg"))
-    run = running_totals(counts, "s", ["neg"], by=["fold", "m"])
-    wins = F.sum(F.col("pos") * (F.col("neg_run") - F.col("neg") / 2.0))
-    rows = run.groupBy("fold", "m").agg((wins / F.nullif(F.sum("pos").cast("double") * F.sum("neg"), F.lit(0.0))).alias("a")).collect()
+def fold_aurocs(scored: DataFrame, label: str, models: int, bucket_rows: int = 4_000_000) -> list[dict[int, float]]:
+    """Per setting the exact AUROC of every fold, all in one go; ``scored`` has ``fold``, the label and ``scores``.
+
+    Tasks send the distinct scores of a fold, a setting and a class as one sorted list. Above ``bucket_rows`` rows the scores
+    of a setting are cut at about equal shares, and pairs of different parts are counted from the sizes of these.
+    """
+    rows = scored.select(F.col("fold").cast("int").alias("fold"), F.col(label).cast("int").alias("y"), "scores").where("fold IS NOT NULL AND y IS NOT NULL")
+    buckets = -(-rows.count() // bucket_rows)
+    cuts = _score_cuts(rows, models, buckets) if buckets > 1 else np.zeros((models, 0))
+
+    def lists(batches):
+        for fold, y, scores in _slices(batches, models):
+            for f in np.unique(fold):
+                for positive in (0, 1):
+                    mine = scores[(fold == f) & (y == positive)]
+                    out = []
+                    for m in range(models):
+                        some, n = np.unique(mine[:, m], return_counts=True)
+                        ends = np.r_[0, np.searchsorted(some, cuts[m], "left"), len(some)]
+                        out += [(m, b, some[i:j].tobytes(), n[i:j].astype(np.int64).tobytes() if n[i:j].max() > 1 else b"") for b, (i, j) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if i < j]
+                    if out:
+                        m, b, some, n = zip(*out, strict=True)
+                        yield pa.RecordBatch.from_arrays([pa.array([int(f)] * len(out), pa.int32()), pa.array(m, pa.int32()), pa.array(b, pa.int32()), pa.array([positive] * len(out), pa.int32()), pa.array(some, pa.binary()), pa.array(n, pa.binary())], ["fold", "m", "bucket", "y", "some", "n"])
+
+    def wins(table: pa.Table) -> pa.Table:
+        sides = []
+        for positive in (0, 1):
+            own = [(np.frombuffer(x), n) for y, x, n in zip(*(table.column(c).to_pylist() for c in ("y", "some", "n")), strict=True) if y == positive]
+            sides.append((np.concatenate([np.zeros(0), *(x for x, _ in own)]), np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(n, np.int64) if n else np.ones(len(x), np.int64) for x, n in own)])))
+        (neg, neg_n), (pos, pos_n) = sides
+        order = np.argsort(neg)
+        neg, below = neg[order], np.r_[0, np.cumsum(neg_n[order])]
+        twice = int((pos_n * (below[np.searchsorted(neg, pos, "left")] + below[np.searchsorted(neg, pos, "right")])).sum())
+        return table.select(["fold", "m", "bucket"]).slice(0, 1).append_column("pos", pa.array([int(pos_n.sum())])).append_column("neg", pa.array([int(neg_n.sum())])).append_column("twice", pa.array([twice]))
+
+    sent = rows.mapInArrow(lists, "fold int, m int, bucket int, y int, some binary, n binary")
+    found: dict[tuple[int, int], list] = {}
+    for r in sent.groupBy("fold", "m", "bucket").applyInArrow(wins, "fold int, m int, bucket int, pos long, neg long, twice long").collect():
+        found.setdefault((r["m"], r["fold"]), []).append((r["bucket"], r["pos"], r["neg"], r["twice"]))
     out: list[dict[int, float]] = [{} for _ in range(models)]
-    for r in rows:
-        if r["a"] is not None:
-            out[r["m"]][r["fold"]] = r["a"]
+    for (m, fold), parts in found.items():
+        below = pos = total = 0
+        for _, p, n, twice in sorted(parts):
+            total += twice + 2 * p * below
+            below, pos = below + n, pos + p
+        if pos and below:
+            out[m][fold] = total / 2 / (pos * below)
     return out
+
+
+def _slices(batches, models: int, size: int = 1 << 16):
+    """(folds, labels, matrix of scores) of about ``size`` rows each."""
+    held, n = [], 0
+    for batch in batches:
+        held, n = [*held, batch], n + batch.num_rows
+        if n >= size:
+            yield _matrices(held, models)
+            held, n = [], 0
+    if n:
+        yield _matrices(held, models)
+
+
+def _matrices(held, models: int):
+    fold, y = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in (0, 1))
+    return fold, y, np.concatenate([b.column(2).flatten().to_numpy(zero_copy_only=False) for b in held]).reshape(-1, models)
+
+
+def _score_cuts(rows: DataFrame, models: int, buckets: int) -> np.ndarray:
+    """Per setting about where its scores are cut into ``buckets`` equal shares: medians of what slices of the rows tell."""
+
+    def shares(batches):
+        for _, _, scores in _slices(batches, models):
+            at = (np.arange(1, buckets) * len(scores)) // buckets
+            yield pa.RecordBatch.from_arrays([pa.array([np.sort(scores, axis=0)[at].T.tobytes()], pa.binary())], ["at"])
+
+    found = [np.frombuffer(r["at"]).reshape(models, buckets - 1) for r in rows.mapInArrow(shares, "at binary").collect()]
+    return np.sort(np.median(found, axis=0), axis=1)

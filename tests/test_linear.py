@@ -78,3 +78,27 @@ def test_registered_grid(spark):
     assert len(got) == 40 and got[0].mean_auroc > 0.8 and all(0 <= r.std_auroc < 0.3 for r in got)
     folds = {r.fold: r.auroc for r in catalog.queries()["E6_cross_validation"](spark, SMALL).collect()}
     assert folds[-1] == pytest.approx(sum(folds[i] for i in range(5)) / 5)
+
+
+def test_aurocs_of_parts_are_those_of_the_whole(spark):
+    """Ties within and between classes, a constant score, and a fold of one class; any number of parts gives the same."""
+    rng = np.random.default_rng(7)
+    n = 3000
+    fold, y = rng.integers(0, 3, n), rng.integers(0, 2, n)
+    y[fold == 2] = 1
+    scores = np.stack([np.round(rng.normal(size=n) + y, 1), np.full(n, 0.5), rng.random(n)], 1)
+    df = spark.createDataFrame([(int(f), int(v), [float(x) for x in s]) for f, v, s in zip(fold, y, scores, strict=True)] + [(0, None, [0.1, 0.1, 0.1])], "fold int, label int, scores array<double>").repartition(4)
+    for size in (10_000, 700, 100):
+        got = linear.fold_aurocs(df, "label", 3, bucket_rows=size)
+        for m in range(3):
+            assert set(got[m]) == {0, 1}
+            for f in (0, 1):
+                pos, neg = (scores[(fold == f) & (y == c), m] for c in (1, 0))
+                want = ((pos[:, None] > neg).sum() + (pos[:, None] == neg).sum() / 2) / (len(pos) * len(neg))
+                assert got[m][f] == pytest.approx(want, abs=1e-12)
+
+
+def test_log_sums():
+    x = 1 + np.random.default_rng(3).random((1700, 4))
+    assert linear._log_sums(x) == pytest.approx(np.log(x).sum(0), rel=1e-14)
+    assert linear._log_sums(np.full((512, 1), 2.0))[0] == pytest.approx(512 * np.log(2))
