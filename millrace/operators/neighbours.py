@@ -28,15 +28,8 @@ def _distances(block: np.ndarray, q: np.ndarray, p: int) -> np.ndarray:
     return np.abs(diff).sum(axis=1) if p == 1 else np.sqrt((diff * diff).sum(axis=1))
 
 
-def _rough(queries: np.ndarray, points: np.ndarray, p: int) -> tuple[np.ndarray, float]:
-    """All distances (squares of them for ``p`` = 2) of two matrices, and a bound of their rounding errors."""
-    if p == 1:
-        out, one = np.zeros((len(queries), len(points))), np.empty((len(queries), len(points)))
-        for a, b in zip(queries.T, points.T, strict=True):
-            np.subtract(a[:, None], b[None, :], out=one)
-            out += np.abs(one, out=one)
-        size = np.abs(queries).max(initial=0) + np.abs(points).max(initial=0)
-        return out, 1e-14 * size * queries.shape[1] ** 2
+def _rough(queries: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, float]:
+    """All squares of distances of two matrices, and a bound of their rounding errors."""
     a, b = (queries * queries).sum(1), (points * points).sum(1)
     out = queries @ points.T
     out *= -2
@@ -45,6 +38,49 @@ def _rough(queries: np.ndarray, points: np.ndarray, p: int) -> tuple[np.ndarray,
     return out, 1e-14 * (a.max(initial=0) + b.max(initial=0)) * max(1, queries.shape[1])
 
 
+class _Steps:
+    """Lower bounds of sums of absolute differences by matrix products.
+
+    A coordinate is cut at ``levels`` and written as its share in each part. The difference of two values is the sum of what
+    they differ by in the parts; its square over the width of a part is no more than that, and sums of squares are products.
+    """
+
+    def __init__(self, points: np.ndarray):
+        parts = max(1, min(16, 1024 // points.shape[1]))
+        some = np.nan_to_num(points[:: max(1, len(points) // 1024)], posinf=0, neginf=0)
+        levels = np.quantile(some, np.linspace(0, 1, parts + 1), axis=0)
+        self.low, self.width = levels[:-1], np.diff(levels, axis=0)
+        self.scale = np.divide(1, np.sqrt(self.width), out=np.zeros_like(self.width), where=self.width > 0)
+        self.points, self.sizes = self._shares(points)
+
+    def _shares(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        parts = [np.clip(rows - a, 0, w) * s for a, w, s in zip(self.low, self.width, self.scale, strict=True)]
+        out = np.concatenate(parts, axis=1, dtype=np.float32)
+        return out, np.einsum("ij,ij->i", out, out)
+
+    def least(self, queries: np.ndarray) -> tuple[np.ndarray, float]:
+        """A matrix that no distance falls below by more than the second value, which is for rounding."""
+        mine, sizes = self._shares(queries)
+        out = mine @ self.points.T
+        out *= -2
+        out += sizes[:, None]
+        out += self.sizes[None, :]
+        return out, 1.2e-7 * (2 * mine.shape[1] + 64) * float(np.nanmax(sizes, initial=0) + np.nanmax(self.sizes, initial=0))
+
+
+def _not_farther(least: np.ndarray, error: float, queries: np.ndarray, points: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a superset of the ``need`` points of least absolute differences: distances of those with the least bounds
+    tell how far the others may be."""
+    n = least.shape[1]
+    if need >= n:
+        return np.nonzero(np.ones(least.shape, bool))
+    few = min(n, 2 * need + 8)
+    to = np.argpartition(least, few - 1, axis=1)[:, :few]
+    d = _distances(points[to.reshape(-1)], np.repeat(queries, few, axis=0), 1).reshape(to.shape)
+    limit = np.partition(d, need - 1, axis=1)[:, need - 1]
+    return np.nonzero(~(least > (limit * (1 + _SLACK) + error)[:, None]))  # what cannot be compared is looked at exactly
+
+
 def _likely(rough: np.ndarray, error: float, need: int) -> tuple[np.ndarray, np.ndarray]:
     """Places (row, column) of a superset of the ``need`` least of every row."""
     n = rough.shape[1]
@@ -61,11 +97,10 @@ def _closest(qids: np.ndarray, queries: np.ndarray, pids: np.ndarray, points: np
     """(query id, point id, distance) of the ``k`` nearest points of every query, ties by point id."""
     need = k + int(np.unique(pids, return_counts=True)[1].max()) if exclude_self else k
     rows = max(1, _TILE // len(points))
-    # distances of one by one are added up where they stay in the cache
-    rows = max(1, min(rows, 32)) if p == 1 else rows
+    steps = _Steps(points) if p == 1 and need < len(points) else None
     for lo in range(0, len(queries), rows):
         mine = queries[lo : lo + rows]
-        at, to = _likely(*_rough(mine, points, p), need)
+        at, to = _likely(*_rough(mine, points), need) if steps is None else _not_farther(*steps.least(mine), mine, points, need)
         d = np.empty(len(at))
         for i in range(0, len(at), 1 << 15):
             part = slice(i, i + (1 << 15))

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from millrace.operators import sampling, similarity
+from millrace.operators import neighbours, sampling, similarity
 from millrace.operators.neighbours import nearest
 
 
@@ -94,3 +94,23 @@ def test_copies_keep_the_order_of_ids(spark):
     out = nearest(df.withColumnRenamed("id", "q"), df.withColumnRenamed("id", "t"), 4, "q", "t", exclude_self=True, block=7).collect()
     for i in (0, 1, 39, 40, 79):
         assert [r["t"] for r in sorted((r for r in out if r["q"] == i), key=lambda r: r["rank"])] == _brute(x[i], x, 4, 2, skip=i)
+
+
+def test_bounds_of_absolute_differences():
+    """Bounds by products are no more than the distances; odd values are looked at."""
+    rng = np.random.default_rng(6)
+    points, queries = rng.normal(size=(3000, 24)), rng.normal(size=(40, 24))
+    points[:500] = np.round(points[:500])
+    points[:, 3] = 7.0
+    queries[:5] = points[:5]
+    least, error = neighbours._Steps(points).least(queries)
+    exact = np.abs(queries[:, None] - points[None]).sum(2)
+    assert (least <= exact + error).all()
+    at, to = neighbours._not_farther(least, error, queries, points, 5)
+    seen = np.zeros(exact.shape, bool)
+    seen[at, to] = True
+    assert seen[exact <= np.partition(exact, 4, axis=1)[:, 4:5]].all() and seen.mean() < 0.6
+    points[7], points[8, 0] = np.nan, np.inf
+    found = [np.concatenate(x) for x in zip(*neighbours._closest(np.arange(40), queries, np.arange(3000), points, 3, 1, False), strict=True)]
+    exact = np.where(np.isnan(points).any(1), np.inf, np.abs(queries[:, None] - points[None]).sum(2))
+    assert found[2].reshape(40, 3) == pytest.approx(np.sort(exact, axis=1)[:, :3])
