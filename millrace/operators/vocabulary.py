@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,9 @@ from millrace.runtime import cut_lineage, shuffle_width
 
 _HOT = 64
 _SLICE = 1 << 20  # tokens that are looked at together
-_VECTORS = 1 << 17  # word vectors that a task holds
+_VECTORS = 1 << 18  # word vectors that a task holds
+_SHARE = 8  # shuffle partitions for each copy of the vectors
+_CODEC = pa.Codec("zstd")
 
 
 def token_slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 0) -> Iterator[tuple[pa.RecordBatch, pa.DictionaryArray, np.ndarray]]:
@@ -49,6 +52,29 @@ def row_terms(df: DataFrame, key: str, tokens: Column) -> DataFrame:
     return keyed.mapInArrow(count, f"key {keyed.schema['key'].dataType.simpleString()}, term string, n long").withColumnRenamed("key", key)
 
 
+def packed(x: np.ndarray) -> bytes:
+    """A compressed array; whole numbers in as few bytes as hold them."""
+    if x.dtype.kind == "i":
+        x = x.astype(np.min_scalar_type(int(x.max(initial=0))))
+    raw = x.tobytes()
+    return x.dtype.char.encode() + len(raw).to_bytes(8, "big") + _CODEC.compress(raw, asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(_CODEC.decompress(data[9:], int.from_bytes(data[1:9], "big"), asbytes=True), data[:1].decode())
+
+
+def packed_texts(texts: pa.StringArray) -> tuple[bytes, bytes]:
+    """Lengths and letters of texts that are not null."""
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(texts)], pa.int32()), texts.cast(pa.binary())), b"")[0].as_py() if len(texts) else b""
+    return packed(pc.binary_length(texts).to_numpy().astype(np.int64)), packed(np.frombuffer(joined, np.uint8))
+
+
+def unpacked_texts(sizes: bytes, letters: bytes) -> pa.StringArray:
+    ends = np.cumsum(np.r_[0, unpacked(sizes).astype(np.int64)]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(ends) - 1, pa.py_buffer(ends), pa.py_buffer(unpacked(letters)))
+
+
 def lookup(left: DataFrame, right: DataFrame, key: str, counts: DataFrame, how: str = "inner") -> DataFrame:
     """Join long rows to a table with one row per key, frequent keys apart from the rest.
 
@@ -158,15 +184,41 @@ def document_vectors(df: DataFrame, key: str, tokens: Column, vectors: DataFrame
     zero vector.
 
     The vectors are dealt over blocks of ``_VECTORS`` by word and meet the words of a part of the documents there, so what is
-    sent on is one sum per document and block, not a vector per word.
+    sent on is one sum per document and block, not a vector per word. Texts are sent in slices, each word once, as bytes.
     """
-    terms = row_terms(df, key, tokens)
-    own = vectors.select("word", F.col("vector").cast("array<double>").alias("v"))
+    kind = dict(vectors.dtypes)["vector"] if dict(vectors.dtypes)["vector"] == "array<float>" else "array<double>"
+    own = vectors.select("word", F.col("vector").cast(kind).alias("v"))
     blocks = max(1, math.ceil(own.count() / _VECTORS))
-    parts = max(1, shuffle_width(df.sparkSession) // blocks)
-    hashed = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-    left = terms.select(hashed("term", blocks).alias("block"), hashed(key, parts).alias("part"), F.col(key).alias("key"), "term", "n")
-    right = own.select(hashed("word", blocks).alias("block"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), "word", "v")
+    # every part gets a copy of the vectors, so there are no more parts than the cores need or the texts fill
+    parts = max(1, math.ceil(2 * df.sparkSession.sparkContext.defaultParallelism / blocks), shuffle_width(df.sparkSession) // (_SHARE * blocks))
+    keyed = df.select(F.col(key).alias("key"), tokens.alias("t"), F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias("part"))
+    key_type = keyed.schema["key"].dataType.simpleString()
+
+    def send(batches):
+        """A row per slice of the texts and block: the keys, and as bytes the row, the word and the number of each entry, and the words."""
+        for rows, words, row in token_slices(batches, 1):
+            texts, n_texts = words.dictionary.cast(pa.string()), max(1, len(words.dictionary))
+            both, n = np.unique(row * n_texts + words.indices.to_numpy(), return_counts=True)
+            row, word = both // n_texts, both % n_texts
+            block = (pd.util.hash_array(texts.to_numpy(zero_copy_only=False), categorize=False) % np.uint64(blocks)).astype(np.int64) if len(texts) else np.zeros(0, np.int64)
+            for b in np.unique(block[word]):
+                mine = block[word] == b
+                some, at = np.unique(word[mine], return_inverse=True)
+                there, of = np.unique(row[mine], return_inverse=True)
+                data = [packed(x) for x in (of.astype(np.int64), at.astype(np.int64), n[mine].astype(np.int64))]
+                keys = pa.ListArray.from_arrays(pa.array([0, len(there)], pa.int32()), rows.column(0).take(pa.array(there)))
+                columns = [pa.array([int(b)], pa.int32()), rows.column(2).slice(0, 1), keys, *(pa.array([x], pa.binary()) for x in (*data, *packed_texts(texts.take(pa.array(some)))))]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "part", "keys", "of", "at", "n", "sizes", "letters"])
+
+    def deal(batches):
+        for batch in batches:
+            hashes = pd.util.hash_array(batch.column(0).to_numpy(zero_copy_only=False), categorize=False)
+            block = pa.array((hashes % np.uint64(blocks)).astype(np.int32))
+            for part in range(parts):
+                yield pa.RecordBatch.from_arrays([block, pa.array(np.full(len(block), part, np.int32)), *batch.columns], ["block", "part", "word", "v"])
+
+    left = keyed.mapInArrow(send, f"block int, part int, keys array<{key_type}>, of binary, at binary, n binary, sizes binary, letters binary")
+    right = own.where("word IS NOT NULL").mapInArrow(deal, f"block int, part int, word string, v {kind}")
 
     def add(mine: pa.Table, theirs: pa.Table) -> pa.Table:
         keys, known, sums = [], [], []
@@ -177,32 +229,36 @@ def document_vectors(df: DataFrame, key: str, tokens: Column, vectors: DataFrame
             flat, length = lists.flatten(), pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
             row, place = np.repeat(np.arange(len(at)), length), np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)
             use = (place < size) & pc.is_valid(flat).to_numpy(zero_copy_only=False)
-            v, some = np.zeros((len(at), size)), np.zeros((len(at), size), bool)
+            several = len(words.dictionary) < len(at)  # vectors of a word
+            v, some = np.zeros((len(at), size), np.float32 if kind == "array<float>" and not several else float), np.zeros((len(at), size), bool)
             v[row[use], place[use]], some[row[use], place[use]] = flat.to_numpy(zero_copy_only=False)[use], True
-            total, valid, times = np.zeros((len(words.dictionary), size)), np.zeros((len(words.dictionary), size), bool), np.bincount(at)
-            if len(at) == len(total):
+            times = np.bincount(at)
+            if not several:
+                total, valid = np.empty_like(v), np.empty_like(some)
                 total[at], valid[at] = v, some
-            else:  # words with several vectors
+            else:
+                total, valid = np.zeros((len(words.dictionary), size)), np.zeros((len(words.dictionary), size), bool)
                 np.add.at(total, at, v)
                 np.logical_or.at(valid, at, some)
-            place = pc.index_in(mine.column("term").combine_chunks(), value_set=words.dictionary)
-            mine = mine.append_column("at", place).filter(pc.is_valid(place)).sort_by("key")
-            for lo in range(0, mine.num_rows, 1 << 16):
-                rows = mine.slice(lo, 1 << 16)
-                code = rows.column("key").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
-                first = np.flatnonzero(np.diff(code, prepend=-1))
-                word, n = rows.column("at").to_numpy(), rows.column("n").to_numpy()
-                summed = np.add.reduceat(total[word] * n[:, None], first, axis=0)
-                there = np.logical_or.reduceat(valid[word], first, axis=0)
-                keys.append(rows.column("key").take(pa.array(first)).combine_chunks())
-                known.append(np.add.reduceat(n * times[word], first))
-                flat = pa.array(summed.reshape(-1), mask=~there.reshape(-1))
-                sums.append(pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * size), flat))
-        kind = mine.schema.field("key").type
-        return pa.table([pa.chunked_array(keys, kind), pa.chunked_array([pa.array(n.astype(np.int64)) for n in known], pa.int64()), pa.chunked_array(sums, pa.list_(pa.float64()))], ["key", "known", "s"])
-
-    schema = f"key {left.schema['key'].dataType.simpleString()}, known long, s array<double>"
-    found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(add, schema)
+            for r in range(mine.num_rows):
+                of, at, n, sizes, letters = (mine.column(c)[r].as_py() for c in ("of", "at", "n", "sizes", "letters"))
+                place = pc.fill_null(pc.index_in(unpacked_texts(sizes, letters), value_set=words.dictionary), -1).to_numpy()[unpacked(at)]
+                hit = place >= 0
+                of, word, n = unpacked(of)[hit].astype(np.int64), place[hit], unpacked(n)[hit].astype(np.int64)
+                own_keys = mine.column("keys")[r].values
+                for lo in range(0, len(of), 1 << 16):  # sums of a row that is cut in two are added up later
+                    part = slice(lo, lo + (1 << 16))
+                    first = np.flatnonzero(np.diff(of[part], prepend=-1))
+                    summed = np.add.reduceat(total[word[part]] * n[part, None].astype(float), first, axis=0)
+                    there = np.logical_or.reduceat(valid[word[part]], first, axis=0)
+                    keys.append(own_keys.take(pa.array(of[part][first])))
+                    known.append(np.add.reduceat(n[part] * times[word[part]], first))
+                    flat = pa.array(summed.reshape(-1), mask=~there.reshape(-1))
+                    sums.append(pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1, dtype=np.int32) * size), flat))
+        key_kind = mine.schema.field("keys").type.value_type
+        return pa.table([pa.chunked_array(keys, key_kind), pa.chunked_array([pa.array(n.astype(np.int64)) for n in known], pa.int64()), pa.chunked_array(sums, pa.list_(pa.float64()))], ["key", "known", "s"])
+
+    found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInArrow(add, f"key {key_type}, known long, s array<double>")
     sums = found.groupBy(F.col("key").alias(key)).agg(F.array(*[F.sum(F.get("s", F.lit(i))) for i in range(size)]).alias("sums"), F.sum("known").alias("known"))
     base = df.select(key, F.size(tokens).alias("words")).join(sums, key, "left")
     weight = F.col("known") if oov == "skip" else F.col("words")
