@@ -3,6 +3,9 @@
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import scalars as X
@@ -222,3 +225,49 @@ def test_lemma_counts_send_words_once(spark):
     out = vocabulary.lemma_counts(df, "k", F.split("text", " "), [("s", "")], none)
     assert {(r["k"], r["lemma"], r["n"]) for r in out.collect()} == {(1, "cat", 4), (1, "dogs", 1), (2, "cat", 2)}
     assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 2  # once, listed twice
+
+
+def test_packed_texts_and_numbers():
+    texts = pa.array(["", "é€", "a" * 300, "b"])
+    assert vocabulary.unpacked_texts(*vocabulary.packed_texts(texts)).to_pylist() == texts.to_pylist()
+    assert vocabulary.unpacked_texts(*vocabulary.packed_texts(texts.slice(0, 0))).to_pylist() == []
+    for x in ([], [0, 255], [256], [1 << 40, 3]):
+        assert vocabulary.unpacked(vocabulary.packed(np.array(x, np.int64))).tolist() == x
+
+
+def test_document_vectors_over_blocks(spark, monkeypatch):
+    """Words over several blocks, repeated and null keys, some words with two vectors; texts are sent in few rows."""
+    monkeypatch.setattr(vocabulary, "_VECTORS", 4)
+    rng = np.random.default_rng(9)
+    texts = [(i // 2 if i % 7 else None, " ".join(f"wörd{k}" for k in rng.integers(0, 30, rng.integers(0, 12)))) for i in range(60)]
+    given = [(f"wörd{k % 18}", [float(x) for x in rng.normal(size=3)]) for k in range(20)]
+    df, vectors = spark.createDataFrame(texts, "k long, t string"), spark.createDataFrame(given, "word string, vector array<double>")
+    out = vocabulary.document_vectors(df, "k", F.split("t", " "), vectors, 3)
+    sums, known = {}, {}
+    for k, t in texts:
+        for w in t.split(" "):
+            for word, v in given:
+                if word == w:
+                    sums[k], known[k] = sums.get(k, 0) + np.array(v), known.get(k, 0) + 1
+    rows = out.collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        want = sums[r["k"]] / known[r["k"]] if r["k"] in known and r["k"] is not None else np.zeros(3)
+        assert r["vector"] == pytest.approx(want)
+    plan = out._jdf.queryExecution().toString()
+    assert "letters" in plan  # slices as bytes, not a row per word of a text
+
+
+def test_pair_counts_by_buckets(spark):
+    """Against plain counts: pairs and words below the least count still count for V, and are not handed on."""
+    rnd = random.Random(4)
+    texts = [[f"w{min(rnd.randrange(40), rnd.randrange(40))}é" for _ in range(rnd.randrange(12))] for _ in range(300)] + [None, []]
+    df = spark.createDataFrame([(t,) for t in texts], "t array<string>").repartition(5)
+    words = Counter(w for t in texts if t for w in t)
+    pairs = Counter(p for t in texts if t for p in zip(t, t[1:], strict=False))
+    total = len(words) + len(pairs)
+    want = {(a, b): (n, (n - 3) / words[a] / words[b] * total) for (a, b), n in pairs.items() if n >= 3 and (n - 3) / words[a] / words[b] * total > 0.5}
+    out = phrases.bigram_phrases(df, F.col("t"), min_count=3, threshold=0.5)
+    got = {(r["a"], r["b"]): (r["n_ab"], r["score"]) for r in out.collect()}
+    assert set(got) == set(want) and len(want) > 5 and all(got[k] == pytest.approx(want[k]) for k in want)
+    assert phrases.bigram_phrases(df.limit(0), F.col("t")).count() == 0
