@@ -12,7 +12,9 @@
    linked block by block and with its hub block, then dealt out by the components found, and only blocks of different
    components meet.
 
-Sets are told apart by a 64-bit hash of their shingles' 64-bit hashes; texts with equal sets are one node throughout.
+Sets are told apart by a 64-bit hash of their shingles' 64-bit hashes; texts with equal sets are one node throughout. Join
+keys, and the vertices that stand for nodes until families are known, are the upper 48 bits of such hashes: two that are
+taken for one by chance make a family larger, and its links are verified on the sets.
 A null or wordless text has no shingles and no links. Null ids never name a component unless all its ids are null.
 """
 
@@ -23,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.chunks import release
 from millrace.llm.components import components
 from millrace.llm.words import STEPS, U, Words, mix, slices
 from millrace.runtime import cut_lineage, work_path
@@ -112,6 +115,34 @@ class Levels:
         return np.concatenate(out), enough
 
 
+def _six(x: np.ndarray) -> bytes:
+    """Numbers below 2^48 in six bytes each."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _from_six(rows: list[bytes]) -> np.ndarray:
+    data = np.frombuffer(b"".join(rows), np.uint8).reshape(-1, 6)
+    return np.concatenate([data, np.zeros((len(data), 2), np.uint8)], 1).view("<u8").reshape(-1).astype(U)
+
+
+def _rising(x: np.ndarray) -> bytes:
+    """Ascending numbers below 2^48, by their steps if these are short."""
+    steps = np.diff(x, prepend=x[:1])
+    if len(x) and steps.max() < 1 << 32:
+        return b"s" + _six(x[:1]) + steps[1:].astype("<u4").tobytes()
+    return b"x" + _six(x)
+
+
+def _from_rising(rows: list[bytes]) -> np.ndarray:
+    out = [np.zeros(0, U)]
+    for row in rows:
+        if row[:1] == b"s":
+            out.append(np.cumsum(np.concatenate([_from_six([row[1:7]]), np.frombuffer(row[7:], "<u4").astype(U)]), dtype=U))
+        else:
+            out.append(_from_six([row[1:]]))
+    return np.concatenate(out)
+
+
 def _stars(keys: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """For each key its least node; and the distinct edges from there to its other nodes."""
     order = np.lexsort((nodes, keys))
@@ -139,18 +170,18 @@ def common_shingles(docs: DataFrame, k: int, size: int) -> np.ndarray:
 
 
 def candidates(docs: DataFrame, k: int, levels: Levels, buckets: int, size: int) -> DataFrame:
-    """Edges (a, b) of set signatures that hold together all sets with a key in common."""
+    """Edges (a, b) of vertices, the upper 48 bits of set signatures, that hold together all sets with a key in common."""
     shared = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, k, size))  # of about SAMPLE bytes of text
 
     def rows(keys, nodes, a, b):
         """Keys and edges by bucket; each bucket's in one row."""
-        of_key, of_edge = (((x >> U(32)) * U(buckets)) >> U(32) for x in (keys, mix(a)))
+        of_key, of_edge = (((x >> U(16)) * U(buckets)) >> U(32) for x in (keys, mix(a) >> U(16)))
         o, p = np.argsort(of_key, kind="stable"), np.argsort(of_edge, kind="stable")
         keys, nodes, of_key, a, b, of_edge = keys[o], nodes[o], of_key[o], a[p], b[p], of_edge[p]
         which = np.union1d(of_key, of_edge)
         ends = [np.searchsorted(x, which, side) for x in (of_key, of_edge) for side in ("left", "right")]
-        cut = lambda x, i: pa.array([x[s:e].tobytes() for s, e in zip(ends[i], ends[i + 1], strict=True)], pa.binary())
-        return pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), cut(keys, 0), cut(nodes, 0), cut(a, 2), cut(b, 2)], ["bucket", "keys", "nodes", "a", "b"])
+        cut = lambda x, i, packed: pa.array([packed(x[s:e]) for s, e in zip(ends[i], ends[i + 1], strict=True)], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(which.astype(np.int32)), cut(keys, 0, _rising), cut(nodes, 0, _six), cut(a, 2, _six), cut(b, 2, _six)], ["bucket", "keys", "nodes", "a", "b"])
 
     def local(batches):
         """A key goes out once per batch, with the least of its nodes; edges to the others are made here."""
@@ -167,7 +198,7 @@ def candidates(docs: DataFrame, k: int, levels: Levels, buckets: int, size: int)
                     if len(s) and (node := signature(s)) not in seen:
                         seen[node] = levels.keys(s, shared.value)
                 for node, keys in seen.items():
-                    held.append((keys, np.full(len(keys), node, U)))
+                    held.append((keys >> U(16), np.full(len(keys), node >> U(16), U)))
                     size += len(keys)
                 if size > 1_000_000:
                     yield flush()
@@ -176,7 +207,7 @@ def candidates(docs: DataFrame, k: int, levels: Levels, buckets: int, size: int)
             yield flush()
 
     def reduce(table: pa.Table) -> pa.Table:
-        keys, nodes, a, b = (np.frombuffer(b"".join(table.column(c).to_pylist()), U) for c in ("keys", "nodes", "a", "b"))
+        keys, (nodes, a, b) = _from_rising(table.column("keys").to_pylist()), (_from_six(table.column(c).to_pylist()) for c in ("nodes", "a", "b"))
         _, _, x, y = _stars(keys, nodes)
         edges = np.unique(np.stack([np.concatenate([a, x]), np.concatenate([b, y])], 1), axis=0)
         return pa.table({"a": pa.array(edges[:, 0].view(np.int64)), "b": pa.array(edges[:, 1].view(np.int64))})
@@ -186,7 +217,7 @@ def candidates(docs: DataFrame, k: int, levels: Levels, buckets: int, size: int)
 
 
 def _bitmap(nodes: DataFrame) -> bytes:
-    """Slots of a bitmap of 2^25 bits that the nodes take: 4 MB however many nodes there are."""
+    """Slots of a bitmap of 2^25 bits that the vertices take: 4 MB however many there are."""
     slot = f"(node & {(1 << BITS) - 1})"
     bits = nodes.selectExpr(f"{slot} >> 6 AS k", f"shiftleft(1L, int({slot} & 63)) AS b").groupBy("k").agg(F.bit_or("b").alias("b")).toArrow().to_pandas()
     full = np.zeros(1 << (BITS - 6), np.int64)
@@ -206,7 +237,7 @@ def members(docs: DataFrame, k: int, nodes: DataFrame) -> DataFrame:
             for i, j, w in slices(batch.column(1), lower=True):
                 sets = shingles(w, k)
                 node = np.array([signature(s) for s in sets], U)
-                slot = node & U((1 << BITS) - 1)
+                slot = (node >> U(16)) & U((1 << BITS) - 1)
                 hit = (bits[(slot >> U(6)).astype(np.int64)] >> (slot & U(63))) & U(1)
                 body = []
                 for s, x, h in zip(sets, node.tolist(), hit.tolist(), strict=True):
@@ -320,11 +351,13 @@ def join(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int =
     buckets = max(8, size // (2 << 20))
     edges = candidates(docs, k, Levels(percent), buckets, size)  # the components cut the lineage
     family = cut_lineage(components(edges))
+    del edges  # their keys are the largest shuffle, and none of it is read again
+    release(spark)
     path = work_path(spark, "sets")
     members(docs, k, family).write.parquet(path)
     stored = spark.read.parquet(path)
     sets = stored.where("body IS NOT NULL").groupBy("node").agg(F.first("body").alias("body"))
-    found = cut_lineage(family.join(sets, "node"))
+    found = cut_lineage(family.withColumnRenamed("node", "vertex").join(sets.withColumn("vertex", F.shiftrightunsigned("node", 16)), "vertex").drop("vertex"))
     counted = found.groupBy("root").agg(F.sum(F.length("body")).alias("m"))
     placed = found.join(counted, "root").withColumn("blocks", F.ceil(F.col("m") / BLOCK).cast("long")).withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
     tasks = max(1, min(4096, size // (4 << 20)))
